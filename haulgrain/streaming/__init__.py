@@ -1,0 +1 @@
+"""Empty on purpose: every refresh is a full batch, so there is nothing to stream."""

@@ -18,56 +18,63 @@ from haulgrain.functions.measures import (
     year_month,
 )
 
-OFFICIAL = is_true("official_kpi_eligible_flag")
-OTD_KNOWN = OFFICIAL & F.col("final_on_time_flag").isNotNull()
-OTIF_KNOWN = OFFICIAL & F.col("otif_flag").isNotNull()
-FILL_KNOWN = OFFICIAL & F.col("shipment_fill_rate").isNotNull()
-FULL = F.col("shipment_fill_rate") >= 1
-LATE = OFFICIAL & is_false("final_on_time_flag")
-
-ROWS = F.count(F.lit(1))
-REVENUE = F.sum("customer_revenue_usd")
-MARGIN = F.sum("gross_margin_usd")
-COST = F.sum("carrier_cost_usd")
-
-KPI: dict[str, Column] = {
-    "total_shipments": ROWS,
-    "official_kpi_shipments": count_where(OFFICIAL),
-    "otd_eligible_shipments": count_where(OTD_KNOWN),
-    "on_time_shipments": count_where(OFFICIAL & is_true("final_on_time_flag")),
-    "late_shipments": count_where(LATE),
-    "on_time_delivery_rate": rate_where(F.col("final_on_time_flag"), OFFICIAL),
-    "otif_eligible_shipments": count_where(OTIF_KNOWN),
-    "otif_shipments": count_where(OFFICIAL & is_true("otif_flag")),
-    "otif_rate": rate_where(F.col("otif_flag"), OFFICIAL),
-    "average_fill_rate": mean_where(F.col("shipment_fill_rate"), OFFICIAL),
-    "full_fill_eligible_shipments": count_where(FILL_KNOWN),
-    "full_fill_shipments": count_where(OFFICIAL & FULL),
-    "full_fill_rate": rate_where(FULL, OFFICIAL),
-    "average_days_late": mean_where(F.col("days_late"), LATE),
-    "average_tracking_exceptions": F.avg("tracking_exception_count"),
-    "average_warehouse_cycle_hours": F.avg("warehouse_cycle_hours"),
-    "average_pick_to_pack_hours": F.avg("pick_to_pack_hours"),
-    "average_pack_to_ship_hours": F.avg("pack_to_ship_hours"),
-    "short_pick_rate": rate_where(F.col("short_pick_flag"), F.col("wms_record_count") > 0),
-    "average_inventory_accuracy": F.avg("average_inventory_accuracy"),
-    "average_lane_miles": F.avg("lane_miles_est"),
-    "customer_revenue_usd": REVENUE,
-    "carrier_cost_usd": COST,
-    "accessorial_cost_usd": F.sum("total_accessorial_usd"),
-    "claims_paid_usd": F.sum("claims_paid_usd"),
-    "gross_margin_usd": MARGIN,
-    "gross_margin_percentage": ratio(MARGIN, REVENUE),
-    "carrier_cost_per_shipment": ratio(COST, ROWS),
-    "shipments_with_complaints": count_where(F.col("complaint_flag")),
-    "complaint_rate": F.avg(F.col("complaint_flag").cast("int")),
-    "shipments_with_claims": count_where(F.col("claim_flag")),
-    "claim_rate": F.avg(F.col("claim_flag").cast("int")),
-    "average_csat_score": weighted_csat(),
-    "net_promoter_score": net_promoter(),
-}
-
-SERVICE = list(KPI)[:13]
+def definitions() -> dict[str, Column]:
+    """Every KPI as an aggregate over the fact; each rate has its own denominator."""
+    official = is_true("official_kpi_eligible_flag")
+    otd_known = official & F.col("final_on_time_flag").isNotNull()
+    otif_known = official & F.col("otif_flag").isNotNull()
+    fill_known = official & F.col("shipment_fill_rate").isNotNull()
+    full = F.col("shipment_fill_rate") >= 1
+    late = official & is_false("final_on_time_flag")
+
+    rows = F.count(F.lit(1))
+    revenue = F.sum("customer_revenue_usd")
+    margin = F.sum("gross_margin_usd")
+    cost = F.sum("carrier_cost_usd")
+
+    return {
+        "total_shipments": rows,
+        "official_kpi_shipments": count_where(official),
+        "otd_eligible_shipments": count_where(otd_known),
+        "on_time_shipments": count_where(official & is_true("final_on_time_flag")),
+        "late_shipments": count_where(late),
+        "on_time_delivery_rate": rate_where(F.col("final_on_time_flag"), official),
+        "otif_eligible_shipments": count_where(otif_known),
+        "otif_shipments": count_where(official & is_true("otif_flag")),
+        "otif_rate": rate_where(F.col("otif_flag"), official),
+        "average_fill_rate": mean_where(F.col("shipment_fill_rate"), official),
+        "full_fill_eligible_shipments": count_where(fill_known),
+        "full_fill_shipments": count_where(official & full),
+        "full_fill_rate": rate_where(full, official),
+        "average_days_late": mean_where(F.col("days_late"), late),
+        "average_tracking_exceptions": F.avg("tracking_exception_count"),
+        "average_warehouse_cycle_hours": F.avg("warehouse_cycle_hours"),
+        "average_pick_to_pack_hours": F.avg("pick_to_pack_hours"),
+        "average_pack_to_ship_hours": F.avg("pack_to_ship_hours"),
+        "short_pick_rate": rate_where(F.col("short_pick_flag"), F.col("wms_record_count") > 0),
+        "average_inventory_accuracy": F.avg("average_inventory_accuracy"),
+        "average_lane_miles": F.avg("lane_miles_est"),
+        "customer_revenue_usd": revenue,
+        "carrier_cost_usd": cost,
+        "accessorial_cost_usd": F.sum("total_accessorial_usd"),
+        "claims_paid_usd": F.sum("claims_paid_usd"),
+        "gross_margin_usd": margin,
+        "gross_margin_percentage": ratio(margin, revenue),
+        "carrier_cost_per_shipment": ratio(cost, rows),
+        "shipments_with_complaints": count_where(F.col("complaint_flag")),
+        "complaint_rate": F.avg(F.col("complaint_flag").cast("int")),
+        "shipments_with_claims": count_where(F.col("claim_flag")),
+        "claim_rate": F.avg(F.col("claim_flag").cast("int")),
+        "average_csat_score": weighted_csat(),
+        "net_promoter_score": net_promoter(),
+    }
+
+
+SERVICE = (
+    "total_shipments official_kpi_shipments otd_eligible_shipments on_time_shipments "
+    "late_shipments on_time_delivery_rate otif_eligible_shipments otif_shipments otif_rate "
+    "average_fill_rate full_fill_eligible_shipments full_fill_shipments full_fill_rate"
+).split()
 MONEY = "customer_revenue_usd carrier_cost_usd claims_paid_usd".split()
 MONEY_X = "customer_revenue_usd carrier_cost_usd accessorial_cost_usd claims_paid_usd".split()
 MARGINS = "gross_margin_usd gross_margin_percentage".split()
@@ -119,7 +126,8 @@ MONTHLY = [
 
 
 def kpi_columns(names) -> list[Column]:
-    return [KPI[n].alias(n) for n in names]
+    kpi = definitions()
+    return [kpi[n].alias(n) for n in names]
 
 
 def executive(fact: DataFrame) -> DataFrame:

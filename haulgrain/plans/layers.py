@@ -61,7 +61,8 @@ class Layers:
         if name.startswith("dim_"):
             return self._dimension(name)
         if name == "fact_shipment":
-            return fact.fact_shipment(self["resolved_shipments"], self.child_totals())
+            totals = {c: self.child_totals(c) for c in fact.CHILD_ORDER}
+            return fact.fact_shipment(self["resolved_shipments"], totals)
         if name == "resolved_shipments":
             return fact.resolve_customers(
                 self["stg_shipments"], self["stg_customers"], self["stg_customer_crosswalk"]
@@ -106,35 +107,40 @@ class Layers:
     def _written(self, name: str) -> bool:
         return name in self.shared
 
-    def child_totals(self) -> dict[str, DataFrame]:
-        """The seven per-shipment aggregates behind the fact.
+    def child_totals(self, child: str) -> DataFrame:
+        """One of the seven per-shipment aggregates behind the fact.
 
         Lines, scans and surveys of unknown shipments drop out in the fact join anyway, so
         unless their staging table is written they are aggregated straight from the
         cleaned rows, without the join that only sets the match flag.
         """
         raw = self.raw
-        lines = (
-            self["stg_shipment_lines"] if self._written("stg_shipment_lines")
-            else staging.clean_lines(raw["tms_shipment_lines"])
-        )
-        if self._written("stg_tracking_events"):
-            scans = self["stg_tracking_events"].where("keep_event_flag")
-        else:
-            scans = staging.kept_events(raw["carrier_tracking_events"])
-        surveys = (
-            self["stg_csat_responses"] if self._written("stg_csat_responses")
-            else staging.clean_surveys(raw["csat_survey_responses"])
-        )
-        return {
-            "lines": children.line_totals(lines),
-            "events": children.event_totals(scans),
-            "wms": children.wms_totals(self["stg_wms_outbound"]),
-            "invoices": children.invoice_totals(self["stg_invoices"]),
-            "claims": children.claim_totals(self["stg_claims"]),
-            "tickets": children.ticket_totals(self["stg_crm_tickets"]),
-            "surveys": children.survey_totals(surveys),
-        }
+        if child == "lines":
+            source = (
+                self["stg_shipment_lines"] if self._written("stg_shipment_lines")
+                else staging.clean_lines(raw["tms_shipment_lines"])
+            )
+            return children.line_totals(source)
+        if child == "events":
+            source = (
+                self["stg_tracking_events"].where("keep_event_flag")
+                if self._written("stg_tracking_events")
+                else staging.kept_events(raw["carrier_tracking_events"])
+            )
+            return children.event_totals(source)
+        if child == "surveys":
+            source = (
+                self["stg_csat_responses"] if self._written("stg_csat_responses")
+                else staging.clean_surveys(raw["csat_survey_responses"])
+            )
+            return children.survey_totals(source)
+        table, total = {
+            "wms": ("stg_wms_outbound", children.wms_totals),
+            "invoices": ("stg_invoices", children.invoice_totals),
+            "claims": ("stg_claims", children.claim_totals),
+            "tickets": ("stg_crm_tickets", children.ticket_totals),
+        }[child]
+        return total(self[table])
 
 
 def refresh(spark: SparkSession, raw, root: str) -> Layers:

@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulgrain.operators import children, dimensions, staging
+from haulgrain import contracts
+from haulgrain.operators import (
+    children,
+    dimensions,
+    findings,
+    measures,
+    profiling,
+    quality,
+    segments,
+    staging,
+)
 from haulgrain.plans.layers import Layers
+from haulgrain.sources.lineage import load_lineage, table_counts
 
 Query = Callable[[Layers], DataFrame]
 
@@ -169,6 +180,200 @@ def dim_lane(t):
     return dimensions.lane_labels(t["dim_lane"])
 
 
+# --- measures and slices ----------------------------------------------------
+
+SAMPLE_SLICE = measures.Slice(keep={"mode": ["LTL", "FTL"]}, start="1997-01-01", end="1999-12-31")
+
+
+def _measure_group(group: str) -> None:
+    QUERIES[f"measures_{group}"] = lambda t: measures.evaluate(
+        t["fact_shipment"], measures.GROUPS[group], ["mode"]
+    )
+
+
+for _group in measures.GROUPS:
+    _measure_group(_group)
+
+
+@query
+def measures_time(t):
+    return measures.previous_month(t["fact_shipment"])
+
+
+@query
+def measures_targets(t):
+    return measures.target_status(t["fact_shipment"])
+
+
+@query
+def measures_sliced(t):
+    """A date slice that the data-quality measures must ignore."""
+    names = [
+        "total_shipments", "on_time_delivery_pct", "gross_margin_pct", "delivered_shipments",
+        "promised_shipments", "shipments_with_known_ship_date", "shipments_missing_ship_date",
+        "ship_date_coverage_pct", "revenue_missing_ship_date", "data_through_date",
+    ]
+    return measures.evaluate(t["fact_shipment"], names, ["dest_state"], SAMPLE_SLICE)
+
+
+@query
+def date_roles(t):
+    return measures.shipments_by_role(t["fact_shipment"])
+
+
+@query
+def slice_kpis(t):
+    rows = segments.pick_names(
+        measures.apply_slice(t["fact_shipment"], SAMPLE_SLICE), t,
+        {"warehouse_name": ["Warehouse 1", "Warehouse 2", "Warehouse 3", "Unknown warehouse"]},
+    )
+    return segments.kpi_summary(rows, ["mode", "dest_state"])
+
+
+@query
+def segment_summary(t):
+    return segments.summary_by_label(t["fact_shipment"], t, "carrier_name")
+
+
+@query
+def segment_lanes(t):
+    return segments.summary_by_lane(t["fact_shipment"], t)
+
+
+@query
+def monthly_series(t):
+    return segments.monthly_series(t["fact_shipment"])
+
+
+@query
+def dashboard_variants(t):
+    return segments.dashboard_variants(t["fact_shipment"])
+
+
+# --- profiling and quality --------------------------------------------------
+
+
+@query
+def profile_tables(t):
+    return profiling.profile_tables(t.raw)
+
+
+@query
+def profile_columns(t):
+    return profiling.profile_columns(t.raw)
+
+
+@query
+def duplicate_keys(t):
+    return profiling.duplicate_keys(t.raw)
+
+
+@query
+def business_checks(t):
+    return profiling.business_checks(t.raw)
+
+
+QUERIES["quality_staging"] = quality.staging_counts
+QUERIES["quality_shipments"] = quality.shipment_metrics
+QUERIES["quality_lines_events"] = quality.line_event_metrics
+QUERIES["quality_wms_invoices"] = quality.wms_invoice_metrics
+QUERIES["quality_customer_impact"] = quality.customer_impact_metrics
+QUERIES["quality_star"] = quality.star_metrics
+
+
+@query
+def validate_model(t):
+    return quality.validate_model(t, "1995-01-01", "2001-12-31")
+
+
+# --- findings ---------------------------------------------------------------
+# The published volume guardrails would leave small data empty, so lower ones are used here.
+
+
+@query
+def rank_carriers(t):
+    return findings.rank_carriers(t["vw_carrier_scorecard"], minimum=20)
+
+
+@query
+def rank_lanes(t):
+    return findings.rank_lanes(t["vw_lane_scorecard"], minimum=5)
+
+
+@query
+def rank_customers(t):
+    return findings.rank_customers(t["vw_customer_scorecard"], minimum=5)
+
+
+@query
+def eligibility_counts(t):
+    return findings.eligibility_counts(t["vw_lane_scorecard"], t["fact_shipment"], "lane_key").select(
+        "lane_key", "total_shipments", "otd_eligible_shipments", "on_time_shipments",
+        "otif_eligible_shipments", "otif_shipments",
+    )
+
+
+def _on_fact(name: str) -> None:
+    fn = getattr(findings, name)
+    QUERIES[name] = lambda t: fn(t["fact_shipment"])
+
+
+def _on_fact_and_dims(name: str, as_name: str | None = None) -> None:
+    fn = getattr(findings, name)
+    QUERIES[as_name or name] = lambda t: fn(t["fact_shipment"], t)
+
+
+for _name in (
+    "delivery_impact analysis_context executive_summary decision_scenarios coverage "
+    "late_by_exception margin_bridge late_breakdown monthly_coverage unknown_members "
+    "tickets_by_customer_state"
+).split():
+    _on_fact(_name)
+for _name in (
+    "carrier_queue lane_queue lowest_margin_lanes claim_queue carrier_cost_service shipment_360"
+).split():
+    _on_fact_and_dims(_name)
+
+
+@query
+def warehouse_ops(t):
+    return segments.warehouse_operations(t["fact_shipment"], t)
+
+
+@query
+def top_late_carriers(t):
+    return findings.top_carriers_by_late(t["vw_carrier_scorecard"])
+
+
+@query
+def action_queue_warehouse(t):
+    return findings.action_queue(t["fact_shipment"], ["warehouse_key", "carrier_key"])
+
+
+@query
+def action_queue_customer(t):
+    return findings.action_queue(t["fact_shipment"], ["customer_key", "lane_key"])
+
+
+@query
+def action_queue_lane(t):
+    return findings.action_queue(t["fact_shipment"], ["warehouse_key", "dest_state", "lane_key"])
+
+
+# --- lineage ----------------------------------------------------------------
+
+
+@query
+def lineage_counts(t):
+    return profiling.union_all([table_counts(t.raw[n], n) for n in contracts.RAW_COLUMNS])
+
+
+@query
+def lineage_files(t):
+    sources = "customer nation supplier orders lineitem events".split()
+    return load_lineage(t.spark, {n: f"{t.raw.sf_dir}/{n}.parquet" for n in sources})
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Decimals as doubles and doubles to six places, for comparison across engines."""
     return df.select(

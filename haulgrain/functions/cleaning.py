@@ -1,4 +1,8 @@
-"""Cleaning and safe-typing rules, each a Column -> Column function."""
+"""Cleaning and safe-typing rules.
+
+Each rule maps a SQL expression to a SQL expression, so a whole staging table is one
+``selectExpr`` of built-in functions.
+"""
 
 from __future__ import annotations
 
@@ -10,76 +14,83 @@ from haulgrain import contracts
 MONEY = "decimal(18,2)"
 
 
-def text(c: Column) -> Column:
+def _quoted(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def text(x: str) -> str:
     """Trimmed text; blank becomes null."""
-    return F.nullif(F.trim(c.cast("string")), F.lit(""))
+    return f"nullif(trim(string({x})), '')"
 
 
-def upper(c: Column) -> Column:
-    return F.upper(text(c))
+def upper(x: str) -> str:
+    return f"upper({text(x)})"
 
 
-def lower(c: Column) -> Column:
-    return F.lower(text(c))
+def lower(x: str) -> str:
+    return f"lower({text(x)})"
 
 
-def code(c: Column) -> Column:
+def code(x: str) -> str:
     """Matching form of a customer code. Blank stays blank, so blanks match each other."""
-    return F.upper(F.translate(F.trim(c.cast("string")), "- ", ""))
+    return f"upper(translate(trim(string({x})), '- ', ''))"
 
 
-def country(c: Column) -> Column:
-    u = upper(c)
-    return F.when(u.isin(contracts.US_SPELLINGS), F.lit("US")).otherwise(u)
+def country(x: str) -> str:
+    return f"if({upper(x)} IN ({_quoted(contracts.US_SPELLINGS)}), 'US', {upper(x)})"
 
 
-def to_double(c: Column) -> Column:
-    # Java reads a trailing f or d as a number suffix; source text never means that.
-    s = c.cast("string")
-    return F.when(~s.rlike("[fFdD]\\s*$"), s.try_cast("double"))
+def to_double(x: str) -> str:
+    # Java reads a trailing f or d as a number suffix; in source text it is no number.
+    t = f"trim(string({x}))"
+    return (
+        f"if(lower(right({t}, 1)) IN ('f', 'd') AND lower(right({t}, 3)) <> 'inf', NULL,"
+        f" try_cast({t} AS double))"
+    )
 
 
-def to_int(c: Column) -> Column:
+def to_int(x: str) -> str:
     """Whole number, rounding text such as '10.7' half away from zero."""
-    return F.round(to_double(c)).try_cast("int")
-
+    return f"try_cast(round({to_double(x)}) AS int)"
 
-def to_money(c: Column) -> Column:
-    return c.cast("string").try_cast(MONEY)
 
+def to_money(x: str) -> str:
+    return f"try_cast(string({x}) AS {MONEY})"
 
-# A full year-month-day is needed: Spark alone would read '2024' as January 1st.
-_SLASHES = r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})"
-_DAY = r"^\s*\d{1,4}-\d{1,2}-\d{1,2}"
 
+def _day_text(x: str) -> str:
+    """Trimmed text with dashes; null unless it has year, month and day parts.
 
-def _dashed(c: Column) -> Column:
-    return F.regexp_replace(c.cast("string"), _SLASHES, "$1-$2-$3")
+    Spark alone would read '2024' as January 1st. Plain string tests keep this cheap: the
+    regular expression runs only for text with slashes.
+    """
+    t = f"trim(string({x}))"
+    s = f"if(contains({t}, '/'), regexp_replace({t}, '^([0-9]{{4}})/([0-9]{{1,2}})/([0-9]{{1,2}})', '$1-$2-$3'), {t})"
+    return f"if(substring_index({s}, '-', 2) <> {s} AND NOT startswith({s}, '-'), {s}, NULL)"
 
 
-def to_date(c: Column) -> Column:
+def to_date(x: str) -> str:
     """Date, or null unless the text is a day or a full timestamp."""
-    s = _dashed(c)
-    whole = s.rlike(_DAY + r"\s*$")
-    return F.when(whole, s.try_cast("date")).when(
-        s.rlike(_DAY + r"[ T]"), s.try_cast("timestamp_ntz").cast("date")
+    s = _day_text(x)
+    return (
+        f"if(contains({s}, ' ') OR contains({s}, 'T'),"
+        f" date(try_cast({s} AS timestamp_ntz)), try_cast({s} AS date))"
     )
 
 
-def to_ts(c: Column) -> Column:
+def to_ts(x: str) -> str:
     """Wall-clock timestamp without zone."""
-    s = _dashed(c)
-    return F.when(s.rlike(_DAY), s.try_cast("timestamp_ntz"))
+    return f"try_cast({_day_text(x)} AS timestamp_ntz)"
 
 
-def to_tri(c: Column) -> Column:
-    """Boolean that stays null when it cannot be read."""
-    s = c.cast("string")
-    return F.when(~s.rlike(r"^\s|\s$"), s.try_cast("boolean"))
+def to_tri(x: str) -> str:
+    """Boolean that stays null when it cannot be read; padded text is not readable."""
+    s = f"string({x})"
+    return f"if(trim({s}) = {s}, try_cast({s} AS boolean), NULL)"
 
 
-def to_flag(c: Column) -> Column:
-    return F.coalesce(to_tri(c), F.lit(False))
+def to_flag(x: str) -> str:
+    return f"coalesce({to_tri(x)}, false)"
 
 
 RULES = {
@@ -98,19 +109,22 @@ RULES = {
 }
 
 
+def cleaned(rule: str, column: str) -> Column:
+    """One rule applied to one column."""
+    return F.expr(RULES[rule](f"`{column}`"))
+
+
 def typed_select(raw: DataFrame, table: str) -> DataFrame:
     """Clean and type every contracted column of a staging table in one projection."""
     cols = contracts.staged_columns(table)
     contracts.require_columns(raw, {src for _, _, src in cols}, f"input of {table}")
-    return raw.select(*[RULES[rule](F.col(src)).alias(dst) for dst, rule, src in cols])
-
-
-def bucket_by_words(c: Column, buckets, otherwise: Column) -> Column:
-    """First bucket one of whose words occurs in ``c``."""
-    out = None
-    for label, words in buckets:
-        hit = c.contains(words[0])
-        for w in words[1:]:
-            hit = hit | c.contains(w)
-        out = F.when(hit, label) if out is None else out.when(hit, label)
-    return out.otherwise(otherwise)
+    return raw.selectExpr(*[f"{RULES[rule](f'`{src}`')} AS {dst}" for dst, rule, src in cols])
+
+
+def bucket_by_words(x: str, buckets, otherwise: str) -> Column:
+    """First bucket one of whose words occurs in ``x``."""
+    arms = " ".join(
+        "WHEN " + " OR ".join(f"contains({x}, '{w}')" for w in words) + f" THEN '{label}'"
+        for label, words in buckets
+    )
+    return F.expr(f"CASE {arms} ELSE {otherwise} END")

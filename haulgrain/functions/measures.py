@@ -68,11 +68,3 @@ def weighted_csat() -> Column:
     return ratio(
         F.sum(F.when(known, F.col("average_csat_score") * n)), F.sum(F.when(known, n))
     )
-
-
-def net_promoter() -> Column:
-    p, pa, d = (
-        F.sum(F.coalesce(F.col(c), F.lit(0)))
-        for c in ("promoter_count", "passive_count", "detractor_count")
-    )
-    return ratio(F.lit(100) * (p - d), p + pa + d)

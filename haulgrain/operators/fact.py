@@ -11,15 +11,6 @@ from haulgrain.operators.dimensions import date_key, known, lane_key, service_ke
 from haulgrain.operators.matching import Rule, cascade_match
 from haulgrain.operators.staging import crosswalk_lookup
 
-# Child columns that read zero, not null, on a shipment without such a child.
-ZERO_WITHOUT_CHILD = set(
-    "shipment_line_count tracking_event_count tracking_exception_count wms_record_count "
-    "invoice_count customer_revenue_usd carrier_cost_usd total_accessorial_usd "
-    "total_fuel_surcharge_usd disputed_invoice_count claim_count claims_requested_usd "
-    "claims_paid_usd ticket_count severe_ticket_count late_delivery_ticket_count "
-    "damage_ticket_count survey_response_count valid_csat_response_count".split()
-)
-
 SHIPMENT_ATTRIBUTES = (
     "sales_order_id customer_po bol_number pro_number tracking_number dest_city dest_state "
     "dest_postal dest_country mode service_level_code service_level_name shipment_status "
@@ -27,14 +18,24 @@ SHIPMENT_ATTRIBUTES = (
     "final_on_time_flag days_late official_kpi_eligible_flag"
 ).split()
 
-CHILD_ORDER = ("lines", "events", "wms", "invoices", "claims", "tickets", "surveys")
-
-# The contract lists fill rate before weight and hazard.
-LINE_ORDER = (
-    "shipment_line_count total_quantity_ordered total_quantity_shipped "
-    "missing_shipped_quantity_lines short_shipped_lines over_shipped_lines "
-    "shipment_fill_rate calculated_line_weight_lb hazardous_shipment_flag"
-).split()
+# Child columns in contract order; a star marks those that read zero, not null, on a
+# shipment without such a child.
+CHILD_COLUMNS = {
+    "lines": "shipment_line_count* total_quantity_ordered total_quantity_shipped "
+             "missing_shipped_quantity_lines short_shipped_lines over_shipped_lines "
+             "shipment_fill_rate calculated_line_weight_lb hazardous_shipment_flag",
+    "events": "tracking_event_count* first_pickup_event_ts final_delivery_event_ts "
+              "tracking_exception_count*",
+    "wms": "wms_record_count* warehouse_cycle_hours pick_to_pack_hours pack_to_ship_hours "
+           "short_pick_flag average_inventory_accuracy",
+    "invoices": "invoice_count* customer_revenue_usd* carrier_cost_usd* total_accessorial_usd* "
+                "total_fuel_surcharge_usd* disputed_invoice_count*",
+    "claims": "claim_count* claims_requested_usd* claims_paid_usd*",
+    "tickets": "ticket_count* severe_ticket_count* average_resolution_hours "
+               "late_delivery_ticket_count* damage_ticket_count*",
+    "surveys": "survey_response_count* valid_csat_response_count* average_csat_score "
+               "promoter_count passive_count detractor_count shipment_nps",
+}
 
 
 def resolve_customers(
@@ -100,16 +101,15 @@ def fact_shipment(resolved: DataFrame, children: dict[str, DataFrame]) -> DataFr
         date_key(delivered).alias("actual_delivery_date_key"),
         *SHIPMENT_ATTRIBUTES,
     )
-    for name in CHILD_ORDER:
-        child = children[name].where(F.col("tms_shipment_id").isNotNull())
-        columns = LINE_ORDER if name == "lines" else child.columns[1:]
-        zero = {
-            c: F.coalesce(F.col(c), F.lit(0).cast(child.schema[c].dataType)).alias(c)
-            for c in columns if c in ZERO_WITHOUT_CHILD
-        }
-        df = df.join(child, "tms_shipment_id", "left").select(
-            *df.columns, *[zero.get(c, F.col(c)) for c in columns]
-        )
+    kept = df.columns
+    for name in CHILD_COLUMNS:
+        child = children[name].where("tms_shipment_id IS NOT NULL")
+        df = df.join(child, "tms_shipment_id", "left")
+    measures = [
+        f"coalesce({c[:-1]}, 0) AS {c[:-1]}" if c.endswith("*") else c
+        for listed in CHILD_COLUMNS.values() for c in listed.split()
+    ]
+    df = df.selectExpr(*kept, *measures)
     return df.withColumns({
         "gross_margin_usd": margin(),
         "gross_margin_percentage": ratio(margin(), F.col("customer_revenue_usd")),

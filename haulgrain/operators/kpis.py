@@ -5,69 +5,72 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulgrain.functions.measures import (
-    count_where,
-    is_false,
-    is_true,
-    mean_where,
-    month_start,
-    net_promoter,
-    rate_where,
-    ratio,
-    weighted_csat,
-    year_month,
-)
+from haulgrain.functions.measures import month_start, year_month
+
+_OFFICIAL = "official_kpi_eligible_flag"
+_CSAT = "valid_csat_response_count > 0 AND average_csat_score IS NOT NULL"
+_NPS = [f"sum(coalesce({c}_count, 0))" for c in ("promoter", "passive", "detractor")]
+
+
+def _mean(value: str, where: str) -> str:
+    return f"avg(CASE WHEN {where} THEN {value} END)"
+
+
+def _share(flag: str, where: str = "true") -> str:
+    """Share of true among rows whose flag is known."""
+    return _mean(f"int({flag})", where)
+
+
+def _ratio(a: str, b: str) -> str:
+    return f"try_divide(double({a}), double({b}))"
+
+
+# Every KPI as an aggregate over the fact; each rate has its own denominator.
+KPI: dict[str, str] = {
+    "total_shipments": "count(1)",
+    "official_kpi_shipments": f"count_if({_OFFICIAL})",
+    "otd_eligible_shipments": f"count_if({_OFFICIAL} AND final_on_time_flag IS NOT NULL)",
+    "on_time_shipments": f"count_if({_OFFICIAL} AND final_on_time_flag)",
+    "late_shipments": f"count_if({_OFFICIAL} AND NOT final_on_time_flag)",
+    "on_time_delivery_rate": _share("final_on_time_flag", _OFFICIAL),
+    "otif_eligible_shipments": f"count_if({_OFFICIAL} AND otif_flag IS NOT NULL)",
+    "otif_shipments": f"count_if({_OFFICIAL} AND otif_flag)",
+    "otif_rate": _share("otif_flag", _OFFICIAL),
+    "average_fill_rate": _mean("shipment_fill_rate", _OFFICIAL),
+    "full_fill_eligible_shipments": f"count_if({_OFFICIAL} AND shipment_fill_rate IS NOT NULL)",
+    "full_fill_shipments": f"count_if({_OFFICIAL} AND shipment_fill_rate >= 1)",
+    "full_fill_rate": _share("shipment_fill_rate >= 1", _OFFICIAL),
+    "average_days_late": _mean("days_late", f"{_OFFICIAL} AND NOT final_on_time_flag"),
+    "average_tracking_exceptions": "avg(tracking_exception_count)",
+    "average_warehouse_cycle_hours": "avg(warehouse_cycle_hours)",
+    "average_pick_to_pack_hours": "avg(pick_to_pack_hours)",
+    "average_pack_to_ship_hours": "avg(pack_to_ship_hours)",
+    "short_pick_rate": _share("short_pick_flag", "wms_record_count > 0"),
+    "average_inventory_accuracy": "avg(average_inventory_accuracy)",
+    "average_lane_miles": "avg(lane_miles_est)",
+    "customer_revenue_usd": "sum(customer_revenue_usd)",
+    "carrier_cost_usd": "sum(carrier_cost_usd)",
+    "accessorial_cost_usd": "sum(total_accessorial_usd)",
+    "claims_paid_usd": "sum(claims_paid_usd)",
+    "gross_margin_usd": "sum(gross_margin_usd)",
+    "gross_margin_percentage": _ratio("sum(gross_margin_usd)", "sum(customer_revenue_usd)"),
+    "carrier_cost_per_shipment": _ratio("sum(carrier_cost_usd)", "count(1)"),
+    "shipments_with_complaints": "count_if(complaint_flag)",
+    "complaint_rate": _share("complaint_flag"),
+    "shipments_with_claims": "count_if(claim_flag)",
+    "claim_rate": _share("claim_flag"),
+    "average_csat_score": _ratio(
+        f"sum(CASE WHEN {_CSAT} THEN average_csat_score * valid_csat_response_count END)",
+        f"sum(CASE WHEN {_CSAT} THEN valid_csat_response_count END)",
+    ),
+    "net_promoter_score": _ratio(
+        f"100 * ({_NPS[0]} - {_NPS[2]})", f"{_NPS[0]} + {_NPS[1]} + {_NPS[2]}"
+    ),
+}
+
 
 def definitions() -> dict[str, Column]:
-    """Every KPI as an aggregate over the fact; each rate has its own denominator."""
-    official = is_true("official_kpi_eligible_flag")
-    otd_known = official & F.col("final_on_time_flag").isNotNull()
-    otif_known = official & F.col("otif_flag").isNotNull()
-    fill_known = official & F.col("shipment_fill_rate").isNotNull()
-    full = F.col("shipment_fill_rate") >= 1
-    late = official & is_false("final_on_time_flag")
-
-    rows = F.count(F.lit(1))
-    revenue = F.sum("customer_revenue_usd")
-    margin = F.sum("gross_margin_usd")
-    cost = F.sum("carrier_cost_usd")
-
-    return {
-        "total_shipments": rows,
-        "official_kpi_shipments": count_where(official),
-        "otd_eligible_shipments": count_where(otd_known),
-        "on_time_shipments": count_where(official & is_true("final_on_time_flag")),
-        "late_shipments": count_where(late),
-        "on_time_delivery_rate": rate_where(F.col("final_on_time_flag"), official),
-        "otif_eligible_shipments": count_where(otif_known),
-        "otif_shipments": count_where(official & is_true("otif_flag")),
-        "otif_rate": rate_where(F.col("otif_flag"), official),
-        "average_fill_rate": mean_where(F.col("shipment_fill_rate"), official),
-        "full_fill_eligible_shipments": count_where(fill_known),
-        "full_fill_shipments": count_where(official & full),
-        "full_fill_rate": rate_where(full, official),
-        "average_days_late": mean_where(F.col("days_late"), late),
-        "average_tracking_exceptions": F.avg("tracking_exception_count"),
-        "average_warehouse_cycle_hours": F.avg("warehouse_cycle_hours"),
-        "average_pick_to_pack_hours": F.avg("pick_to_pack_hours"),
-        "average_pack_to_ship_hours": F.avg("pack_to_ship_hours"),
-        "short_pick_rate": rate_where(F.col("short_pick_flag"), F.col("wms_record_count") > 0),
-        "average_inventory_accuracy": F.avg("average_inventory_accuracy"),
-        "average_lane_miles": F.avg("lane_miles_est"),
-        "customer_revenue_usd": revenue,
-        "carrier_cost_usd": cost,
-        "accessorial_cost_usd": F.sum("total_accessorial_usd"),
-        "claims_paid_usd": F.sum("claims_paid_usd"),
-        "gross_margin_usd": margin,
-        "gross_margin_percentage": ratio(margin, revenue),
-        "carrier_cost_per_shipment": ratio(cost, rows),
-        "shipments_with_complaints": count_where(F.col("complaint_flag")),
-        "complaint_rate": F.avg(F.col("complaint_flag").cast("int")),
-        "shipments_with_claims": count_where(F.col("claim_flag")),
-        "claim_rate": F.avg(F.col("claim_flag").cast("int")),
-        "average_csat_score": weighted_csat(),
-        "net_promoter_score": net_promoter(),
-    }
+    return {name: F.expr(sql) for name, sql in KPI.items()}
 
 
 SERVICE = (
@@ -126,8 +129,7 @@ MONTHLY = [
 
 
 def kpi_columns(names) -> list[Column]:
-    kpi = definitions()
-    return [kpi[n].alias(n) for n in names]
+    return [F.expr(f"{KPI[n]} AS {n}") for n in names]
 
 
 def executive(fact: DataFrame) -> DataFrame:

@@ -37,34 +37,25 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).where(F.col(key).isNotNull()).distinct()
 
 
-def _spread_key(key: Column, columns: Sequence[str]) -> Column:
-    """``key``, or a row-content hash where it is null, so nulls do not pile up in one task.
-
-    The hash depends on the row alone, so a re-run task sends its rows to the same place.
-    """
-    pad = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(SPREAD))
-    return F.coalesce(key, F.concat(F.lit("\u0001no key "), pad.cast("string")))
-
-
 def left_lookup(
-    df: DataFrame, key: Column, lookup: DataFrame, lookup_key: str, **take: str
+    df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, **take: str
 ) -> DataFrame:
     """Left join to a one-row-per-key lookup; ``take`` maps new columns to lookup columns.
 
-    Keys are text. Hot non-null keys are left to adaptive skew-join splitting.
+    ``key`` is a SQL expression of text type. Rows whose key is null cannot match; they are
+    spread by a hash of their leading columns (ids come first in every table) so that they
+    do not pile up in one task. The hash depends on the row alone, so a re-run task sends
+    its rows to the same place. Hot non-null keys are left to adaptive skew-join splitting.
     """
-    right = lookup.select(
-        F.col(lookup_key).alias("_rk"), *[F.col(src).alias(f"_r_{dst}") for dst, src in take.items()]
-    )
-    joined = (
-        df.withColumn("_has", key.isNotNull())
-        .withColumn("_lk", _spread_key(key, df.columns))
-        .join(right, (F.col("_lk") == F.col("_rk")), "left")
-    )
-    return joined.select(
-        *df.columns,
-        *[F.when(F.col("_has"), F.col(f"_r_{dst}")).alias(dst) for dst in take],
+    right = lookup.selectExpr(
+        f"{lookup_key} AS _rk", *[f"{src} AS _r_{dst}" for dst, src in take.items()]
     )
+    ids = ", ".join(df.columns[:6])
+    spread = f"concat('\u0001no key ', pmod(xxhash64({ids}), {SPREAD}))"
+    joined = df.join(right, F.expr(f"coalesce({key}, {spread}) = _rk"), "left")
+    return joined.withColumns(
+        {dst: F.expr(f"if(({key}) IS NULL, NULL, _r_{dst})") for dst in take}
+    ).drop("_rk", *[f"_r_{dst}" for dst in take])
 
 
 def flag_matches(
@@ -72,8 +63,8 @@ def flag_matches(
 ) -> DataFrame:
     """Add a boolean: does ``key`` occur in ``parents``? Every row is kept once."""
     keys = distinct_keys(parents, parent_key)
-    out = left_lookup(df, F.col(key), keys, parent_key, _hit=parent_key)
-    return out.withColumn(flag, F.col("_hit").isNotNull()).drop("_hit")
+    out = left_lookup(df, key, keys, parent_key, _hit=parent_key)
+    return out.withColumn(flag, F.expr("_hit IS NOT NULL")).drop("_hit")
 
 
 @dataclass(frozen=True)
@@ -99,34 +90,24 @@ def cascade_match(
     Adds ``matched`` (the target id), ``method`` (the rule's label or UNMATCHED) and, from
     the lookup that hit, each ``payload`` column.
     """
-    keep = df.columns
-    hits: list[str] = []
+    hits = [f"_hit{i}" for i in range(len(rules))]
     for i, rule in enumerate(rules):
-        open_row = F.lit(True)
-        for h in hits:
-            open_row = open_row & F.col(h).isNull()
-        hit = f"_hit{i}"
-        take = {hit: rule.target, **{f"_{p}{i}": p for p in payload}}
-        key = F.when(open_row, F.col(rule.key)) if hits else F.col(rule.key)
+        still_open = " AND ".join(f"{h} IS NULL" for h in hits[:i])
+        key = f"CASE WHEN {still_open} THEN {rule.key} END" if i else rule.key
+        take = {hits[i]: rule.target, **{f"_{p}{i}": p for p in payload}}
         df = left_lookup(df, key, rule.lookup, rule.lookup_key, **take)
-        hits.append(hit)
-    label = F.lit(contracts.UNMATCHED)
-    for rule, hit in reversed(list(zip(rules, hits))):
-        label = F.when(F.col(hit).isNotNull(), F.lit(rule.label)).otherwise(label)
+    arms = " ".join(f"WHEN {h} IS NOT NULL THEN '{r.label}'" for r, h in zip(rules, hits))
     # At most one rule hits, so coalesce picks that rule's payload.
-    extra = [
-        F.coalesce(*[F.col(f"_{p}{i}") for i in range(len(rules))]).alias(p) for p in payload
-    ]
-    return df.select(
-        *keep,
-        F.coalesce(*[F.col(h) for h in hits]).alias(matched),
-        label.alias(method),
-        *extra,
-    )
+    carried = {p: [f"_{p}{i}" for i in range(len(rules))] for p in payload}
+    return df.withColumns({
+        matched: F.coalesce(*hits),
+        method: F.expr(f"CASE {arms} ELSE '{contracts.UNMATCHED}' END"),
+        **{p: F.coalesce(*parts) for p, parts in carried.items()},
+    }).drop(*hits, *[c for parts in carried.values() for c in parts])
 
 
 def flag_replaced(
-    df: DataFrame, key: str, parent_key: str, counts: Column, flag: str
+    df: DataFrame, key: str, parent_key: str, counts: str, flag: str
 ) -> DataFrame:
     """Add a boolean: does a row satisfying ``counts`` name this row's key as its parent?"""
     return flag_matches(df, key, df.where(counts).select(parent_key), parent_key, flag)

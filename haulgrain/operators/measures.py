@@ -7,7 +7,7 @@ column. All of them come out of one pass over the fact.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulgrain.contracts import KPI_TARGETS, UNKNOWN
-from haulgrain.functions.measures import is_false, is_true, month_start, ratio
-from haulgrain.operators.kpis import definitions
+from haulgrain.functions.measures import month_start, ratio
+from haulgrain.operators.kpis import KPI
 
 ROLES = {
     "ship": "ship_date",
@@ -37,15 +37,14 @@ class Slice:
     def dated(self) -> bool:
         return self.start is not None or self.end is not None
 
-    def in_range(self, column: str) -> Column:
-        """Is the date inside the range? Undated rows are outside any range."""
-        c = F.col(column)
-        ok = c.isNotNull()
+    def in_range(self, column: str) -> str:
+        """SQL: is the date inside the range? Undated rows are outside any range."""
+        parts = [f"{column} IS NOT NULL"]
         if self.start is not None:
-            ok = ok & (c >= F.lit(self.start).cast("date"))
+            parts.append(f"{column} >= DATE'{self.start}'")
         if self.end is not None:
-            ok = ok & (c <= F.lit(self.end).cast("date"))
-        return ok
+            parts.append(f"{column} <= DATE'{self.end}'")
+        return " AND ".join(parts)
 
 
 def apply_filters(fact: DataFrame, s: Slice) -> DataFrame:
@@ -63,70 +62,49 @@ def apply_slice(fact: DataFrame, s: Slice, role: str = "ship") -> DataFrame:
 
 @dataclass(frozen=True)
 class Base:
-    """An aggregate of ``value`` (None counts rows) where ``when`` holds."""
+    """An aggregate of ``value`` (SQL; None counts rows) where ``when`` (SQL) holds.
+
+    ``role`` names the date column a date range applies to; None ignores the range.
+    """
 
     how: str
     value: str | None = None
-    when: Callable[[], Column] | None = None
-    role: str | None = "ship"  # date column the range applies to; None ignores the range
-
-
-def _official() -> Column:
-    return is_true("official_kpi_eligible_flag")
-
-
-def _known(column: str) -> Callable[[], Column]:
-    return lambda: F.col(column).isNotNull()
-
-
-def _official_and(cond: Callable[[], Column]) -> Callable[[], Column]:
-    return lambda: _official() & cond()
-
-
-def _positive(column: str) -> Callable[[], Column]:
-    return lambda: F.col(column) > 0
+    when: str | None = None
+    role: str | None = "ship"
 
 
-def _member(column: str) -> Callable[[], Column]:
-    return lambda: F.col(column) != UNKNOWN
+def _count(when: str | None = None, role: str | None = "ship") -> Base:
+    return Base("count", None, when, role)
 
 
-def _wms_and(cond: Callable[[], Column]) -> Callable[[], Column]:
-    return lambda: (F.col("wms_record_count") > 0) & cond()
-
-
-def _csat_known() -> Column:
-    return (F.col("valid_csat_response_count") > 0) & F.col("average_csat_score").isNotNull()
-
-
-def _full() -> Column:
-    return F.col("shipment_fill_rate") >= 1
-
+_OFFICIAL = "official_kpi_eligible_flag"
+_WMS = "wms_record_count > 0"
+_CSAT = "valid_csat_response_count > 0 AND average_csat_score IS NOT NULL"
 
 BASES: dict[str, Base] = {
-    "total_shipments": Base("count"),
-    "official_kpi_shipments": Base("count", when=_official),
+    "total_shipments": _count(),
+    "official_kpi_shipments": _count(_OFFICIAL),
     "shipment_lines": Base("sum", "shipment_line_count"),
     "quantity_ordered": Base("sum", "total_quantity_ordered"),
     "quantity_shipped": Base("sum", "total_quantity_shipped"),
-    "delivered_shipments": Base("count", when=_known("actual_delivery_date"), role="actual"),
-    "promised_shipments": Base("count", when=_known("promised_delivery_date"), role="promised"),
-    "otd_eligible_shipments": Base("count", when=_official_and(_known("final_on_time_flag"))),
-    "on_time_shipments": Base("count", when=_official_and(lambda: is_true("final_on_time_flag"))),
-    "late_shipments": Base("count", when=_official_and(lambda: is_false("final_on_time_flag"))),
-    "otif_eligible_shipments": Base("count", when=_official_and(_known("otif_flag"))),
-    "otif_shipments": Base("count", when=_official_and(lambda: is_true("otif_flag"))),
-    "average_fill_rate": Base("avg", "shipment_fill_rate", _official),
-    "full_fill_eligible_shipments": Base("count", when=_official_and(_known("shipment_fill_rate"))),
-    "full_fill_shipments": Base("count", when=_official_and(_full)),
-    "average_days_late": Base("avg", "days_late", _official_and(lambda: is_false("final_on_time_flag"))),
+    "delivered_shipments": _count("actual_delivery_date IS NOT NULL", "actual"),
+    "promised_shipments": _count("promised_delivery_date IS NOT NULL", "promised"),
+    "otd_eligible_shipments": _count(f"{_OFFICIAL} AND final_on_time_flag IS NOT NULL"),
+    "on_time_shipments": _count(f"{_OFFICIAL} AND final_on_time_flag"),
+    "late_shipments": _count(f"{_OFFICIAL} AND NOT final_on_time_flag"),
+    "otif_eligible_shipments": _count(f"{_OFFICIAL} AND otif_flag IS NOT NULL"),
+    "otif_shipments": _count(f"{_OFFICIAL} AND otif_flag"),
+    "average_fill_rate": Base("avg", "shipment_fill_rate", _OFFICIAL),
+    "full_fill_eligible_shipments": _count(f"{_OFFICIAL} AND shipment_fill_rate IS NOT NULL"),
+    "full_fill_shipments": _count(f"{_OFFICIAL} AND shipment_fill_rate >= 1"),
+    "average_days_late": Base("avg", "days_late", f"{_OFFICIAL} AND NOT final_on_time_flag"),
     "tracking_exceptions": Base("sum", "tracking_exception_count"),
     "average_warehouse_cycle_hours": Base("avg", "warehouse_cycle_hours"),
     "average_pick_to_pack_hours": Base("avg", "pick_to_pack_hours"),
     "average_pack_to_ship_hours": Base("avg", "pack_to_ship_hours"),
-    "wms_matched_shipments": Base("count", when=_positive("wms_record_count")),
-    "short_pick_shipments": Base("count", when=_wms_and(lambda: is_true("short_pick_flag"))),
-    "short_pick_eligible_shipments": Base("count", when=_wms_and(_known("short_pick_flag"))),
+    "wms_matched_shipments": _count(_WMS),
+    "short_pick_shipments": _count(f"{_WMS} AND short_pick_flag"),
+    "short_pick_eligible_shipments": _count(f"{_WMS} AND short_pick_flag IS NOT NULL"),
     "average_inventory_accuracy": Base("avg", "average_inventory_accuracy"),
     "customer_revenue": Base("sum", "customer_revenue_usd"),
     "carrier_cost": Base("sum", "carrier_cost_usd"),
@@ -134,28 +112,28 @@ BASES: dict[str, Base] = {
     "fuel_surcharge": Base("sum", "total_fuel_surcharge_usd"),
     "claims_paid": Base("sum", "claims_paid_usd"),
     "gross_margin": Base("sum", "gross_margin_usd"),
-    "invoice_matched_shipments": Base("count", when=_positive("invoice_count")),
+    "invoice_matched_shipments": _count("invoice_count > 0"),
     "claim_count": Base("sum", "claim_count"),
-    "shipments_with_claims": Base("count", when=lambda: is_true("claim_flag")),
+    "shipments_with_claims": _count("claim_flag"),
     "complaint_tickets": Base("sum", "ticket_count"),
-    "shipments_with_complaints": Base("count", when=lambda: is_true("complaint_flag")),
+    "shipments_with_complaints": _count("complaint_flag"),
     "severe_tickets": Base("sum", "severe_ticket_count"),
     "average_resolution_hours": Base("avg", "average_resolution_hours"),
-    "surveyed_shipments": Base("count", when=_positive("survey_response_count")),
-    "_csat_points": Base("csat", when=_csat_known),
-    "_csat_responses": Base("sum", "valid_csat_response_count", _csat_known),
+    "surveyed_shipments": _count("survey_response_count > 0"),
+    "_csat_points": Base("sum", "average_csat_score * valid_csat_response_count", _CSAT),
+    "_csat_responses": Base("sum", "valid_csat_response_count", _CSAT),
     "promoters": Base("sum", "promoter_count"),
     "passives": Base("sum", "passive_count"),
     "detractors": Base("sum", "detractor_count"),
-    "shipments_with_known_ship_date": Base("count", when=_known("ship_date"), role=None),
-    "shipments_missing_ship_date": Base("count", when=lambda: F.col("ship_date").isNull(), role=None),
-    "revenue_with_known_ship_date": Base("sum", "customer_revenue_usd", _known("ship_date"), None),
-    "revenue_missing_ship_date": Base(
-        "sum", "customer_revenue_usd", lambda: F.col("ship_date").isNull(), None
+    "shipments_with_known_ship_date": _count("ship_date IS NOT NULL", None),
+    "shipments_missing_ship_date": _count("ship_date IS NULL", None),
+    "revenue_with_known_ship_date": Base(
+        "sum", "customer_revenue_usd", "ship_date IS NOT NULL", None
     ),
-    "matched_customer_shipments": Base("count", when=_member("customer_key")),
-    "matched_carrier_shipments": Base("count", when=_member("carrier_key")),
-    "matched_warehouse_shipments": Base("count", when=_member("warehouse_key")),
+    "revenue_missing_ship_date": Base("sum", "customer_revenue_usd", "ship_date IS NULL", None),
+    "matched_customer_shipments": _count(f"customer_key <> '{UNKNOWN}'"),
+    "matched_carrier_shipments": _count(f"carrier_key <> '{UNKNOWN}'"),
+    "matched_warehouse_shipments": _count(f"warehouse_key <> '{UNKNOWN}'"),
     "data_through_date": Base("max", "ship_date", role=None),
 }
 
@@ -185,26 +163,20 @@ RATIOS: dict[str, tuple[str, str, int]] = {
     "warehouse_match_rate": ("matched_warehouse_shipments", "total_shipments", 1),
 }
 
-# derived -> (bases it needs, expression over their columns)
-FORMULAS: dict[str, tuple[list[str], Callable[[], Column]]] = {
-    "nps_responses": (
-        ["promoters", "passives", "detractors"],
-        lambda: F.coalesce("promoters", F.lit(0)) + F.coalesce("passives", F.lit(0))
-        + F.coalesce("detractors", F.lit(0)),
-    ),
+_NPS_N = "coalesce(promoters, 0) + coalesce(passives, 0) + coalesce(detractors, 0)"
+
+# derived -> (bases it needs, SQL over their columns)
+FORMULAS: dict[str, tuple[list[str], str]] = {
+    "nps_responses": (["promoters", "passives", "detractors"], _NPS_N),
     "net_promoter_score": (
         ["promoters", "passives", "detractors"],
-        lambda: ratio(
-            F.lit(100) * (F.coalesce("promoters", F.lit(0)) - F.coalesce("detractors", F.lit(0))),
-            FORMULAS["nps_responses"][1](),
-        ),
+        "try_divide(double(100 * (coalesce(promoters, 0) - coalesce(detractors, 0))),"
+        f" double({_NPS_N}))",
     ),
     "ship_date_coverage_pct": (
         ["shipments_with_known_ship_date", "shipments_missing_ship_date"],
-        lambda: ratio(
-            F.col("shipments_with_known_ship_date"),
-            F.col("shipments_with_known_ship_date") + F.col("shipments_missing_ship_date"),
-        ),
+        "try_divide(double(shipments_with_known_ship_date),"
+        " double(shipments_with_known_ship_date + shipments_missing_ship_date))",
     ),
 }
 
@@ -257,29 +229,25 @@ def _parts(name: str) -> list[str]:
     raise KeyError(f"no measure named {name}")
 
 
-def _aggregate(base: Base, s: Slice, pushed: bool) -> Column:
-    cond = base.when() if base.when else None
+def _aggregate(base: Base, s: Slice, pushed: bool) -> str:
+    conds = [base.when] if base.when else []
     if s.dated and base.role and not pushed:
-        span = s.in_range(ROLES[base.role])
-        cond = span if cond is None else cond & span
+        conds.append(s.in_range(ROLES[base.role]))
+    where = " AND ".join(f"({c})" for c in conds)
     if base.how == "count":
-        return F.count(F.lit(1)) if cond is None else F.count_if(cond)
-    value = (
-        F.col("average_csat_score") * F.col("valid_csat_response_count")
-        if base.how == "csat" else F.col(base.value)
-    )
-    if cond is not None:
-        value = F.when(cond, value)
-    return getattr(F, "sum" if base.how == "csat" else base.how)(value)
+        return f"count_if({where})" if where else "count(1)"
+    value = f"CASE WHEN {where} THEN {base.value} END" if where else base.value
+    return f"{base.how}({value})"
 
 
-def _derive(name: str) -> Column:
+def _derive(name: str) -> str:
     if name in RATIOS:
         a, b, factor = RATIOS[name]
-        return ratio(F.col(a) * factor if factor != 1 else F.col(a), F.col(b))
+        top = a if factor == 1 else f"{factor} * {a}"
+        return f"try_divide(double({top}), double({b}))"
     if name in FORMULAS:
-        return FORMULAS[name][1]()
-    return F.col(name)
+        return FORMULAS[name][1]
+    return name
 
 
 def evaluate(
@@ -293,11 +261,11 @@ def evaluate(
     bases = list(dict.fromkeys(p for n in names for p in _parts(n)))
     pushed = s.dated and all(BASES[b].role == "ship" for b in bases)
     df = apply_slice(fact, s) if pushed else apply_filters(fact, s)
-    keys = [F.col(k) if isinstance(k, str) else k for k in by]
-    grouped = df.groupBy(*keys) if keys else df.groupBy()
-    out = grouped.agg(*[_aggregate(BASES[b], s, pushed).alias(b) for b in bases])
-    labels = out.columns[: len(keys)]
-    return out.select(*labels, *[_derive(n).alias(n) for n in names])
+    out = df.groupBy(*by).agg(
+        *[F.expr(f"{_aggregate(BASES[b], s, pushed)} AS {b}") for b in bases]
+    )
+    labels = out.columns[: len(by)]
+    return out.selectExpr(*labels, *[f"{_derive(n)} AS {n}" for n in names])
 
 
 def shipments_by_role(fact: DataFrame) -> DataFrame:
@@ -368,15 +336,8 @@ TARGETED = {
 
 def target_status(fact: DataFrame) -> DataFrame:
     """Each targeted KPI against its target: On target, Watch, Off target or No data."""
-    kpi = definitions()
-    actuals = fact.agg(
-        F.array(
-            *[
-                F.struct(F.lit(n).alias("kpi_name"), kpi[c].cast("double").alias("actual"))
-                for n, c in TARGETED.items()
-            ]
-        ).alias("rows")
-    ).select(F.inline("rows"))
+    rows = ", ".join(f"struct('{n}' AS kpi_name, double({KPI[c]}) AS actual)" for n, c in TARGETED.items())
+    actuals = fact.agg(F.expr(f"array({rows}) AS rows")).selectExpr("inline(rows)")
     actual, target, slack = (F.col(c) for c in ("actual", "target_value", "warning_tolerance"))
     higher = F.col("direction") == "Higher"
     status = (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulgrain import contracts as C
-from haulgrain.functions.cleaning import to_double, to_ts, upper
+from haulgrain.functions.cleaning import cleaned
 from haulgrain.functions.measures import count_where
 
 
@@ -63,8 +63,8 @@ def profile_columns_of(df: DataFrame, table: str) -> DataFrame:
     ])))
     counted = cells.groupBy("column_name", "value").count()
     value, name = F.col("value"), F.col("column_name")
-    number = F.when(name.isin(list(numeric)), to_double(value)) if numeric else F.lit(None).cast("double")
-    moment = F.when(name.isin(list(timed)), to_ts(value)) if timed else F.lit(None).cast("timestamp_ntz")
+    number = F.when(name.isin(list(numeric)), cleaned("double", "value")) if numeric else F.lit(None).cast("double")
+    moment = F.when(name.isin(list(timed)), cleaned("ts", "value")) if timed else F.lit(None).cast("timestamp_ntz")
 
     def edge(pick) -> Column:
         return F.coalesce(
@@ -150,10 +150,10 @@ REFERENCES = [
 
 def _row_checks() -> dict[str, list[tuple[str, Column, str, str]]]:
     """Checks that one conditional count per table answers."""
-    picked, delivered = to_ts(F.col("actual_pickup_ts")), to_ts(F.col("actual_delivery_ts"))
-    ordered, shipped = to_double(F.col("qty_ordered")), to_double(F.col("qty_shipped"))
-    asked, paid = (to_double(F.col(f"claim_amount_{c}_usd")) for c in ("requested", "paid"))
-    csat, nps = to_double(F.col("csat_score_1_to_5")), to_double(F.col("nps_score_0_to_10"))
+    picked, delivered = cleaned("ts", "actual_pickup_ts"), cleaned("ts", "actual_delivery_ts")
+    ordered, shipped = cleaned("double", "qty_ordered"), cleaned("double", "qty_shipped")
+    asked, paid = (cleaned("double", f"claim_amount_{c}_usd") for c in ("requested", "paid"))
+    csat, nps = cleaned("double", "csat_score_1_to_5"), cleaned("double", "nps_score_0_to_10")
     no_id = F.col("tms_shipment_id").isNull()
     return {
         "tms_shipments": [
@@ -209,8 +209,8 @@ def count_orphans(child: DataFrame, column: str, parent: DataFrame, parent_colum
 
     References are counted per value before the anti join, so a hot value is one row.
     """
-    refs = child.select(upper(F.col(column)).alias("ref")).where("ref IS NOT NULL").groupBy("ref").count()
-    known = parent.select(upper(F.col(parent_column)).alias("ref")).distinct()
+    refs = child.select(cleaned("upper", column).alias("ref")).where("ref IS NOT NULL").groupBy("ref").count()
+    known = parent.select(cleaned("upper", parent_column).alias("ref")).distinct()
     return refs.join(known, "ref", "left_anti").agg(
         F.coalesce(F.sum("count"), F.lit(0)).alias("orphans")
     )
@@ -220,10 +220,12 @@ def business_checks(raw) -> DataFrame:
     """Every quality check as one row: table, check, status, count, severity, description."""
     frames = []
     for t, keys in C.PRIMARY_KEYS.items():
-        nulls = raw[t].agg(count_where(~_complete(keys)).alias("n"))
-        groups = _key_groups(raw[t], keys).agg(count_where(F.col("count") > 1).alias("n"))
-        for one, check in ((nulls, KEY_CHECKS[0]), (groups, KEY_CHECKS[1])):
-            frames.append(_issue_rows(one, t, [check]))
+        # Counting per key value answers both questions in one pass.
+        one = raw[t].groupBy(*keys).count().agg(
+            F.coalesce(F.sum(F.when(~_complete(keys), F.col("count"))), F.lit(0)).alias("nulls"),
+            count_where(_complete(keys) & (F.col("count") > 1)).alias("repeats"),
+        )
+        frames.append(_issue_rows(one, t, KEY_CHECKS))
     for child, column, parent, parent_column, *check in REFERENCES:
         one = count_orphans(raw[child], column, raw[parent], parent_column)
         frames.append(_issue_rows(one, child, [tuple(check)]))
@@ -231,7 +233,7 @@ def business_checks(raw) -> DataFrame:
         one = raw[t].agg(*[count_where(cond).alias(f"c{i}") for i, (_, cond, _, _) in enumerate(checks)])
         frames.append(_issue_rows(one, t, [(name, sev, text) for name, _, sev, text in checks]))
     scans = raw["carrier_tracking_events"].where(
-        (upper(F.col("event_code")) == "DLV") & F.col("tms_shipment_id").isNotNull()
+        (cleaned("upper", "event_code") == "DLV") & F.col("tms_shipment_id").isNotNull()
     )
     extra = scans.groupBy("tms_shipment_id", "event_code").count().agg(
         F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n")

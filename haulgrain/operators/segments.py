@@ -11,14 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulgrain.functions.measures import (
-    count_where,
-    is_false,
-    is_true,
-    mean_where,
-    month_start,
-    ratio,
-)
+from haulgrain.functions.measures import mean_where, month_start, ratio
 
 # label -> (dimension, key, label column, text for a missing label)
 NAMES = {
@@ -60,36 +53,31 @@ def pick_names(fact: DataFrame, tables, wanted: dict[str, Sequence[str]]) -> Dat
     return fact
 
 
-def _totals() -> dict[str, Column]:
-    official = is_true("official_kpi_eligible_flag")
-
-    def money(name: str) -> Column:
-        return F.coalesce(F.sum(name), F.lit(0))
-
-    return {
-        "shipments": F.count(F.lit(1)),
-        "official_shipments": count_where(official),
-        "otd_eligible": count_where(official & F.col("final_on_time_flag").isNotNull()),
-        "on_time_shipments": count_where(official & is_true("final_on_time_flag")),
-        "late_shipments": count_where(official & is_false("final_on_time_flag")),
-        "otif_eligible": count_where(official & F.col("otif_flag").isNotNull()),
-        "otif_shipments": count_where(official & is_true("otif_flag")),
-        "fill_eligible": count_where(official & F.col("shipment_fill_rate").isNotNull()),
-        "full_fill_shipments": count_where(official & (F.col("shipment_fill_rate") >= 1)),
-        "revenue_usd": money("customer_revenue_usd"),
-        "carrier_cost_usd": money("carrier_cost_usd"),
-        "claims_paid_usd": money("claims_paid_usd"),
-        "gross_margin_usd": money("gross_margin_usd"),
-        "complaints": count_where(is_true("complaint_flag")),
-        "claims": count_where(is_true("claim_flag")),
-        "_cycle_sum": F.sum("warehouse_cycle_hours"),
-        "_cycle_n": F.count("warehouse_cycle_hours"),
-        "_short_sum": F.sum(F.col("short_pick_flag").cast("int")),
-        "_short_n": F.count("short_pick_flag"),
-        "_accuracy_sum": F.sum("average_inventory_accuracy"),
-        "_accuracy_n": F.count("average_inventory_accuracy"),
-    }
-
+_OFFICIAL = "official_kpi_eligible_flag"
+
+TOTALS: dict[str, str] = {
+    "shipments": "count(1)",
+    "official_shipments": f"count_if({_OFFICIAL})",
+    "otd_eligible": f"count_if({_OFFICIAL} AND final_on_time_flag IS NOT NULL)",
+    "on_time_shipments": f"count_if({_OFFICIAL} AND final_on_time_flag)",
+    "late_shipments": f"count_if({_OFFICIAL} AND NOT final_on_time_flag)",
+    "otif_eligible": f"count_if({_OFFICIAL} AND otif_flag IS NOT NULL)",
+    "otif_shipments": f"count_if({_OFFICIAL} AND otif_flag)",
+    "fill_eligible": f"count_if({_OFFICIAL} AND shipment_fill_rate IS NOT NULL)",
+    "full_fill_shipments": f"count_if({_OFFICIAL} AND shipment_fill_rate >= 1)",
+    "revenue_usd": "coalesce(sum(customer_revenue_usd), 0)",
+    "carrier_cost_usd": "coalesce(sum(carrier_cost_usd), 0)",
+    "claims_paid_usd": "coalesce(sum(claims_paid_usd), 0)",
+    "gross_margin_usd": "coalesce(sum(gross_margin_usd), 0)",
+    "complaints": "count_if(complaint_flag)",
+    "claims": "count_if(claim_flag)",
+    "_cycle_sum": "sum(warehouse_cycle_hours)",
+    "_cycle_n": "count(warehouse_cycle_hours)",
+    "_short_sum": "sum(int(short_pick_flag))",
+    "_short_n": "count(short_pick_flag)",
+    "_accuracy_sum": "sum(average_inventory_accuracy)",
+    "_accuracy_n": "count(average_inventory_accuracy)",
+}
 
 # derived -> (numerator, denominator, factor)
 _RATES = {
@@ -104,62 +92,66 @@ _RATES = {
     "short_pick_rate": ("_short_sum", "_short_n", 1),
     "inventory_accuracy": ("_accuracy_sum", "_accuracy_n", 1),
 }
-SUMMARY = [n for n in (
+SUMMARY = (
     "shipments official_shipments otd_eligible otif_eligible fill_eligible otd_rate otif_rate "
     "full_fill_rate late_shipments revenue_usd carrier_cost_usd claims_paid_usd "
     "gross_margin_usd margin_rate complaints claims complaint_shipments_per_1000 claim_rate "
     "carrier_cost_per_shipment"
-).split()]
+).split()
+
+
+def _needed(columns: Sequence[str]) -> list[str]:
+    parts = [p for c in columns for p in (_RATES[c][:2] if c in _RATES else (c,))]
+    return list(dict.fromkeys(parts))
 
 
 def _finish(totals: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    def value(name: str) -> Column:
+    def value(name: str) -> str:
         if name not in _RATES:
-            return F.col(name)
+            return name
         a, b, factor = _RATES[name]
-        return ratio(F.col(a) * factor, F.col(b)).alias(name)
+        return f"try_divide(double({factor} * {a}), double({b})) AS {name}"
 
-    return totals.select(*keys, *[value(c) for c in columns])
+    return totals.selectExpr(*keys, *[value(c) for c in columns])
 
 
-def _by(fact: DataFrame, keys: Sequence) -> DataFrame:
-    return fact.groupBy(*keys).agg(*[c.alias(n) for n, c in _totals().items()])
+def _by(fact: DataFrame, keys: Sequence, columns: Sequence[str]) -> DataFrame:
+    return fact.groupBy(*keys).agg(*[F.expr(f"{TOTALS[n]} AS {n}") for n in _needed(columns)])
 
 
-def _regroup(totals: DataFrame, key: str) -> DataFrame:
-    return totals.groupBy(key).agg(*[F.sum(n).alias(n) for n in _totals()])
+def _regroup(totals: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    return totals.groupBy(key).agg(*[F.expr(f"sum({n}) AS {n}") for n in _needed(columns)])
 
 
 def kpi_summary(
     fact: DataFrame, by: Sequence[str] = (), columns: Sequence[str] = tuple(SUMMARY)
 ) -> DataFrame:
     """Summary for any grouping columns of the fact; nulls are a group."""
-    return _finish(_by(fact, by), by, columns)
+    return _finish(_by(fact, by, columns), by, columns)
 
 
 def summary_by_label(
     fact: DataFrame, tables, out: str, columns: Sequence[str] = tuple(SUMMARY)
 ) -> DataFrame:
     """Summary by carrier, warehouse or customer name."""
-    totals = label(_by(fact, [NAMES[out][1]]), tables, out)
-    return _finish(_regroup(totals, out), [out], columns)
+    totals = label(_by(fact, [NAMES[out][1]], columns), tables, out)
+    return _finish(_regroup(totals, out, columns), [out], columns)
 
 
 def summary_by_lane(
     fact: DataFrame, tables, columns: Sequence[str] = tuple(SUMMARY)
 ) -> DataFrame:
-    totals = _by(fact, ["warehouse_key", "dest_city", "dest_state"])
+    totals = _by(fact, ["warehouse_key", "dest_city", "dest_state"], columns)
     named = label(totals, tables, "warehouse_name").withColumn("lane", lane_text())
-    return _finish(_regroup(named, "lane"), ["lane"], columns)
+    return _finish(_regroup(named, "lane", columns), ["lane"], columns)
 
 
 def monthly_series(fact: DataFrame) -> DataFrame:
     """Service and margin by month; undated shipments are left out."""
     dated = fact.where(F.col("ship_date").isNotNull())
-    totals = _by(dated, [month_start(F.col("ship_date")).alias("month_start_date")])
-    return _finish(
-        totals, ["month_start_date"], ["shipments", "otd_rate", "otif_rate", "gross_margin_usd"]
-    )
+    columns = ["shipments", "otd_rate", "otif_rate", "gross_margin_usd"]
+    totals = _by(dated, [month_start(F.col("ship_date")).alias("month_start_date")], columns)
+    return _finish(totals, ["month_start_date"], columns)
 
 
 def warehouse_operations(fact: DataFrame, tables) -> DataFrame:

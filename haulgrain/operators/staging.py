@@ -44,7 +44,7 @@ def shipments(raw: DataFrame) -> DataFrame:
         ),
     })
     df = flag_replaced(
-        df, "tms_shipment_id", "parent_tms_shipment_id", F.col("base_eligible_flag"), "_replaced"
+        df, "tms_shipment_id", "parent_tms_shipment_id", "base_eligible_flag", "_replaced"
     )
     # The cut-off looks at every staged row, void ones included: one column, one row.
     ship_day = typed_select(raw, "stg_shipments").agg(F.max("ship_create_date"))
@@ -262,9 +262,10 @@ def match_claims(raw: DataFrame, ships: DataFrame) -> DataFrame:
 
 
 def claims(raw: DataFrame, ships: DataFrame) -> DataFrame:
-    kind = F.col("claim_type")
     df = match_claims(raw, ships).withColumns({
-        "claim_type": bucket_by_words(kind, C.CLAIM_TYPE_WORDS, F.coalesce(kind, F.lit("OTHER"))),
+        "claim_type": bucket_by_words(
+            "claim_type", C.CLAIM_TYPE_WORDS, "coalesce(claim_type, 'OTHER')"
+        ),
         "paid_exceeds_requested_flag": F.coalesce(
             F.col("claim_amount_paid_usd") > F.col("claim_amount_requested_usd"), F.lit(False)
         ),
@@ -310,7 +311,7 @@ def tickets(
 ) -> DataFrame:
     df = match_tickets(raw, ships, customers, crosswalk).withColumns({
         "category_normalized": bucket_by_words(
-            F.upper("category_raw"), C.TICKET_CATEGORY_WORDS, F.lit("OTHER")
+            "upper(category_raw)", C.TICKET_CATEGORY_WORDS, "'OTHER'"
         ),
         "valid_resolution_time_flag": F.coalesce(F.col("resolution_hours") >= 0, F.lit(False)),
         "shipment_match_flag": F.col("matched_tms_shipment_id").isNotNull(),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from haulgrain import contracts
 from haulgrain.operators import (
@@ -376,11 +375,11 @@ def lineage_files(t):
 
 def portable(df: DataFrame) -> DataFrame:
     """Decimals as doubles and doubles to six places, for comparison across engines."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(F.col(f.name).cast("double"), 6).alias(f.name)
+            f"round(double(`{f.name}`), 6) AS `{f.name}`"
             if f.dataType.typeName() in ("decimal", "double", "float")
-            else F.col(f.name)
+            else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )

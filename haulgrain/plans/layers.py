@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from haulgrain import contracts
 from haulgrain.operators import children, dimensions, fact, kpis, staging
-from haulgrain.session import run_folder
+from haulgrain.session import run_folder, tune
 
 SHARED = ("stg_shipments", "fact_shipment")
 
@@ -33,6 +33,7 @@ class Layers:
         shared: Collection[str] = SHARED,
     ):
         """``raw`` maps raw table names to DataFrames; ``shared`` tables get written."""
+        tune(spark)
         self.spark, self.raw, self.shared = spark, raw, set(shared)
         self._root = root
         self._built: dict[str, DataFrame] = {}
@@ -61,7 +62,7 @@ class Layers:
         if name.startswith("dim_"):
             return self._dimension(name)
         if name == "fact_shipment":
-            totals = {c: self.child_totals(c) for c in fact.CHILD_ORDER}
+            totals = {c: self.child_totals(c) for c in fact.CHILD_COLUMNS}
             return fact.fact_shipment(self["resolved_shipments"], totals)
         if name == "resolved_shipments":
             return fact.resolve_customers(

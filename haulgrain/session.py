@@ -1,4 +1,4 @@
-"""Where shared intermediate tables go."""
+"""Session settings and the place for shared intermediate tables."""
 
 from __future__ import annotations
 
@@ -26,3 +26,16 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession) -> str:
     """A fresh folder for one run's tables."""
     return f"{shared_folder(spark).rstrip('/')}/haulgrain-{uuid.uuid4().hex}"
+
+
+# The JVM never compiles a method of more than 8000 bytes of bytecode. Cleaning fifty text
+# columns in one fused stage makes such a method; below this limit Spark generates one
+# smaller class per operator instead, which runs several times faster.
+_DEFAULTS_TO_CHANGE = {"spark.sql.codegen.hugeMethodLimit": ("65535", "8000")}
+
+
+def tune(spark: SparkSession) -> None:
+    """Set the few runtime options wide tables need, unless the user already has."""
+    for key, (default, better) in _DEFAULTS_TO_CHANGE.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, better)

@@ -17,8 +17,8 @@ _STAMP = "yyyy-MM-dd HH:mm:ss"
 
 
 def _project(df: DataFrame, table: str, exprs: dict[str, str]) -> DataFrame:
-    return df.select(
-        *[F.expr(exprs.get(c, "NULL")).cast("string").alias(c) for c in RAW_COLUMNS[table]]
+    return df.selectExpr(
+        *[f"CAST({exprs.get(c, 'NULL')} AS string) AS `{c}`" for c in RAW_COLUMNS[table]]
     )
 
 
@@ -27,9 +27,12 @@ class TpchRaw:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._sources[name]
 
     def __getitem__(self, table: str) -> DataFrame:
         return getattr(self, table)()

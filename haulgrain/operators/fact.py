@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from haulgrain.contracts import BY_CROSSWALK, BY_CUSTOMER_ID, UNKNOWN
 from haulgrain.functions.measures import ratio
 from haulgrain.operators.dimensions import date_key, known, lane_key, service_key
-from haulgrain.operators.matching import Rule, cascade_match
+from haulgrain.operators.matching import Rule, cascade_match, left_lookup
 from haulgrain.operators.staging import crosswalk_lookup
 
 SHIPMENT_ATTRIBUTES = (
@@ -75,11 +75,25 @@ def margin() -> Column:
     return F.col("customer_revenue_usd") - F.col("carrier_cost_usd") - F.col("claims_paid_usd")
 
 
-def fact_shipment(resolved: DataFrame, children: dict[str, DataFrame]) -> DataFrame:
-    """Join each child aggregate to its shipment.
+def child_bundle(ids: DataFrame, children: dict[str, DataFrame]) -> DataFrame:
+    """All child measures of each shipment id.
 
-    Every side is keyed by shipment id, so shipments are shuffled once for all seven joins
-    and each child arrives from its own aggregate already partitioned that way.
+    The ids are unique and every child arrives from its own aggregate partitioned by id, so
+    the seven joins shuffle the ids once and move only narrow rows.
+    """
+    for name in CHILD_COLUMNS:
+        child = children[name].where("tms_shipment_id IS NOT NULL")
+        ids = ids.join(child, "tms_shipment_id", "left")
+    return ids
+
+
+def fact_shipment(
+    resolved: DataFrame, ids: DataFrame, children: dict[str, DataFrame]
+) -> DataFrame:
+    """One lookup of the child bundle per shipment; ``ids`` are the live shipment ids.
+
+    Shipments without an id, or many copies of one id, are spread or split by the lookup
+    instead of piling up in the task of one id.
     """
     ship_day, promised = F.col("ship_create_date"), F.col("promised_delivery_date")
     delivered = F.col("actual_delivery_ts").cast("date")
@@ -102,9 +116,11 @@ def fact_shipment(resolved: DataFrame, children: dict[str, DataFrame]) -> DataFr
         *SHIPMENT_ATTRIBUTES,
     )
     kept = df.columns
-    for name in CHILD_COLUMNS:
-        child = children[name].where("tms_shipment_id IS NOT NULL")
-        df = df.join(child, "tms_shipment_id", "left")
+    columns = [c.rstrip("*") for listed in CHILD_COLUMNS.values() for c in listed.split()]
+    df = left_lookup(
+        df, "tms_shipment_id", child_bundle(ids, children), "tms_shipment_id",
+        **{c: c for c in columns},
+    )
     measures = [
         f"coalesce({c[:-1]}, 0) AS {c[:-1]}" if c.endswith("*") else c
         for listed in CHILD_COLUMNS.values() for c in listed.split()

@@ -45,10 +45,14 @@ def left_lookup(
     ``key`` is a SQL expression of text type. Rows whose key is null cannot match; they are
     spread by a hash of their leading columns (ids come first in every table) so that they
     do not pile up in one task. The hash depends on the row alone, so a re-run task sends
-    its rows to the same place. Hot non-null keys are left to adaptive skew-join splitting.
+    its rows to the same place.
+
+    Hot non-null keys are split by adaptive execution, which can do so only where both sides
+    are shuffled for the join itself. A lookup fresh from its aggregate would be joined in
+    place; keying it by an expression makes Spark shuffle its few narrow columns once more.
     """
     right = lookup.selectExpr(
-        f"{lookup_key} AS _rk", *[f"{src} AS _r_{dst}" for dst, src in take.items()]
+        f"concat({lookup_key}, '') AS _rk", *[f"{src} AS _r_{dst}" for dst, src in take.items()]
     )
     ids = ", ".join(df.columns[:6])
     spread = f"concat('\u0001no key ', pmod(xxhash64({ids}), {SPREAD}))"

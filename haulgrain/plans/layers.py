@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from haulgrain import contracts
 from haulgrain.operators import children, dimensions, fact, kpis, staging
+from haulgrain.operators.matching import distinct_keys
 from haulgrain.session import run_folder, tune
 
 SHARED = ("stg_shipments", "fact_shipment")
@@ -63,7 +64,9 @@ class Layers:
             return self._dimension(name)
         if name == "fact_shipment":
             totals = {c: self.child_totals(c) for c in fact.CHILD_COLUMNS}
-            return fact.fact_shipment(self["resolved_shipments"], totals)
+            live = self["stg_shipments"].where("final_live_shipment_flag")
+            ids = distinct_keys(live, "tms_shipment_id")
+            return fact.fact_shipment(self["resolved_shipments"], ids, totals)
         if name == "resolved_shipments":
             return fact.resolve_customers(
                 self["stg_shipments"], self["stg_customers"], self["stg_customer_crosswalk"]

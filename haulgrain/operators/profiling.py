@@ -16,112 +16,117 @@ def union_all(frames) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _complete(keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+def listed(spark, rows, schema: str) -> DataFrame:
+    """A short fixed list of what a report must show even when nothing was counted."""
+    return spark.createDataFrame(rows, schema)
 
 
-def _key_groups(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.where(_complete(keys)).groupBy(*keys).count()
+def _texts(columns) -> str:
+    return "array(" + ", ".join(f"string(`{c}`)" for c in columns) + ")"
 
 
-def profile_table(df: DataFrame, table: str) -> DataFrame:
+def key_counts(raw, tables) -> DataFrame:
+    """Rows per table and key value, for all tables in one aggregation."""
+    keys = [
+        raw[t].selectExpr(f"'{t}' AS table_name", f"{_texts(C.PRIMARY_KEYS[t])} AS key") for t in tables
+    ]
+    complete = F.expr("NOT exists(key, k -> k IS NULL)")
+    return union_all(keys).groupBy("table_name", "key").count().withColumn("complete", complete)
+
+
+def profile_tables(raw, tables=tuple(C.RAW_COLUMNS), file_bytes: dict[str, int] | None = None):
     """Rows, columns, fully duplicated rows (all copies counted) and duplicate key groups."""
-    copies = df.groupBy(*df.columns).count().agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count"))), F.lit(0)).alias("copies"),
+    tables = list(tables)
+    frames = {t: raw[t] for t in tables}
+    copies = union_all([
+        df.selectExpr(f"'{t}' AS table_name", f"{_texts(df.columns)} AS row") for t, df in frames.items()
+    ]).groupBy("table_name", "row").count().groupBy("table_name").agg(
+        F.sum("count").alias("row_count"),
+        F.sum(F.when(F.col("count") > 1, F.col("count"))).alias("fully_duplicated_rows"),
+    )
+    groups = key_counts(raw, tables).groupBy("table_name").agg(
+        count_where(F.col("complete") & (F.col("count") > 1)).alias("duplicate_key_groups")
+    )
+    spark = frames[tables[0]].sparkSession
+    wanted = listed(
+        spark, [(t, len(df.columns), (file_bytes or {}).get(t)) for t, df in frames.items()],
+        "table_name string, column_count long, file_bytes long",
     )
-    groups = _key_groups(df, C.PRIMARY_KEYS[table]).agg(count_where(F.col("count") > 1))
-    return copies.select(
-        F.lit(table).alias("table_name"),
-        "row_count",
-        F.lit(len(df.columns)).cast("long").alias("column_count"),
-        F.col("copies").alias("fully_duplicated_rows"),
-        groups.scalar().alias("duplicate_key_groups"),
+    out = wanted.join(copies, "table_name", "left").join(groups, "table_name", "left")
+    measured = ["row_count", "column_count", "fully_duplicated_rows", "duplicate_key_groups"]
+    return out.selectExpr(
+        "table_name", *[f"coalesce({c}, 0L) AS {c}" for c in measured],
+        *(["file_bytes"] if file_bytes is not None else []),
     )
 
 
-def profile_tables(raw, tables=tuple(C.RAW_COLUMNS), file_bytes: dict[str, int] | None = None):
-    out = union_all([profile_table(raw[t], t) for t in tables])
-    if file_bytes is None:
-        return out
-    sizes = F.create_map(*[F.lit(x) for kv in file_bytes.items() for x in kv])
-    return out.withColumn("file_bytes", sizes[F.col("table_name")].cast("long"))
+_NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
 
 
-def profile_columns_of(df: DataFrame, table: str) -> DataFrame:
-    """Type, nulls, distinct values, range and a sample per column.
+def profile_columns(raw, tables=tuple(C.RAW_COLUMNS)) -> DataFrame:
+    """Type, nulls, distinct values, range and a sample per column of every table.
 
-    Cells are counted per (column, value) first, so exact distinct counts need neither one
-    set of values in a task nor one pass per column.
+    Cells are counted per (table, column, value) first, so exact distinct counts need neither
+    one set of values in a task nor one pass per column. Ranges are given for numbers, and
+    for text whose name ends in _date or _ts.
     """
-    numeric = {f.name for f in df.schema.fields
-               if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")}
-    timed = {c for c in df.columns if c.endswith(("_date", "_ts")) and c not in numeric}
-    cells = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
-        for c in df.columns
-    ])))
-    counted = cells.groupBy("column_name", "value").count()
-    value, name = F.col("value"), F.col("column_name")
-    number = F.when(name.isin(list(numeric)), cleaned("double", "value")) if numeric else F.lit(None).cast("double")
-    moment = F.when(name.isin(list(timed)), cleaned("ts", "value")) if timed else F.lit(None).cast("timestamp_ntz")
+    cells, columns = [], []
+    for t in tables:
+        df = raw[t]
+        pairs = ", ".join(f"struct('{c}' AS column_name, string(`{c}`) AS value)" for c in df.columns)
+        cells.append(df.selectExpr(f"inline(array({pairs}))").selectExpr(f"'{t}' AS table_name", "*"))
+        for i, f in enumerate(df.schema.fields):
+            numeric = f.dataType.typeName() in _NUMERIC
+            kind = "number" if numeric else "time" if f.name.endswith(("_date", "_ts")) else "text"
+            columns.append((t, f.name, f.dataType.simpleString(), kind))
+    counted = union_all(cells).groupBy("table_name", "column_name", "value").count()
+    wanted = listed(
+        counted.sparkSession, columns,
+        "table_name string, column_name string, data_type string, kind string",
+    )
+    value = F.col("value")
+    number = F.when(F.col("kind") == "number", cleaned("double", "value"))
+    moment = F.when(F.col("kind") == "time", cleaned("ts", "value"))
 
     def edge(pick) -> Column:
-        return F.coalesce(
-            pick(number).cast("string"), F.date_format(pick(moment), "yyyy-MM-dd HH:mm:ss"), F.lit("")
-        )
+        return F.coalesce(pick(number).cast("string"), F.date_format(pick(moment), "yyyy-MM-dd HH:mm:ss"))
 
-    types = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
-    rows, nulls = F.sum("count"), F.coalesce(F.sum(F.when(value.isNull(), F.col("count"))), F.lit(0))
-    found = counted.groupBy("column_name").agg(
-        rows.alias("row_count"),
-        nulls.alias("null_count"),
+    found = counted.join(F.broadcast(wanted), ["table_name", "column_name"]).groupBy("table_name", "column_name").agg(
+        F.sum("count").alias("row_count"),
+        F.sum(F.when(value.isNull(), F.col("count"))).alias("null_count"),
         F.count("value").alias("distinct_count"),
         edge(F.min).alias("minimum_value"),
         edge(F.max).alias("maximum_value"),
-        F.coalesce(F.min(F.substring(value, 1, 100)), F.lit("")).alias("sample_value"),
+        F.min(F.substring(value, 1, 100)).alias("sample_value"),
     )
     # An empty table still lists its columns.
-    listed = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column_name string")
-    out = F.broadcast(listed).join(found, "column_name", "left")
-    zero, blank = F.lit(0).cast("long"), F.lit("")
-    return out.select(
-        F.lit(table).alias("table_name"),
-        "column_name",
-        types[name].alias("data_type"),
-        F.coalesce("row_count", zero).alias("row_count"),
-        F.coalesce("null_count", zero).alias("null_count"),
-        F.coalesce(F.round(F.col("null_count") / F.col("row_count") * 100, 2), F.lit(0.0))
-        .alias("null_percentage"),
-        F.coalesce("distinct_count", zero).alias("distinct_count"),
-        F.coalesce("minimum_value", blank).alias("minimum_value"),
-        F.coalesce("maximum_value", blank).alias("maximum_value"),
-        F.coalesce("sample_value", blank).alias("sample_value"),
+    return wanted.join(found, ["table_name", "column_name"], "left").selectExpr(
+        "table_name", "column_name", "data_type",
+        "coalesce(row_count, 0L) AS row_count",
+        "coalesce(null_count, 0L) AS null_count",
+        "coalesce(round(coalesce(null_count, 0L) / row_count * 100, 2), 0D) AS null_percentage",
+        "coalesce(distinct_count, 0L) AS distinct_count",
+        "coalesce(minimum_value, '') AS minimum_value",
+        "coalesce(maximum_value, '') AS maximum_value",
+        "coalesce(sample_value, '') AS sample_value",
     )
 
 
-def profile_columns(raw, tables=tuple(C.RAW_COLUMNS)) -> DataFrame:
-    return union_all([profile_columns_of(raw[t], t) for t in tables])
-
-
 def duplicate_keys(raw, tables=tuple(C.RAW_COLUMNS)) -> DataFrame:
     """Duplicate key values with their counts; each table fills only its own key columns."""
-    all_keys = list(dict.fromkeys(k for t in C.PRIMARY_KEYS for k in C.PRIMARY_KEYS[t]))
-    frames = []
-    for t in tables:
-        keys = C.PRIMARY_KEYS[t]
-        frames.append(
-            _key_groups(raw[t], keys).where("count > 1").select(
-                F.lit(t).alias("table_name"),
-                F.lit(" + ".join(keys)).alias("key_columns"),
-                F.col("count").alias("duplicate_count"),
-                *[
-                    (F.col(k).cast("string") if k in keys else F.lit(None).cast("string")).alias(k)
-                    for k in all_keys
-                ],
-            )
+    all_keys = list(dict.fromkeys(k for keys in C.PRIMARY_KEYS.values() for k in keys))
+
+    def spread(k: str) -> str:
+        arms = " ".join(
+            f"WHEN '{t}' THEN key[{C.PRIMARY_KEYS[t].index(k)}]" for t in tables if k in C.PRIMARY_KEYS[t]
         )
-    return union_all(frames)
+        return f"CASE table_name {arms} END AS {k}" if arms else f"string(NULL) AS {k}"
+
+    names = " ".join(f"WHEN '{t}' THEN '{' + '.join(C.PRIMARY_KEYS[t])}'" for t in tables)
+    return key_counts(raw, tables).where("complete AND count > 1").selectExpr(
+        "table_name", f"CASE table_name {names} END AS key_columns", "count AS duplicate_count",
+        *[spread(k) for k in all_keys],
+    )
 
 
 # --- business checks --------------------------------------------------------
@@ -191,58 +196,81 @@ def _row_checks() -> dict[str, list[tuple[str, Column, str, str]]]:
     }
 
 
-def _issue_rows(one: DataFrame, table: str, checks) -> DataFrame:
-    """(check, severity, description) for each column of a one-row count frame."""
-    rows = F.array(*[
-        F.struct(
-            F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
-            F.col(f"`{column}`").alias("issue_count"), F.lit(severity).alias("severity"),
-            F.lit(text).alias("description"),
-        )
-        for column, (check, severity, text) in zip(one.columns, checks)
-    ])
-    return one.select(F.inline(rows))
+def _row_check_counts(raw) -> list[DataFrame]:
+    frames = []
+    for t, checks in _row_checks().items():
+        one = raw[t].agg(*[count_where(cond).alias(f"c{i}") for i, (_, cond, _, _) in enumerate(checks)])
+        rows = ", ".join(f"struct('{name}' AS check_name, c{i} AS issue_count)" for i, (name, *_) in enumerate(checks))
+        frames.append(one.selectExpr(f"'{t}' AS table_name", f"inline(array({rows}))"))
+    return frames
 
 
-def count_orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+def _orphan_counts(raw) -> DataFrame:
     """Child rows whose normalised reference is no parent's; null references do not count.
 
-    References are counted per value before the anti join, so a hot value is one row.
+    All references are counted per value in one aggregation before the anti join, so a hot
+    value is one row, and each parent's keys are gathered once.
     """
-    refs = child.select(cleaned("upper", column).alias("ref")).where("ref IS NOT NULL").groupBy("ref").count()
-    known = parent.select(cleaned("upper", parent_column).alias("ref")).distinct()
-    return refs.join(known, "ref", "left_anti").agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("orphans")
+    refs = union_all([
+        raw[child].select(
+            F.lit(child).alias("table_name"), F.lit(check).alias("check_name"),
+            F.lit(f"{parent}.{key}").alias("parent"), cleaned("upper", column).alias("ref"),
+        )
+        for child, column, parent, key, check, *_ in REFERENCES
+    ]).where("ref IS NOT NULL").groupBy("table_name", "check_name", "parent", "ref").count()
+    known = union_all([
+        raw[parent].select(F.lit(f"{parent}.{key}").alias("parent"), cleaned("upper", key).alias("ref"))
+        for parent, key in dict.fromkeys((p, k) for _, _, p, k, *_ in REFERENCES)
+    ]).where("ref IS NOT NULL").distinct()
+    return refs.join(known, ["parent", "ref"], "left_anti").groupBy("table_name", "check_name").agg(
+        F.sum("count").alias("issue_count")
     )
 
 
-def business_checks(raw) -> DataFrame:
-    """Every quality check as one row: table, check, status, count, severity, description."""
-    frames = []
-    for t, keys in C.PRIMARY_KEYS.items():
-        # Counting per key value answers both questions in one pass.
-        one = raw[t].groupBy(*keys).count().agg(
-            F.coalesce(F.sum(F.when(~_complete(keys), F.col("count"))), F.lit(0)).alias("nulls"),
-            count_where(_complete(keys) & (F.col("count") > 1)).alias("repeats"),
-        )
-        frames.append(_issue_rows(one, t, KEY_CHECKS))
-    for child, column, parent, parent_column, *check in REFERENCES:
-        one = count_orphans(raw[child], column, raw[parent], parent_column)
-        frames.append(_issue_rows(one, child, [tuple(check)]))
-    for t, checks in _row_checks().items():
-        one = raw[t].agg(*[count_where(cond).alias(f"c{i}") for i, (_, cond, _, _) in enumerate(checks)])
-        frames.append(_issue_rows(one, t, [(name, sev, text) for name, _, sev, text in checks]))
-    scans = raw["carrier_tracking_events"].where(
+def _key_check_counts(raw) -> DataFrame:
+    return key_counts(raw, C.PRIMARY_KEYS).groupBy("table_name").agg(
+        F.sum(F.when(~F.col("complete"), F.col("count"))).alias("nulls"),
+        count_where(F.col("complete") & (F.col("count") > 1)).alias("repeats"),
+    ).selectExpr(
+        "table_name",
+        f"inline(array(struct('{KEY_CHECKS[0][0]}' AS check_name, nulls AS issue_count),"
+        f" struct('{KEY_CHECKS[1][0]}' AS check_name, repeats AS issue_count)))",
+    )
+
+
+SCAN_CHECK = (
+    "Duplicate delivery events", "Medium", "Keep the event with the latest ingestion timestamp."
+)
+
+
+def _repeat_scan_counts(raw) -> DataFrame:
+    table = "carrier_tracking_events"
+    scans = raw[table].where(
         (cleaned("upper", "event_code") == "DLV") & F.col("tms_shipment_id").isNotNull()
     )
-    extra = scans.groupBy("tms_shipment_id", "event_code").count().agg(
-        F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n")
+    return scans.groupBy("tms_shipment_id", "event_code").count().agg(
+        F.sum(F.col("count") - 1).alias("issue_count")
+    ).select(F.lit(table).alias("table_name"), F.lit(SCAN_CHECK[0]).alias("check_name"), "issue_count")
+
+
+def business_checks(raw) -> DataFrame:
+    """Every quality check as one row: table, check, status, count, severity, description."""
+    counts = union_all([
+        _key_check_counts(raw), _orphan_counts(raw), *_row_check_counts(raw), _repeat_scan_counts(raw)
+    ])
+    checks = [
+        *[(t, *check) for t in C.PRIMARY_KEYS for check in KEY_CHECKS],
+        *[(child, *check) for child, _, _, _, *check in REFERENCES],
+        *[(t, name, sev, text) for t, found in _row_checks().items() for name, _, sev, text in found],
+        ("carrier_tracking_events", *SCAN_CHECK),
+    ]
+    # A check over an empty table has no count; it lists as zero issues.
+    wanted = listed(
+        counts.sparkSession, checks,
+        "table_name string, check_name string, severity string, description string",
     )
-    frames.append(_issue_rows(extra, "carrier_tracking_events", [(
-        "Duplicate delivery events", "Medium", "Keep the event with the latest ingestion timestamp.",
-    )]))
-    return union_all(frames).select(
+    return wanted.join(counts, ["table_name", "check_name"], "left").selectExpr(
         "table_name", "check_name",
-        F.when(F.col("issue_count") == 0, "Pass").otherwise("Issue").alias("status"),
-        "issue_count", "severity", "description",
+        "if(coalesce(issue_count, 0) = 0, 'Pass', 'Issue') AS status",
+        "coalesce(issue_count, 0L) AS issue_count", "severity", "description",
     )

@@ -9,7 +9,7 @@ from haulgrain import contracts as C
 from haulgrain.functions.measures import count_where
 from haulgrain.operators.fact import margin, otif
 from haulgrain.operators.findings import as_rows
-from haulgrain.operators.profiling import union_all
+from haulgrain.operators.profiling import listed, union_all
 
 
 def _rows() -> Column:
@@ -204,88 +204,128 @@ def _fact_checks(first_day: str, last_day: str) -> dict[str, Column]:
     }
 
 
-def _repeats(df: DataFrame, key: str, nulls_fail: bool) -> DataFrame:
-    bad = F.col("count") > 1
-    if nulls_fail:
-        bad = bad | F.col(key).isNull()
-    return df.groupBy(key).count().agg(count_where(bad).alias("n"))
+DIMENSIONS = ("customer", "carrier", "warehouse", "service", "lane")
+DATE_KEYS = ("ship_date_key", "promised_delivery_date_key", "actual_delivery_date_key")
+OTHER_CHECKS = (
+    "fact_shipment has one row per shipment",
+    "date dimension has exactly one unknown member",
+    "all fact date keys resolve",
+    "fact row count reconciles through ship date",
+)
 
 
-def _orphans(counts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
-    """Fact rows without a dimension member, from rows already counted per key."""
-    keys = dim.select(F.col(dim_key).alias(fact_key)).distinct()
-    return counts.join(keys, fact_key, "left_anti").agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("n")
-    )
+def _structs(pairs: dict[str, str], label: str, value: str) -> str:
+    """inline(...) of constant labels beside columns."""
+    rows = ", ".join(f"struct('{k}' AS {label}, {c} AS {value})" for k, c in pairs.items())
+    return f"inline(array({rows}))"
 
 
-def validate_model(t, first_day: str = "2024-01-01", last_day: str = "2025-12-31") -> DataFrame:
-    """The thirty-two named gates: test, severity, failure count and PASS or FAIL."""
-    fact, dates = t["fact_shipment"], t["dim_date"]
-    # Every dimension check works on the fact counted per key.
-    per_key = {k: fact.groupBy(k).count() for k in (
-        "customer_key", "carrier_key", "warehouse_key", "service_key", "lane_key")}
-    total = fact.agg(_rows())
-    checks: list[tuple[str, DataFrame]] = []
+def _named(one: DataFrame, test: str) -> DataFrame:
+    return one.select(F.lit(test).alias("test_name"), F.col("n").cast("long").alias("failures"))
 
-    fact_checks = _fact_checks(first_day, last_day)
-    rows = as_rows(fact.agg(*[c.alias(n) for n, c in fact_checks.items()]), "test_name", "failure_count")
-
-    checks.append(("fact_shipment has one row per shipment", _repeats(fact, "shipment_key", False)))
-    for name in ("customer", "carrier", "warehouse", "service", "lane"):
-        dim, key = t[f"dim_{name}"], f"{name}_key"
-        checks.append((f"dim_{name} key is unique", _repeats(dim, key, True)))
-        checks.append((f"fact {name} keys resolve", _orphans(per_key[key], key, dim, key)))
-    for test, view in VIEW_CHECKS.items():
-        shown = F.coalesce(F.sum("total_shipments"), F.lit(0))
-        checks.append((test, t[view].agg(F.abs(shown - total.scalar()).alias("n"))))
-    for test, column in DATE_CHECKS.items():
-        counts = fact.where(F.col(column).isNotNull()).groupBy(column).count()
-        checks.append((test, _orphans(counts, column, dates, "date_key")))
-    checks.append((
-        "date dimension has exactly one unknown member",
-        dates.agg(_fail_if(count_where(F.col("unknown_date_flag")) != 1).alias("n")),
-    ))
-    keys = ["ship_date_key", "promised_delivery_date_key", "actual_delivery_date_key"]
-    combos = fact.groupBy(*keys).count()
-    for k in keys:
-        known = dates.select(F.col("date_key").alias(k), F.lit(True).alias(f"{k}_ok")).distinct()
+
+def _dimension_checks(t) -> DataFrame:
+    """Unique members and resolving fact keys of the five dimensions.
+
+    The fact's keys are counted per value, all five in one pass, before the anti join.
+    """
+    members = union_all([
+        t[f"dim_{d}"].selectExpr(f"'{d}' AS dim", f"{d}_key AS key") for d in DIMENSIONS
+    ]).groupBy("dim", "key").count()
+    repeated = members.groupBy("dim").agg(
+        count_where((F.col("count") > 1) | F.col("key").isNull()).alias("failures")
+    ).selectExpr("concat('dim_', dim, ' key is unique') AS test_name", "failures")
+    used = t["fact_shipment"].selectExpr(
+        _structs({d: f"{d}_key" for d in DIMENSIONS}, "dim", "key")
+    ).groupBy("dim", "key").count()
+    lost = used.join(members, ["dim", "key"], "left_anti").groupBy("dim").agg(
+        F.sum("count").alias("failures")
+    ).selectExpr("concat('fact ', dim, ' keys resolve') AS test_name", "failures")
+    return repeated.unionByName(lost)
+
+
+def _date_checks(t) -> DataFrame:
+    fact = t["fact_shipment"]
+    days = t["dim_date"].select("date_key").distinct()
+    used = fact.selectExpr(_structs(DATE_CHECKS, "test_name", "date_key")).where(
+        "date_key IS NOT NULL"
+    ).groupBy("test_name", "date_key").count()
+    lost = used.join(days, "date_key", "left_anti").groupBy("test_name").agg(
+        F.sum("count").alias("failures")
+    )
+    combos = fact.groupBy(*DATE_KEYS).count()
+    for k in DATE_KEYS:
+        known = days.selectExpr(f"date_key AS {k}", f"true AS {k}_ok")
         combos = combos.join(known, k, "left")
-    missing = F.col(f"{keys[0]}_ok").isNull() | F.col(f"{keys[1]}_ok").isNull() | F.col(f"{keys[2]}_ok").isNull()
-    checks.append((
-        "all fact date keys resolve",
-        combos.agg(F.coalesce(F.sum(F.when(missing, F.col("count"))), F.lit(0)).alias("n")),
-    ))
+    missing = " OR ".join(f"{k}_ok IS NULL" for k in DATE_KEYS)
     through = fact.groupBy("ship_date_key").count().join(
-        dates.select(F.col("date_key").alias("ship_date_key")), "ship_date_key"
+        t["dim_date"].select(F.col("date_key").alias("ship_date_key")), "ship_date_key"
     )
-    checks.append((
-        "fact row count reconciles through ship date",
-        through.agg(
-            _fail_if(F.coalesce(F.sum("count"), F.lit(0)) != total.scalar()).alias("n")
+    total = fact.agg(_rows())
+    return union_all([
+        lost,
+        _named(combos.where(missing).agg(F.sum("count").alias("n")), OTHER_CHECKS[2]),
+        _named(
+            t["dim_date"].agg(_fail_if(count_where(F.col("unknown_date_flag")) != 1).alias("n")),
+            OTHER_CHECKS[1],
+        ),
+        _named(
+            through.agg(_fail_if(F.coalesce(F.sum("count"), F.lit(0)) != total.scalar()).alias("n")),
+            OTHER_CHECKS[3],
         ),
-    ))
-    bills = t["stg_invoices"].where(
-        F.col("shipment_match_flag") & (F.col("invoice_type") == "CARRIER_BILL")
-    ).select(F.col("matched_tms_shipment_id").alias("shipment_key"), *[a for a, _ in COST_CHECKS.values()])
-    billed = bills.join(fact.select("shipment_key"), "shipment_key")
-    for test, (amount, fact_column) in COST_CHECKS.items():
-        posted = fact.agg(F.coalesce(F.sum(fact_column), F.lit(0)))
-        gap = F.abs(F.coalesce(F.sum(amount), F.lit(0)) - posted.scalar())
-        checks.append((test, billed.agg(_fail_if(gap > F.lit("0.01").cast("decimal(18,2)")).alias("n"))))
-
-    rows = union_all([
-        rows,
-        *[
-            one.select(F.lit(test).alias("test_name"), F.col("n").cast("long").alias("failure_count"))
-            for test, one in checks
-        ],
     ])
-    return rows.select(
+
+
+def _view_checks(t) -> DataFrame:
+    total = t["fact_shipment"].agg(_rows())
+    shown = union_all([
+        t[view].agg(F.coalesce(F.sum("total_shipments"), F.lit(0)).alias("shown")).select(
+            F.lit(test).alias("test_name"), "shown"
+        )
+        for test, view in VIEW_CHECKS.items()
+    ])
+    return shown.select("test_name", F.abs(F.col("shown") - total.scalar()).alias("failures"))
+
+
+def _cost_checks(t) -> DataFrame:
+    fact = t["fact_shipment"]
+    amounts = {a: c for a, c in COST_CHECKS.values()}
+    billed = t["stg_invoices"].where("shipment_match_flag AND invoice_type = 'CARRIER_BILL'").selectExpr(
+        "matched_tms_shipment_id AS shipment_key", *amounts
+    ).join(fact.select("shipment_key"), "shipment_key").agg(
+        *[F.coalesce(F.sum(a), F.lit(0)).alias(a) for a in amounts]
+    )
+    posted = fact.agg(
+        F.struct(*[F.coalesce(F.sum(c), F.lit(0)).alias(a) for a, c in amounts.items()]).alias("p")
+    )
+    both = billed.withColumn("posted", posted.scalar())
+    rows = ", ".join(
+        f"struct('{test}' AS test_name, bigint(abs({a} - posted.{a}) > 0.01) AS failures)"
+        for test, (a, _) in COST_CHECKS.items()
+    )
+    return both.selectExpr(f"inline(array({rows}))")
+
+
+def validate_model(t, first_day: str = "2024-01-01", last_day: str = "2025-12-31") -> DataFrame:
+    """The thirty-two named gates: test, severity, failure count and PASS or FAIL."""
+    fact = t["fact_shipment"]
+    fact_checks = _fact_checks(first_day, last_day)
+    tests = [
+        *fact_checks, *OTHER_CHECKS, *VIEW_CHECKS, *DATE_CHECKS, *COST_CHECKS,
+        *[f"dim_{d} key is unique" for d in DIMENSIONS], *[f"fact {d} keys resolve" for d in DIMENSIONS],
+    ]
+    repeated = fact.groupBy("shipment_key").count().agg(count_where(F.col("count") > 1).alias("n"))
+    found = union_all([
+        as_rows(fact.agg(*[c.alias(n) for n, c in fact_checks.items()]), "test_name", "failures"),
+        _named(repeated, OTHER_CHECKS[0]),
+        _dimension_checks(t), _date_checks(t), _view_checks(t), _cost_checks(t),
+    ])
+    wanted = listed(fact.sparkSession, [(name,) for name in tests], "test_name string")
+    return wanted.join(found, "test_name", "left").selectExpr(
         "test_name",
-        F.lit("CRITICAL").alias("severity"),
-        "failure_count",
-        F.when(F.col("failure_count") == 0, "PASS").otherwise("FAIL").alias("validation_status"),
+        "'CRITICAL' AS severity",
+        "coalesce(failures, 0L) AS failure_count",
+        "if(coalesce(failures, 0) = 0, 'PASS', 'FAIL') AS validation_status",
     )
 
 

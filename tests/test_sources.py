@@ -138,16 +138,16 @@ def test_profiles_of_a_small_table(spark):
         dict(claim_id="C1", filed_date="2024-01-05"), dict(claim_id="C1", filed_date="2024-01-05"),
         dict(claim_id="C2", filed_date="soon"), dict(claim_id=None),
     ])
-    p = profiling.profile_table(raw["claims"], "claims").first()
+    p = profiling.profile_tables(raw, ["claims"]).first()
     assert (p["row_count"], p["fully_duplicated_rows"], p["duplicate_key_groups"], p["column_count"]) == (4, 2, 1, 11)
-    cols = {r["column_name"]: r for r in profiling.profile_columns_of(raw["claims"], "claims").collect()}
-    assert list(C.COLUMN_PROFILE_COLUMNS) == profiling.profile_columns_of(raw["claims"], "claims").columns
+    cols = {r["column_name"]: r for r in profiling.profile_columns(raw, ["claims"]).collect()}
+    assert list(C.COLUMN_PROFILE_COLUMNS) == profiling.profile_columns(raw, ["claims"]).columns
     assert (cols["claim_id"]["null_count"], cols["claim_id"]["null_percentage"], cols["claim_id"]["distinct_count"]) == (1, 25.0, 2)
     assert cols["filed_date"]["minimum_value"] == "2024-01-05 00:00:00" and cols["filed_date"]["sample_value"] == "2024-01-05"
-    empty = {r["column_name"]: r for r in profiling.profile_columns_of(raw["crm_tickets"], "crm_tickets").collect()}
+    empty = {r["column_name"]: r for r in profiling.profile_columns(raw, ["crm_tickets"]).collect()}
     assert len(empty) == 14 and empty["ticket_id"]["null_percentage"] == 0 and empty["ticket_id"]["row_count"] == 0
     typed = spark.createDataFrame([(3, dt.date(2024, 1, 1)), (10, None)], "pieces int, ship_date date")
-    cols = {r["column_name"]: r for r in profiling.profile_columns_of(typed, "t").collect()}
+    cols = {r["column_name"]: r for r in profiling.profile_columns({"t": typed}, ["t"]).collect()}
     assert (cols["pieces"]["minimum_value"], cols["pieces"]["maximum_value"]) == ("3.0", "10.0")
     sized = profiling.profile_tables(raw, ["claims"], {"claims": 99})
     assert sized.columns == C.TABLE_PROFILE_COLUMNS and sized.first()["file_bytes"] == 99

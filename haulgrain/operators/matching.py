@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulgrain import contracts
+from haulgrain.session import shared_folder
 
 # Rows that cannot match are spread over this many join keys instead of one null key.
 SPREAD = 4096
@@ -146,12 +147,12 @@ def rank_in_group(
     """
     keyed = df.withColumn("_group", key).withColumn("_gh", F.xxhash64("_group"))
     # At most total/hot_rows hashes. A hash shared by two groups only sends both the long way.
-    hot = keyed.groupBy("_gh").count().where(F.col("count") > hot_rows).select("_gh")
+    shared_folder(df.sparkSession)
+    hot = keyed.groupBy("_gh").count().where(F.col("count") > hot_rows).select("_gh").checkpoint()
     plain = Window.partitionBy("_group").orderBy(*order)
     number = F.row_number()
     if hot.isEmpty():
         return keyed.withColumn(rank, number.over(plain)).drop("_group", "_gh")
-    hot = hot.checkpoint()
     cold_rows = (
         keyed.join(F.broadcast(hot), "_gh", "left_anti")
         .withColumn(rank, number.over(plain))

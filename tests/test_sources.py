@@ -94,6 +94,10 @@ def test_empty_report_keeps_its_header(spark, tmp_path):
     path = str(tmp_path / "report")
     publish.write_report(spark.createDataFrame([], "a string, b int, c int"), path, ["b", "a"])
     assert publish.report_header(spark, path) == ["b", "a"]
+    none = raw_tables(spark)
+    publish.write_report(profiling.duplicate_keys(none), path, ["table_name", "duplicate_count"])
+    assert publish.report_header(spark, path) == ["table_name", "duplicate_count"]
+    assert spark.read.option("header", True).csv(path).count() == 0
 
 
 def test_release_end_to_end(spark, tmp_path):

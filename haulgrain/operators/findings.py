@@ -179,6 +179,7 @@ def analysis_context(fact: DataFrame) -> DataFrame:
     return as_rows(one, value="value")
 
 
+# Metric names.
 SUMMARY_METRICS = [
     ("Total shipments", "total_shipments"),
     ("Official KPI shipments", "official_kpi_shipments"),

@@ -131,7 +131,7 @@ def duplicate_keys(raw, tables=tuple(C.RAW_COLUMNS)) -> DataFrame:
 
 # --- business checks --------------------------------------------------------
 
-# table, check, severity, description
+# Check names, severities and descriptions.
 KEY_CHECKS = [
     ("Null primary keys", "High", "Primary-key fields should not be null."),
     ("Duplicate primary keys", "High", "Primary-key values should be unique."),

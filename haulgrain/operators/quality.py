@@ -152,6 +152,7 @@ def star_metrics(t) -> DataFrame:
 
 # --- model validation -------------------------------------------------------
 
+# Test names.
 VIEW_CHECKS = {
     "executive shipment total reconciles to fact": "vw_executive_kpis",
     "monthly shipment totals reconcile to fact": "vw_monthly_performance",

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from rows import invoice, layers, line, raw_tables, shipment
+from rows import invoice, line, raw_tables, shipment
 
 from haulgrain import contracts as C
 from haulgrain.operators import profiling, release

@@ -9,8 +9,8 @@ Jaccard similarity reaches the threshold. The steps:
    share one, to the task of the shingle, packed into arrays.
 3. Sets that share a prefix shingle meet in the cell of the least of them. Cells above a weight are
    dealt in pairs of blocks, so each task is bounded whatever the size of the group.
-4. Only sets in some cell are hashed again and shipped. Each task stores a block in a prefix tree of
-   ordered n-grams and walks it with each set of the other block: overlaps of shared paths are
+4. Only texts in some cell are shipped, compressed, which takes less than their hashed sets. Each
+   task hashes them, stores a block in a prefix tree of ordered n-grams and walks it with each set of the other block: overlaps of shared paths are
    counted once, and subtrees that cannot reach the threshold by their remaining length are cut.
 5. Verified links are joined to components.
 
@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark.sql.pandas.types import to_arrow_type
+
 from haulgrain.llm.graph import components
 from haulgrain.llm.shingle_hash import mix, set_keys, shingle_sets
 from haulgrain.llm.tables import written
@@ -53,6 +55,7 @@ def _bucket(values: np.ndarray) -> np.ndarray:
 
 def _profile(size: int, id_type: pa.DataType):
     """Each row's set key and size, then the task's shingle counts."""
+    names = ["id", "text_hash", "key", "n", "slice", "counts"]
 
     def run(batches):
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
@@ -65,14 +68,13 @@ def _profile(size: int, id_type: pa.DataType):
                 np.add.at(counts, _bucket(values), 1)
             empty = pa.nulls(len(batch))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(id_type), pa.array(keys), pa.array(sizes), empty.cast(pa.int32()),
-                 empty.cast(pa.binary())], names=["id", "key", "n", "slice", "counts"])
+                [batch.column(0).cast(id_type), batch.column(2), pa.array(keys), pa.array(sizes),
+                 empty.cast(pa.int32()), empty.cast(pa.binary())], names=names)
         packed = [zlib.compress(part.astype(np.int64).tobytes(), 1) for part in np.split(counts, SLICES)]
         none = pa.nulls(SLICES)
         yield pa.RecordBatch.from_arrays(
-            [none.cast(id_type), none.cast(pa.int64()), none.cast(pa.int64()),
-             pa.array(range(SLICES), pa.int32()), pa.array(packed, pa.binary())],
-            names=["id", "key", "n", "slice", "counts"])
+            [none.cast(id_type), *(none.cast(pa.int64()) for _ in range(3)),
+             pa.array(range(SLICES), pa.int32()), pa.array(packed, pa.binary())], names=names)
 
     return run
 
@@ -210,15 +212,19 @@ def _meet(batches):
                     names=["leader", "key", "shingle"])
 
 
-def _sets(size: int):
-    """(key, shingles) of each row."""
+def _pack(id_type: pa.DataType):
+    """Texts compressed one by one, for the two shuffles that carry them."""
 
     def run(batches):
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            for _, values, at in shingle_sets(batch.column(0), size):
-                keys = set_keys(values, at).view(np.int64)
-                raw = [values[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(raw, pa.binary())], names=["key", "shingles"])
+            texts = batch.column(2).cast(pa.large_binary()).fill_null(b"")
+            packed = [pack.compress(t.as_buffer()) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).cast(id_type), batch.column(1), pa.array(packed, pa.binary())],
+                names=["id", "text_hash", "packed"])
 
     return run
 
@@ -315,59 +321,80 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
 
 
-def _verify(similar: tuple[int, int]):
-    """(a, b): a spanning forest of the links between the two blocks of each cell."""
-
-    def cell(table: pa.Table):
-        keys = table.column("key").to_numpy()
-        side = table.column("side").to_numpy()
-        _, once = np.unique(keys, return_index=True)
-        keys, side = keys[once], side[once]
-        raw = table.column("shingles").to_pylist()
-        flat = [np.frombuffer(raw[i], np.uint64) for i in once]
-        lengths = np.array([len(x) for x in flat])
-        values, index, counts = np.unique(np.concatenate(flat), return_inverse=True, return_counts=True)
-        rank = np.empty(len(values), np.int64)  # common n-grams first, so that paths are shared
-        rank[np.lexsort((values, -counts))] = np.arange(len(values))
-        ids = rank[index]
-        cuts = np.cumsum(lengths)
-        sets = [np.sort(ids[e - n:e]) for e, n in zip(cuts.tolist(), lengths.tolist(), strict=True)]
-        stored = np.flatnonzero(side == 0)
-        walking = np.flatnonzero(side == 1) if (side == 1).any() else stored
-        tree = PrefixTree([sets[i] for i in stored])
-        mark = np.zeros(len(values), dtype=bool)
-        root = list(range(len(keys)))
-
-        def find(i):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        links = []
-        for i in walking.tolist():
-            mark[sets[i]] = True
-            for j in stored[tree.linked(sets[i], mark, similar)].tolist():
-                x, y = find(i), find(j)
-                if x != y:
-                    root[x] = y
-                    links.append((int(keys[i]), int(keys[j])))
-            mark[sets[i]] = False
-        return links
+def _cell_links(side: np.ndarray, keys: np.ndarray, flat: list[np.ndarray], similar: tuple[int, int]):
+    """A spanning forest of the links between the two blocks of a cell, or in its one block."""
+    _, once = np.unique(keys, return_index=True)
+    keys, side, flat = keys[once], side[once], [flat[i] for i in once]
+    lengths = np.array([len(x) for x in flat])
+    values, index, counts = np.unique(np.concatenate(flat), return_inverse=True, return_counts=True)
+    rank = np.empty(len(values), np.int64)  # common n-grams first, so that paths are shared
+    rank[np.lexsort((values, -counts))] = np.arange(len(values))
+    ids, cuts = rank[index], np.cumsum(lengths)
+    sets = [np.sort(ids[e - n:e]) for e, n in zip(cuts.tolist(), lengths.tolist(), strict=True)]
+    stored = np.flatnonzero(side == 0)
+    walking = np.flatnonzero(side == 1) if (side == 1).any() else stored
+    tree = PrefixTree([sets[i] for i in stored])
+    mark = np.zeros(len(values), dtype=bool)
+    root = list(range(len(keys)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    links = []
+    for i in walking.tolist():
+        mark[sets[i]] = True
+        for j in stored[tree.linked(sets[i], mark, similar)].tolist():
+            x, y = find(i), find(j)
+            if x != y:
+                root[x] = y
+                links.append((int(keys[i]), int(keys[j])))
+        mark[sets[i]] = False
+    return links
+
+
+def _verify(size: int, similar: tuple[int, int]):
+    """(a, b) of linked set keys, from rows (cell, side, packed text) in order of cells."""
 
     def run(batches):
-        held = []
-        for table in runs(batches, 0):
-            held += cell(table)
-            if len(held) > 50_000:
-                yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in held])
-                held = []
-        if held:
-            yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in held])
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor()
+        cell, held, links = None, [], []
+        for batch in batches:
+            cells, sides = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            texts = pa.array([unpack.decompress(t.as_buffer()) for t in batch.column(2)], pa.large_binary())
+            for first, values, at in shingle_sets(texts.cast(pa.large_string()), size):
+                keys = set_keys(values, at).view(np.int64).tolist()
+                for i, key in enumerate(keys):
+                    if cells[first + i] != cell:
+                        if len(held) > 1:
+                            links += _cell_links(*_columns(held), similar)
+                        cell, held = cells[first + i], []
+                    held.append((sides[first + i], key, values[at[i]:at[i + 1]]))
+                if len(links) > 50_000:
+                    yield _edges(links)
+                    links = []
+        if len(held) > 1:
+            links += _cell_links(*_columns(held), similar)
+        if links:
+            yield _edges(links)
 
     return run
 
 
+def _columns(held):
+    side, keys, sets = zip(*held, strict=True)
+    return np.array(side), np.array(keys), list(sets)
+
+
+def _edges(links):
+    a, b = zip(*links, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                        similar: tuple[int, int] = SIMILAR, hot: int = HOT_SHINGLE,
                        block: int = BLOCK_SHINGLES) -> DataFrame:
@@ -376,15 +403,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``similar`` is the threshold as numerator and denominator. Other columns are ignored.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    id_type = docs.schema["id"].dataType
-    schema = T.StructType([T.StructField("id", id_type), T.StructField("key", T.LongType()), T.StructField("n", T.LongType()),
+    text = F.col(text_col).cast("string")
+    docs = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    id_type = docs.schema["id"]
+    long = T.LongType()
+    schema = T.StructType([id_type, *(T.StructField(x, long) for x in ("text_hash", "key", "n")),
                            T.StructField("slice", T.IntegerType()), T.StructField("counts", T.BinaryType())])
-    from pyspark.sql.pandas.types import to_arrow_type
+    arrow_id = to_arrow_type(id_type.dataType)
 
-    profile = written(docs.mapInArrow(_profile(size, to_arrow_type(id_type)), schema), "profile")
+    profile = written(docs.select("id", "text", "text_hash").mapInArrow(_profile(size, arrow_id), schema), "profile")
     parts = profile.filter("slice is not null").select("slice", "counts")
-    rows = profile.filter("slice is null").select("id", "key", "n")
+    rows = profile.filter("slice is null").select("id", "text_hash", "key", "n")
     sketch = _sketch(parts)
     shared = spark.sparkContext.broadcast(sketch)
     total = rows.agg(F.sum("n")).first()[0] or 0
@@ -404,21 +433,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         split.join(least, "shingle").select(F.col("least").alias("leader"), "key")).distinct()
     pairs = pairs.filter("leader <> key")
 
-    sets = rows.filter("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"))
+    sets = rows.filter("n > 0").groupBy("key").agg(
+        F.min(F.struct("id", "text_hash")).alias("row"), F.min("n").alias("n")).select("key", "row.*", "n")
     members = written(pairs.union(pairs.select("leader", F.col("leader").alias("key")).distinct())
                       .join(sets, "key"), "members")
     weight = members.groupBy("leader").agg(F.ceil(F.sum("n") / F.lit(block)).cast("long").alias("blocks"))
     dealt = members.join(weight, "leader").select(
-        "leader", "key", F.pmod(F.xxhash64("key"), "blocks").alias("own"),
+        "leader", "id", "text_hash", F.pmod(F.xxhash64("key"), "blocks").alias("own"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     cells = dealt.select(
-        F.xxhash64("leader", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "key",
-        F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"))
-    wanted = members.select("id").distinct()
-    again = docs.join(wanted, docs["id"].eqNullSafe(wanted["id"]), "left_semi").select("text")
-    hashed = again.mapInArrow(_sets(size), "key long, shingles binary")
-    shipped = cells.join(hashed, "key").select("cell", "key", "side", "shingles")
-    links = shipped.repartition("cell").sortWithinPartitions("cell").mapInArrow(_verify(similar), "a long, b long")
+        F.xxhash64("leader", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
+        F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), F.col("id").alias("own_id"),
+        F.col("text_hash").alias("own_hash"))
+    packed = docs.select("id", "text_hash", "text").mapInArrow(_pack(arrow_id), T.StructType(
+        [id_type, T.StructField("text_hash", long), T.StructField("packed", T.BinaryType())]))
+    shipped = cells.join(packed, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")))
+    links = shipped.select("cell", "side", "packed").repartition("cell").sortWithinPartitions("cell").mapInArrow(
+        _verify(size, similar), "a long, b long")
 
     found = components(links)
     sized = rows.join(found.withColumnRenamed("node", "key"), "key", "left")

@@ -3,18 +3,43 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from haulgrain.llm import jaccard_join
+from haulgrain.llm import decontamination, jaccard_join, line_dedup, quality_rules, source_mix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix_sources(_table(spark, sf_dir, "documents")).drop("source")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_source_mix": op7_source_mix,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }

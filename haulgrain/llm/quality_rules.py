@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulgrain.llm.tables import written
+from haulgrain.llm.tables import let, written
 
 _SPACE = " \t\n\x0b\x0c\r"
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -29,11 +29,6 @@ FEATURES = ["words", "word_length", "symbol_share", "dup_line_share", "repeat_sh
             "distinct_share", "mark_share", "line_words"]
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once a row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _words(text: Column) -> Column:
     trimmed = F.trim(text, F.lit(_SPACE))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
@@ -55,7 +50,7 @@ def _repeated(windows: Column) -> Column:
 
     ordered = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("long")).otherwise(
-        _let(ordered, lambda o: _let(places(o), covered)))
+        let(ordered, lambda o: let(places(o), covered)))
 
 
 def _windows(hashes: Column) -> Column:
@@ -90,15 +85,15 @@ def text_stats(docs: DataFrame, text_col: str = "text", out: str = "stats") -> D
         }
         return F.struct(*(v.alias(k) for k, v in values.items()))
 
-    whole = lambda text: _let(
+    whole = lambda text: let(
         F.struct(_words(text).alias("w"),
                  F.filter(F.split(text, "\n", -1), lambda x: F.trim(x, F.lit(_SPACE)) != "").alias("l")),
-        lambda s: _let(_windows_of(s["w"]), lambda v: measure(text, s["w"], v, s["l"])))
+        lambda s: let(_windows_of(s["w"]), lambda v: measure(text, s["w"], v, s["l"])))
     return docs.withColumn(out, whole(t))
 
 
 def _windows_of(words: Column) -> Column:
-    return _let(F.transform(words, lambda w: F.xxhash64(w)), _windows)
+    return let(F.transform(words, lambda w: F.xxhash64(w)), _windows)
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulgrain.llm import decontamination, jaccard_join, line_dedup, quality_rules, source_mix
+from haulgrain.llm import (
+    decontamination,
+    html_extraction,
+    jaccard_join,
+    language_id,
+    license_scan,
+    line_dedup,
+    quality_rules,
+    secret_scan,
+    source_mix,
+    token_files,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +30,29 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_guess",
+                        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_files.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_pages(_table(spark, sf_dir, "pages"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents stand in for files in the folders of their source and language."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.col("doc_id").cast("string"))
+    files = _table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    return license_scan.scan_licenses(files, "doc_id")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -27,6 +61,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_sources(_table(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -38,8 +76,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_secret_scan": op2_secret_scan,
+    "op3_token_files": op3_token_files,
+    "op4_html_extraction": op4_html_extraction,
+    "op5_license_scan": op5_license_scan,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_source_mix": op7_source_mix,
+    "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }

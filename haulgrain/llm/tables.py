@@ -27,6 +27,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once a row, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, everything else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -7,8 +7,8 @@ Jaccard similarity reaches the threshold. The steps:
    sketch of fixed size. The sketch only orders shingles, rare ones first; it decides no result.
 2. Equal sets are one node. Each set sends its prefix, the rarest shingles of which linked sets must
    share one, to the task of the shingle, packed into arrays.
-3. Sets that share a prefix shingle meet in the cell of the least of them. Cells above a weight are
-   dealt in pairs of blocks, so each task is bounded whatever the size of the group.
+3. Sets that share a prefix shingle, and whose sizes and places of the shingle allow a link, meet in
+   the cell of the least of them. Cells above a weight are dealt in pairs of blocks, so each task is bounded whatever the size of the group.
 4. Only texts in some cell are shipped, compressed, which takes less than their hashed sets. Each
    task hashes them, stores a block in a prefix tree of ordered n-grams and walks it with each set of the other block: overlaps of shared paths are
    counted once, and subtrees that cannot reach the threshold by their remaining length are cut.
@@ -42,7 +42,7 @@ from haulgrain.llm.tables import written
 #: The threshold as a fraction: 3 / 4.
 SIMILAR = (3, 4)
 #: Counters of the order sketch, in slices that are added up apart.
-SKETCH_BITS, SLICES = 20, 16
+SKETCH_BITS, SLICES = 21, 16
 #: Prefix shingles in one packed group; shingles of a block of a cell.
 GROUP_SHINGLES, BLOCK_SHINGLES = 400_000, 1_000_000
 #: Counts above the sketch's median from which a shingle's group is split.
@@ -112,29 +112,28 @@ def _prefix_length(n: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
 def _prefixes(size: int, similar: tuple[int, int], sketch, middle: int, groups: int, hot: int):
     """Packed (group, shingles, set keys, index of set): each distinct set of the task sends its prefix."""
 
-    def flush(values, keys):
-        values, keys = np.concatenate(values), np.concatenate(keys)
+    def flush(columns):
+        values, keys, sizes, place = map(np.concatenate, zip(*columns, strict=True))
         above = sketch.value[_bucket(values)] - middle
         parts = np.where(above > hot, above // hot + 1, 1).astype(np.uint64)
         salt = np.where(parts > 1, mix(keys) % parts + np.uint64(1), np.uint64(0))
         group = (mix(values + salt) % np.uint64(groups)).astype(np.int64)
         order = np.lexsort((values, salt, group))
-        values, keys, salt, group = values[order], keys[order], salt[order], group[order]
+        values, keys, sizes, place, salt, group = (x[order] for x in (values, keys, sizes, place, salt, group))
         cuts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
         rows = []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            own, index = np.unique(keys[a:b], return_inverse=True)
+            own, first, index = np.unique(keys[a:b], return_index=True, return_inverse=True)
             salts = salt[a:b].astype(np.uint32).tobytes() if salt[a:b].any() else b""
-            rows.append((int(group[a]), values[a:b].tobytes(), own.tobytes(),
-                         index.astype(np.uint16 if len(own) < 65536 else np.uint32).tobytes(), salts))
+            rows.append((int(group[a]), values[a:b].tobytes(), own.tobytes(), sizes[a:b][first].astype(np.uint32).tobytes(),
+                         index.astype(_index_type(len(own))).tobytes(), place[a:b].tobytes(), salts))
         columns = list(zip(*rows, strict=True))
         return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-            names=["grp", "shingles", "keys", "at", "salts"])
+            [pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=list(_PACKED))
 
     def run(batches):
         seen: set[int] = set()  # bounded by the rows of the task
-        held_values, held_keys, held = [], [], 0
+        held, weight = [], 0
         for batch in batches:
             for _, values, at in shingle_sets(batch.column(0), size):
                 n, keys = np.diff(at), set_keys(values, at)
@@ -151,18 +150,26 @@ def _prefixes(size: int, similar: tuple[int, int], sketch, middle: int, groups:
                 starts = np.concatenate(([0], np.cumsum(np.where(new, n, 0))))
                 place = np.arange(len(values)) - starts[owner]
                 take = place < _prefix_length(n, similar)[owner]
-                held_values.append(values[take])
-                held_keys.append(keys[owner[take]])
-                held += len(held_values[-1])
-                if held > 1_000_000:
-                    yield flush(held_values, held_keys)
-                    held_values, held_keys, held = [], [], 0
-        if held:
-            yield flush(held_values, held_keys)
+                owner, place = owner[take], place[take]
+                # The place in 256ths of the set, rounded down.
+                held.append((values[take], keys[owner], n[owner], (place * 256 // n[owner]).astype(np.uint8)))
+                weight += len(owner)
+                if weight > 1_000_000:
+                    yield flush(held)
+                    held, weight = [], 0
+        if weight:
+            yield flush(held)
 
     return run
 
 
+_PACKED = ("grp", "shingles", "keys", "sizes", "at", "places", "salts")
+
+
+def _index_type(n: int):
+    return np.uint16 if n < 65536 else np.uint32
+
+
 def runs(batches, column: int = 0):
     """Consecutive rows with an equal key, as one table each."""
     held, key = [], None
@@ -181,35 +188,86 @@ def runs(batches, column: int = 0):
         yield pa.Table.from_batches(held)
 
 
-def _meet(batches):
-    """(leader, member, shingle): of each shingle that several sets share, the least set and every set.
+def _size_classes(similar: tuple[int, int]) -> np.ndarray:
+    """Lower bounds of classes such that sizes of linked sets are in the same or neighbouring ones."""
+    top, bottom = similar
+    bounds = [1]
+    while bounds[-1] < 1 << 40:
+        bounds.append(bounds[-1] * bottom // top + 1)
+    return np.array(bounds)
+
+
+def _meet(similar: tuple[int, int]):
+    """(leader, class, key, shingle): sets that share a prefix shingle, with the least set of them.
 
-    ``shingle`` is null unless its group was split, when leaders of the parts must still be joined.
+    Sets of one shingle meet by pairs of neighbouring size classes, and only if so much of the set is left
+    after the shingle as a link with the smallest of them needs (a pair is found at its first shared
+    shingle). ``shingle`` is null unless its group was split, when leaders of the parts are still to be joined.
     """
-    for table in runs(batches):
-        values, keys, salts = [], [], []
-        for v, k, at, s in zip(*(table.column(c).to_pylist() for c in ("shingles", "keys", "at", "salts")), strict=True):
-            v, k = np.frombuffer(v, np.uint64), np.frombuffer(k, np.uint64)
-            at = np.frombuffer(at, np.uint16 if len(k) < 65536 else np.uint32)
-            values.append(v)
-            keys.append(k[at].view(np.int64))
-            salts.append(np.frombuffer(s, np.uint32) if s else np.zeros(len(v), np.uint32))
-        values, keys, salts = map(np.concatenate, (values, keys, salts))
-        order = np.lexsort((keys, salts, values))
-        values, keys, salts = values[order], keys[order], salts[order]
-        start = np.concatenate(([True], (values[1:] != values[:-1]) | (salts[1:] != salts[:-1])))
-        first = np.maximum.accumulate(np.where(start, np.arange(len(values)), 0))
-        leader = keys[first]
+    top, bottom = similar
+    bounds = _size_classes(similar)
+
+    def group(table: pa.Table):
+        parts = []
+        for v, k, n, at, place, s in zip(*(table.column(c).to_pylist() for c in _PACKED[1:]), strict=True):
+            v, k, n = np.frombuffer(v, np.uint64), np.frombuffer(k, np.int64), np.frombuffer(n, np.uint32)
+            at = np.frombuffer(at, _index_type(len(k)))
+            parts.append((v, k[at], n[at].astype(np.int64), np.frombuffer(place, np.uint8).astype(np.int64),
+                          np.frombuffer(s, np.uint32) if s else np.zeros(len(v), np.uint32)))
+        values, keys, sizes, places, salts = map(np.concatenate, zip(*parts, strict=True))
+        # Only shingles that occur twice matter.
+        order = np.lexsort((salts, values))
+        values, keys, sizes, places, salts = (x[order] for x in (values, keys, sizes, places, salts))
+        same = (values[1:] == values[:-1]) & (salts[1:] == salts[:-1])
+        shared = np.concatenate((same, [False])) | np.concatenate(([False], same)) | (salts > 0)
+        values, keys, sizes, places, salts = (x[shared] for x in (values, keys, sizes, places, salts))
+        low = np.searchsorted(bounds, sizes, side="right")
+        two = lambda x: np.concatenate((x, x))
+        classes = np.concatenate((low, low - 1))  # as the smaller, and as the larger of a pair of classes
+        smaller = np.repeat([True, False], len(low))
+        values, keys, sizes, places, salts = map(two, (values, keys, sizes, places, salts))
+        order = np.lexsort((classes, salts, values))
+        values, keys, sizes, places, salts, classes, smaller = (
+            x[order] for x in (values, keys, sizes, places, salts, classes, smaller))
+        if not len(values):
+            return
+        new_shingle = np.concatenate(([True], (values[1:] != values[:-1]) | (salts[1:] != salts[:-1])))
+        start = np.flatnonzero(new_shingle | np.concatenate(([True], classes[1:] != classes[:-1])))
+        has_small, has_large = np.maximum.reduceat(smaller, start), np.maximum.reduceat(~smaller, start)
+        # A split shingle's sets may meet those of other parts. Else a class on its own is a run unless the pair of classes below holds it too.
+        joined = np.concatenate(([False], ~new_shingle[start[1:]] & has_small[:-1] & (classes[start[1:]] == classes[start[:-1]] + 1)))
+        whole = has_small & (has_large | ~joined) | (salts[start] > 0)
+        lengths = np.diff(np.concatenate((start, [len(values)])))
+        least = np.repeat(np.minimum.reduceat(sizes, start), lengths)
+        left = sizes - places * sizes // 256
+        partner = np.maximum(np.where(salts > 0, 0, least), -(-sizes * top // bottom))
+        alive = np.repeat(whole, lengths) & ((top + bottom) * left >= top * (sizes + partner))
+        run = np.repeat(np.arange(len(start)), lengths)[alive]
+        values, keys, salts, classes = (x[alive] for x in (values, keys, salts, classes))
+        if not len(values):
+            return
+        order = np.lexsort((keys, run))
+        values, keys, salts, classes, run = (x[order] for x in (values, keys, salts, classes, run))
+        start = np.concatenate(([True], run[1:] != run[:-1]))
+        leader = keys[np.maximum.accumulate(np.where(start, np.arange(len(keys)), 0))]
         hot = salts > 0
         for part, named in ((~hot & (leader != keys), False), (hot, True)):
             if part.any():
-                pairs = np.stack((leader[part], keys[part], values[part].view(np.int64) * named), 1)
-                pairs = np.unique(pairs, axis=0) if named else np.unique(
-                    np.ascontiguousarray(pairs[:, :2]).view("i8,i8").reshape(-1)).view(np.int64).reshape(-1, 2)
-                shingle = pa.array(pairs[:, 2]) if named else pa.nulls(len(pairs), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), shingle],
-                    names=["leader", "key", "shingle"])
+                shingle = values[part].view(np.int64) if named else np.zeros(int(part.sum()), np.int64)
+                rows = np.stack((leader[part], classes[part], keys[part], shingle), 1)
+                order = np.lexsort(rows.T)
+                rows = rows[order]
+                rows = rows[np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1)))]
+                columns = [pa.array(rows[:, i].copy()) for i in range(4)]
+                if not named:
+                    columns[3] = pa.nulls(len(rows), pa.int64())
+                yield pa.RecordBatch.from_arrays(columns, names=["leader", "class", "key", "shingle"])
+
+    def run(batches):
+        for table in runs(batches):
+            yield from group(table)
+
+    return run
 
 
 def _pack(id_type: pa.DataType):
@@ -422,27 +480,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     packed = docs.select("text").mapInArrow(
         _prefixes(size, similar, shared, int(np.median(sketch)), groups, hot),
-        "grp long, shingles binary, keys binary, at binary, salts binary")
+        "grp long, shingles binary, keys binary, sizes binary, at binary, places binary, salts binary")
     tasks = max(groups // 4, spark.sparkContext.defaultParallelism)
     met = packed.repartition(int(tasks), "grp").sortWithinPartitions("grp").mapInArrow(
-        _meet, "leader long, key long, shingle long").distinct()
+        _meet(similar), "leader long, class long, key long, shingle long").distinct()
     met = written(met, "met")
     split = met.filter("shingle is not null")
-    least = split.groupBy("shingle").agg(F.min("leader").alias("least"))
-    pairs = met.filter("shingle is null").select("leader", "key").union(
-        split.join(least, "shingle").select(F.col("least").alias("leader"), "key")).distinct()
+    least = split.groupBy("shingle", "class").agg(F.min("leader").alias("least"))
+    pairs = met.filter("shingle is null").select("leader", "class", "key").union(
+        split.join(least, ["shingle", "class"]).select(F.col("least").alias("leader"), "class", "key")).distinct()
     pairs = pairs.filter("leader <> key")
 
     sets = rows.filter("n > 0").groupBy("key").agg(
         F.min(F.struct("id", "text_hash")).alias("row"), F.min("n").alias("n")).select("key", "row.*", "n")
-    members = written(pairs.union(pairs.select("leader", F.col("leader").alias("key")).distinct())
+    members = written(pairs.union(pairs.select("leader", "class", F.col("leader").alias("key")).distinct())
                       .join(sets, "key"), "members")
-    weight = members.groupBy("leader").agg(F.ceil(F.sum("n") / F.lit(block)).cast("long").alias("blocks"))
-    dealt = members.join(weight, "leader").select(
-        "leader", "id", "text_hash", F.pmod(F.xxhash64("key"), "blocks").alias("own"),
+    weight = members.groupBy("leader", "class").agg(F.ceil(F.sum("n") / F.lit(block)).cast("long").alias("blocks"))
+    dealt = members.join(weight, ["leader", "class"]).select(
+        "leader", "class", "id", "text_hash", F.pmod(F.xxhash64("key"), "blocks").alias("own"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     cells = dealt.select(
-        F.xxhash64("leader", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
+        F.xxhash64("leader", "class", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
         F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), F.col("id").alias("own_id"),
         F.col("text_hash").alias("own_hash"))
     packed = docs.select("id", "text_hash", "text").mapInArrow(_pack(arrow_id), T.StructType(

@@ -66,7 +66,7 @@ def _window_shingles(windows: DataFrame, size: int) -> DataFrame:
 def find_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = 10,
                   size: int = 3) -> DataFrame:
-    """(id, n_words, n_hit, n_items, items) for each row of ``docs``; ``items`` are ordered item ids.
+    """(id, text_hash, n_words, n_hit, n_items, items) for each row of ``docs``; ``items`` are ordered item ids.
 
     A word is hit if it lies inside any occurrence of a window.
     """
@@ -114,7 +114,7 @@ def find_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     named = named.withColumnsRenamed({"id": "own_id", "text_hash": "own_hash"})
     found = checked.join(named, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")), "left")
     items_of = F.coalesce("items", F.array().cast("array<string>"))
-    return found.select(F.col("id").alias(id_col), "n_words", "n_hit", F.size(items_of).cast("long").alias("n_items"),
+    return found.select(F.col("id").alias(id_col), "text_hash", "n_words", "n_hit", F.size(items_of).cast("long").alias("n_items"),
                         items_of.alias("items"))
 
 

@@ -208,20 +208,24 @@ def base_failed(stats: Column, min_words: int = 10, max_repeat_percent: int = 20
     return (stats["n_words"] < min_words) | (100 * stats["n_repeat_words"] > max_repeat_percent * stats["n_words"])
 
 
-def judge(scored: DataFrame, labels: DataFrame, stats_col: str = "stats", id_col: str = "doc_id",
-          label_col: str = "quality", **learning) -> DataFrame:
-    """``scored`` (rows with statistics, a written table) with base_failed and kept."""
+def rules_from(scored: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
+               **learning) -> list[Rule]:
+    """Rules from rows (id, stats), a written table, and the labels of some ids."""
     marks = labels.select(F.col(id_col).alias("_label_id"), F.col(label_col).alias("_label"))
-    labelled = scored.select(id_col, stats_col).join(marks, F.col(id_col) == F.col("_label_id"))
-    rules = learn_rules(labelled, stats_col, "_label", id_col, **learning)
-    stats = F.col(stats_col)
-    failed = base_failed(stats)
-    return scored.withColumn("base_failed", failed).withColumn("kept", ~failed & ~rejected(rules, stats))
+    labelled = scored.select(F.col(id_col).alias("_id"), "stats").join(marks, F.col("_id") == F.col("_label_id"))
+    return learn_rules(labelled, "stats", "_label", "_id", **learning)
+
+
+def keeps(rules: list[Rule], stats: Column) -> Column:
+    """The verdict on a row's statistics."""
+    return ~base_failed(stats) & ~rejected(rules, stats)
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      **learning) -> DataFrame:
     """(id, the statistics, base_failed, kept) for each row of ``docs``."""
     scored = written(text_stats(docs.select(id_col, text_col), text_col).select(id_col, "stats"), "stats")
-    return judge(scored, labels, id_col=id_col, **learning).select(
-        id_col, *(f"stats.{s}" for s in STATS), "base_failed", "kept")
+    rules = rules_from(scored, labels, id_col, **learning)
+    stats = F.col("stats")
+    return scored.select(id_col, *(f"stats.{s}" for s in STATS), base_failed(stats).alias("base_failed"),
+                         keeps(rules, stats).alias("kept"))

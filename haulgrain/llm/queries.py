@@ -58,7 +58,7 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_mix.mix_sources(_table(spark, sf_dir, "documents")).drop("source")
+    return source_mix.mix_sources(_table(spark, sf_dir, "documents")).drop("source", "parts")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

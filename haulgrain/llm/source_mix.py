@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from haulgrain.llm.tables import WORD, written
+from haulgrain.llm.tables import WORD, let, written
 
 #: Words in a block.
 BLOCK = 64
@@ -69,7 +69,10 @@ def _running(df: DataFrame, keys: list[str], bucket: str, order: list, value: st
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, limit: int = 2, block: int = BLOCK,
                 bucket_words: int = 1_000_000) -> DataFrame:
-    """(id, source, size, source_size, target, taken) for each row of ``docs``."""
+    """(id, source, size, source_size, target, taken, parts) for each row of ``docs``.
+
+    ``parts`` are the stretches of the document's words that are taken, and how often.
+    """
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     sizes = written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size")), "sizes")
@@ -109,12 +112,45 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pieces = line.select("id", "source", "size", "copies", "start", (F.col("start") + F.col("words")).alias("end"), F.explode(
         F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("words") - 1) / block))).alias("block"))
     overlap = F.least("end", (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)
+    begin = F.greatest("start", F.col("block") * block) - F.col("start")
+    piece = F.struct(begin.alias("from"), (begin + overlap).alias("to"), F.col("times").alias("times"))
     got = pieces.join(times, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))).groupBy(
-        "id", "source", "size", "copies").agg(F.sum(overlap * F.col("times")).alias("words"))
+        "id", "source", "size", "copies").agg(F.sum(overlap * F.col("times")).alias("words"), F.collect_list(piece).alias("pieces"))
     got = got.withColumnsRenamed({c: f"_{c}" for c in ("id", "source", "size")})
     with_goal = sizes.join(goal.withColumnRenamed("source", "_of"), F.col("source").eqNullSafe(F.col("_of")))
     out = with_goal.join(got, F.col("id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
                          & (F.col("size") == F.col("_size")), "left")
     taken = F.coalesce(F.floor(F.col("words") / F.col("copies")), F.lit(0)).cast("long")
-    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size",
-                      F.col("source_size").cast("long"), "target", taken.alias("taken"))
+    # Documents that share a stretch take whole passes, and the rest from their beginning.
+    passes = F.floor(taken / F.col("size"))
+    shared = F.filter(F.array(F.struct(F.lit(0).cast("long").alias("from"), (taken % F.col("size")).alias("to"), (passes + 1).alias("times")),
+                              F.struct((taken % F.col("size")).alias("from"), F.col("size").alias("to"), passes.alias("times"))),
+                      lambda x: (x["to"] > x["from"]) & (x["times"] > 0))
+    none = F.array().cast("array<struct<from:bigint,to:bigint,times:bigint>>")
+    parts = F.when(taken == 0, none).when(F.col("copies") == 1, F.array_sort("pieces")).otherwise(shared)
+    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", F.col("source_size").cast("long"),
+                      "target", taken.alias("taken"), parts.alias("parts"))
+
+
+def apply_mix(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+              limit: int = 2) -> DataFrame:
+    """The rows of ``docs`` as often as the plan takes them, with the words that it takes.
+
+    A pass over a document is a row. A pass of all its words has the text as it is, other passes keep the
+    words taken with the white space before them. Documents that no slot takes, or without words, go.
+    """
+    text = F.col(text_col).cast("string")
+    size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    plan = plan.filter("taken > 0").select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), F.col("size").alias("_size"),
+                                           F.col("parts").alias("_parts")).groupBy("_id", "_source", "_size").agg(F.first("_parts").alias("_parts"))
+    rows = docs.withColumn("_words", size)
+    joined = rows.join(plan, F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_source"))
+                       & (F.col("_words") == F.col("_size")))
+    passes = joined.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.lit(limit)))).withColumn(
+        "_own", F.filter("_parts", lambda p: p["times"] >= F.col("_pass"))).filter(F.size("_own") > 0)
+    taken = F.aggregate("_own", F.lit(0).cast("long"), lambda n, p: n + p["to"] - p["from"])
+    spaced = F.regexp_extract_all(text, F.lit(f"([\\x20\\x09-\\x0D]*{WORD})"), F.lit(1))
+    partial = let(spaced, lambda w: F.array_join(F.flatten(F.transform(
+        "_own", lambda p: F.slice(w, p["from"].cast("int") + 1, (p["to"] - p["from"]).cast("int")))), ""))
+    chosen = F.when(taken == F.col("_size"), text).otherwise(F.ltrim(partial, F.lit(" \t\n\x0b\x0c\r")))
+    return passes.select(*(chosen.alias(c) if c == text_col else F.col(c) for c in docs.columns))

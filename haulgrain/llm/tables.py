@@ -22,6 +22,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer form of it that is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one."""
     return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"

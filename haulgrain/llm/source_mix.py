@@ -78,14 +78,14 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sizes = written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size")), "sizes")
     goal = written(targets(sizes, weights, share, limit), "targets")
     total = goal.agg(F.sum("target"), F.sum("source_size")).first()
-    slots = int((total[0] or 0) // block)
+    slots = int(min(share, limit) * (total[1] or 0) // block)
     buckets = max(8, int((total[1] or 0) // bucket_words))
 
     # Documents in line: where each begins in its source. Equal rows are one stretch.
-    shuffle = F.xxhash64(F.lit(7), "id", "size")
+    shuffle = F.md5(F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("size").cast("string")))
     one = sizes.groupBy("id", "source", "size").agg(F.count("*").alias("copies"))
     one = one.withColumn("words", F.col("size") * F.col("copies")).withColumn("order", shuffle).withColumn(
-        "bucket", F.shiftrightunsigned(F.col("order"), 33) % buckets)
+        "bucket", F.floor(F.conv(F.substring("order", 1, 8), 16, 10).cast("double") * buckets / (1 << 32)))
     line = _running(one.filter("words > 0"), ["source"], "bucket", ["order", "id", "size"], "words", "start")
 
     # The schedule: the source of each slot by cumulative targets, in whole points.

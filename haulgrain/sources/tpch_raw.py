@@ -72,14 +72,15 @@ class TpchRaw:
         })
 
     def customer_id_crosswalk(self) -> DataFrame:
-        # Codes of customers 8, 17, 26, ... have no primary row; every fourth has a secondary.
+        # Codes of customers 8, 17, 26, ... are missing in the primary row; every fourth has a secondary code.
         rows = self.source("customer").select(
             F.col("c_custkey").alias("k"),
             F.explode(F.array(F.lit(True), F.lit(False))).alias("main"),
-        ).where("(main AND k % 9 <> 8) OR (NOT main AND k % 4 = 0)")
+        )
         return _project(rows, "customer_id_crosswalk", {
             "erp_customer_id": "if(main, 10000000 + k, 10000000 + k + 1)",
-            "tms_customer_code": "if(main, concat('CU-', k), concat(' cu ', k, ' '))",
+            "tms_customer_code": "CASE WHEN main AND k % 9 <> 8 THEN concat('CU-', k)"
+                                 " WHEN NOT main AND k % 4 = 0 THEN concat(' cu ', k, ' ') END",
             "is_primary_mapping": "if(main, 'true', 'false')",
             "effective_from": "if(main, '2023-01-01', '2024-01-01')",
             "mapping_confidence": "if(main, 'high', 'low')",
@@ -214,15 +215,16 @@ class TpchRaw:
         })
 
     def wms_outbound(self) -> DataFrame:
-        # A second pick record exists for every shipment whose number leaves 2 when split by 21.
-        df = self._orders().where("k % 17 <> 0").withColumn(
+        # A second pick record exists for every shipment whose number leaves 2 when split by 21;
+        # every 17th names neither its order nor its shipment.
+        df = self._orders().withColumn(
             "part", F.explode(F.expr("if(k % 21 = 2, array('', 'B'), array(''))"))
         )
         return _project(df, "wms_outbound", {
             "wms_outbound_id": "concat('W', k, part)",
             "wms_location_code": "concat('loc', k % 25)",
-            "sales_order_id": "if(k % 14 = 5, NULL, concat('SO', if(k % 20 = 1, k - 1, k)))",
-            "tms_shipment_id": "CASE WHEN k % 14 = 5 THEN 'GHOST' WHEN k % 6 = 0 THEN NULL"
+            "sales_order_id": "if(k % 14 = 5 OR k % 17 = 0, NULL, concat('SO', if(k % 20 = 1, k - 1, k)))",
+            "tms_shipment_id": "CASE WHEN k % 17 = 0 THEN NULL WHEN k % 14 = 5 THEN 'GHOST' WHEN k % 6 = 0 THEN NULL"
                                " WHEN k % 6 = 3 THEN concat('GHOST', k) ELSE concat('TMS', k) END",
             "pick_start_ts": "concat(d, ' 06:', lpad(string(k % 60), 2, '0'), ':50')",
             "pack_complete_ts": "concat(d, if(k % 27 = 0, ' 05:00:00', ' 08:30:10'))",
@@ -259,7 +261,7 @@ class TpchRaw:
         })
 
     def claims(self) -> DataFrame:
-        df = self._orders().where("k % 15 = 4").withColumn("j", F.expr("k div 15"))
+        df = self._orders().withColumn("j", F.expr("k div 15"))
         return _project(df, "claims", {
             "claim_id": "concat('C', k)",
             "tms_shipment_id": "CASE WHEN j % 5 = 4 THEN 'GHOST' WHEN j % 2 = 0 THEN NULL"
@@ -277,7 +279,7 @@ class TpchRaw:
         })
 
     def crm_tickets(self) -> DataFrame:
-        df = self.source("events").where("event_type = 'error'").selectExpr(
+        df = self.source("events").selectExpr(
             "event_id AS e", "ts", "user_id AS u"
         )
         return _project(df, "crm_tickets", {
@@ -300,8 +302,8 @@ class TpchRaw:
         })
 
     def csat_survey_responses(self) -> DataFrame:
-        # Every second surveyed shipment answered twice.
-        df = self._orders().where("k % 9 = 0").withColumn(
+        # Some shipments answered twice.
+        df = self._orders().withColumn(
             "again", F.explode(F.expr("if(k % 18 = 0, array(0, 1), array(0))"))
         )
         return _project(df, "csat_survey_responses", {

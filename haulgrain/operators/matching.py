@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from haulgrain import contracts
 from haulgrain.session import shared_folder
 
-# Rows that cannot match are spread over this many join keys instead of one null key.
-SPREAD = 4096
+# Rows that cannot match are spread over so many join keys for each shuffle partition.
+SPREAD = 16
 
 
 def newest_per_key(
@@ -44,8 +44,7 @@ def left_lookup(
     """Left join to a one-row-per-key lookup; ``take`` maps new columns to lookup columns.
 
     ``key`` is a SQL expression of text type. Rows whose key is null cannot match; they are
-    spread by a hash of their leading columns (ids come first in every table) so that they
-    do not pile up in one task. The hash depends on the row alone, so a re-run task sends
+    spread by a hash of all their columns so that they do not pile up in one task. The hash depends on the row alone, so a re-run task sends
     its rows to the same place.
 
     Hot non-null keys are split by adaptive execution, which can do so only where both sides
@@ -55,8 +54,9 @@ def left_lookup(
     right = lookup.selectExpr(
         f"concat({lookup_key}, '') AS _rk", *[f"{src} AS _r_{dst}" for dst, src in take.items()]
     )
-    ids = ", ".join(df.columns[:6])
-    spread = f"concat('\u0001no key ', pmod(xxhash64({ids}), {SPREAD}))"
+    keys = SPREAD * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    spread = f"concat('\u0001no key ', pmod(xxhash64({columns}), {keys}))"
     joined = df.join(right, F.expr(f"coalesce({key}, {spread}) = _rk"), "left")
     return joined.withColumns(
         {dst: F.expr(f"if(({key}) IS NULL, NULL, _r_{dst})") for dst in take}
@@ -133,33 +133,19 @@ def first_in_group(df: DataFrame, key: Column, order: Sequence[Column]) -> DataF
     )
 
 
-def rank_in_group(
-    df: DataFrame,
-    key: Column,
-    order: Sequence[Column],
-    rank: str,
-    hot_rows: int = 1_000_000,
-) -> DataFrame:
+def row_hash(df: DataFrame) -> Column:
+    """Hash of all columns, to end an order where its own columns tie."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def rank_in_group(df: DataFrame, key: Column, order: Sequence[Column], rank: str) -> DataFrame:
     """Number the rows of each group 1, 2, ... by ``order`` (nulls form a group).
 
-    Groups of up to about ``hot_rows`` rows take a plain window. Larger ones would put one
-    group into one task, so they are sorted across the cluster and numbered by position.
+    One distributed sort for groups of any size. A hash of the whole row ends the order, so the
+    sort can split a group even where all its rows have the same ``order``.
     """
-    keyed = df.withColumn("_group", key).withColumn("_gh", F.xxhash64("_group"))
-    # At most total/hot_rows hashes. A hash shared by two groups only sends both the long way.
-    shared_folder(df.sparkSession)
-    hot = keyed.groupBy("_gh").count().where(F.col("count") > hot_rows).select("_gh").checkpoint()
-    plain = Window.partitionBy("_group").orderBy(*order)
-    number = F.row_number()
-    if hot.isEmpty():
-        return keyed.withColumn(rank, number.over(plain)).drop("_group", "_gh")
-    cold_rows = (
-        keyed.join(F.broadcast(hot), "_gh", "left_anti")
-        .withColumn(rank, number.over(plain))
-        .select(*df.columns, rank)
-    )
-    hot_rows_df = keyed.join(F.broadcast(hot), "_gh", "left_semi").drop("_gh")
-    return cold_rows.unionByName(_rank_by_position(hot_rows_df, order, rank))
+    keyed = df.withColumn("_last", row_hash(df)).withColumn("_group", key)
+    return _rank_by_position(keyed, [*order, F.col("_last")], rank)
 
 
 def _rank_by_position(df: DataFrame, order: Sequence[Column], rank: str) -> DataFrame:
@@ -169,6 +155,7 @@ def _rank_by_position(df: DataFrame, order: Sequence[Column], rank: str) -> Data
     group's first position there, plus the group's rows in earlier tasks, is its rank. The
     sorted rows are written once, so that both uses see the same split.
     """
+    shared_folder(df.sparkSession)
     placed = (
         df.orderBy(F.col("_group").asc_nulls_last(), *order)
         .withColumn("_pos", F.monotonically_increasing_id())
@@ -178,7 +165,7 @@ def _rank_by_position(df: DataFrame, order: Sequence[Column], rank: str) -> Data
     earlier = Window.partitionBy("_group").orderBy("_task").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    # One row per group and task: at most hot groups + sort tasks.
+    # One row per group and task.
     spans = (
         placed.groupBy("_group", "_task")
         .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
@@ -186,7 +173,7 @@ def _rank_by_position(df: DataFrame, order: Sequence[Column], rank: str) -> Data
         .select(F.col("_group").alias("_sg"), F.col("_task").alias("_st"), "_first", "_before")
     )
     same = (F.col("_task") == F.col("_st")) & F.col("_group").eqNullSafe(F.col("_sg"))
-    keep = [c for c in df.columns if c != "_group"]
-    return placed.join(F.broadcast(spans), same).select(
+    keep = [c for c in df.columns if c not in ("_group", "_last")]
+    return placed.join(spans, same).select(
         *keep, (F.col("_pos") - F.col("_first") + F.col("_before") + 1).cast("int").alias(rank)
     )

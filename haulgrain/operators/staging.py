@@ -17,6 +17,7 @@ from haulgrain.operators.matching import (
     flag_replaced,
     newest_per_key,
     rank_in_group,
+    row_hash,
 )
 
 
@@ -142,14 +143,18 @@ def clean_events(raw: DataFrame) -> DataFrame:
 
 
 def kept_events(raw: DataFrame) -> DataFrame:
-    """The scans that survive deduplication, without the match flag."""
-    return first_in_group(clean_events(raw), _scan_group(), _scan_order())
+    """The scans that survive deduplication, without the match flag.
 
+    A hash of the row ends the order, as in the full ranking, so both keep the same scan on ties.
+    """
+    cleaned = clean_events(raw)
+    return first_in_group(cleaned, _scan_group(), [*_scan_order(), row_hash(cleaned)])
 
-def events(raw: DataFrame, ships: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+
+def events(raw: DataFrame, ships: DataFrame) -> DataFrame:
     """Every scan with its rank in its duplicate group (the latest ingested is 1)."""
     ranked = rank_in_group(
-        clean_events(raw), _scan_group(), _scan_order(), "duplicate_rank", hot_rows
+        clean_events(raw), _scan_group(), _scan_order(), "duplicate_rank"
     ).withColumns({
         "duplicate_rank": F.col("duplicate_rank").cast("long"),
         "keep_event_flag": F.col("duplicate_rank") == 1,

@@ -85,6 +85,8 @@ class Layers:
         if name == "stg_tracking_events":
             return staging.events(raw["carrier_tracking_events"], ships)
         if name == "stg_tracking_events_dedup":
+            if self._written("stg_tracking_events"):
+                return self["stg_tracking_events"].where("keep_event_flag")
             return staging.events_dedup(raw["carrier_tracking_events"], ships)
         if name == "stg_wms_outbound":
             return staging.wms(raw["wms_outbound"], ships)

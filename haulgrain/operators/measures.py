@@ -281,19 +281,23 @@ def shipments_by_role(fact: DataFrame) -> DataFrame:
     )
 
 
-def previous_month(fact: DataFrame) -> DataFrame:
-    """Monthly volume, service and margin beside the month before.
+def previous_month(fact: DataFrame, by: Sequence[str] = (), slice_: Slice | None = None) -> DataFrame:
+    """Monthly volume, service and margin beside the month before, for each group of ``by``.
+
+    A slice narrows both months by its columns; its dates pick the months shown, not those before.
 
     Joined on the shifted month, not lagged: a month missing from the data gives null. The
     join is between monthly totals, so its size is the number of months.
     """
+    if slice_:
+        fact = apply_filters(fact, slice_)
     names = ["total_shipments", "on_time_delivery_pct", "gross_margin"]
     now = evaluate(
         fact.where(F.col("ship_date").isNotNull()), names,
-        [month_start(F.col("ship_date")).alias("month_start_date")],
+        [*by, month_start(F.col("ship_date")).alias("month_start_date")],
     )
     before = now.select(
-        F.add_months("month_start_date", 1).alias("month_start_date"),
+        *[F.col(c).alias(f"_{c}") for c in by], F.add_months("month_start_date", 1).alias("_month"),
         F.col("total_shipments").alias("shipments_previous_month"),
         F.col("on_time_delivery_pct").alias("otd_pct_previous_month"),
         F.col("gross_margin").alias("gross_margin_previous_month"),
@@ -302,8 +306,16 @@ def previous_month(fact: DataFrame) -> DataFrame:
     def change(a: str, b: str) -> Column:
         return ratio(F.col(a) - F.col(b), F.col(b))
 
-    return now.join(before, "month_start_date", "left").select(
-        "month_start_date",
+    same = F.col("month_start_date") == F.col("_month")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    out = now.join(before, same, "left")
+    if slice_ and slice_.start:
+        out = out.where(F.col("month_start_date") >= month_start(F.lit(slice_.start).cast("date")))
+    if slice_ and slice_.end:
+        out = out.where(F.col("month_start_date") <= F.lit(slice_.end).cast("date"))
+    return out.select(
+        *by, "month_start_date",
         "total_shipments",
         "shipments_previous_month",
         change("total_shipments", "shipments_previous_month").alias("shipment_change_pct"),
@@ -334,10 +346,20 @@ TARGETED = {
 }
 
 
-def target_status(fact: DataFrame) -> DataFrame:
-    """Each targeted KPI against its target: On target, Watch, Off target or No data."""
+# Shares, whose variance is in percentage points.
+RATES = [n for n in TARGETED if n not in ("Average CSAT", "Net Promoter Score")]
+
+
+def target_status(fact: DataFrame, by: Sequence[str] = (), slice_: Slice | None = None) -> DataFrame:
+    """Each targeted KPI against its target: On target, Watch, Off target or No data.
+
+    For the whole fact or each group of ``by``, over a slice if one is given. The variance of shares is in
+    percentage points.
+    """
+    fact = apply_slice(fact, slice_) if slice_ else fact
     rows = ", ".join(f"struct('{n}' AS kpi_name, double({KPI[c]}) AS actual)" for n, c in TARGETED.items())
-    actuals = fact.agg(F.expr(f"array({rows}) AS rows")).selectExpr("inline(rows)")
+    groups = [f"`{c}`" for c in by]
+    actuals = fact.groupBy(*by).agg(F.expr(f"array({rows}) AS rows")).selectExpr(*groups, "inline(rows)")
     actual, target, slack = (F.col(c) for c in ("actual", "target_value", "warning_tolerance"))
     higher = F.col("direction") == "Higher"
     status = (
@@ -350,6 +372,7 @@ def target_status(fact: DataFrame) -> DataFrame:
     )
     # Eight rows on each side.
     return actuals.join(F.broadcast(kpi_targets(fact.sparkSession)), "kpi_name").select(
-        "kpi_name", "actual", "target_value", "warning_tolerance", "direction",
-        (actual - target).alias("variance"), status.alias("status"),
+        *by, "kpi_name", "actual", "target_value", "warning_tolerance", "direction",
+        (F.when(F.col("kpi_name").isin(*RATES), 100.0).otherwise(1.0) * (actual - target)).alias("variance"),
+        status.alias("status"),
     )

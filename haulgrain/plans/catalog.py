@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from haulgrain import contracts
 from haulgrain.operators import (
@@ -17,8 +18,11 @@ from haulgrain.operators import (
     segments,
     staging,
 )
+from haulgrain.operators.matching import distinct_keys
 from haulgrain.plans.layers import Layers
-from haulgrain.sources.lineage import load_lineage, table_counts
+from haulgrain.sources.landing import LandedRaw, land_extracts
+from haulgrain.sources.lineage import file_digests, load_lineage, table_counts
+from haulgrain.sources.publish import publish, read_published
 
 Query = Callable[[Layers], DataFrame]
 
@@ -163,7 +167,8 @@ def agg_tickets(t):
 
 @query
 def agg_surveys(t):
-    return children.survey_totals(t["stg_csat_responses"].where("shipment_match_flag"))
+    ids = distinct_keys(t["stg_shipments"], "tms_shipment_id")
+    return t.child_totals("surveys").join(ids, "tms_shipment_id", "left_semi")
 
 
 # --- dimensions with labels -------------------------------------------------
@@ -199,11 +204,22 @@ def measures_time(t):
     return measures.previous_month(t["fact_shipment"])
 
 
+@query
+def measures_time_by_mode(t):
+    """Months of the slice by mode; the months before them may lie outside it."""
+    return measures.previous_month(t["fact_shipment"], ["mode"], SAMPLE_SLICE)
+
+
 @query
 def measures_targets(t):
     return measures.target_status(t["fact_shipment"])
 
 
+@query
+def measures_targets_by_mode(t):
+    return measures.target_status(t["fact_shipment"], ["mode"], SAMPLE_SLICE)
+
+
 @query
 def measures_sliced(t):
     """A date slice that the data-quality measures must ignore."""
@@ -286,7 +302,7 @@ def validate_model(t):
 
 
 # --- findings ---------------------------------------------------------------
-# The published volume guardrails would leave small data empty, so lower ones are used here.
+# The published volume guardrails leave small data empty, so the rankings also run with lower ones.
 
 
 @query
@@ -304,6 +320,21 @@ def rank_customers(t):
     return findings.rank_customers(t["vw_customer_scorecard"], minimum=5)
 
 
+@query
+def rank_carriers_published(t):
+    return findings.rank_carriers(t["vw_carrier_scorecard"])
+
+
+@query
+def rank_lanes_published(t):
+    return findings.rank_lanes(t["vw_lane_scorecard"])
+
+
+@query
+def rank_customers_published(t):
+    return findings.rank_customers(t["vw_customer_scorecard"])
+
+
 @query
 def eligibility_counts(t):
     return findings.eligibility_counts(t["vw_lane_scorecard"], t["fact_shipment"], "lane_key").select(
@@ -334,6 +365,12 @@ for _name in (
     _on_fact_and_dims(_name)
 
 
+@query
+def shipment_lookup(t):
+    """The signals of one shipment."""
+    return findings.shipment_360(t["fact_shipment"], t, "TMS4")
+
+
 @query
 def warehouse_ops(t):
     return segments.warehouse_operations(t["fact_shipment"], t)
@@ -373,6 +410,46 @@ def lineage_files(t):
     return load_lineage(t.spark, {n: f"{t.raw.sf_dir}/{n}.parquet" for n in sources})
 
 
+@query
+def lineage_fingerprints(t):
+    """Content fingerprints of the source tables, whatever their files."""
+    sources = "customer nation supplier orders lineitem events".split()
+    found = load_lineage(t.spark, {n: f"{t.raw.sf_dir}/{n}.parquet" for n in sources})
+    return found.select("table_name", "row_count", "column_count", "fingerprint")
+
+
+@query
+def source_digests(t):
+    """SHA-256 of each file of the source tables."""
+    return file_digests(t.spark, f"{t.raw.sf_dir}/orders.parquet").select("length", "sha256")
+
+
+@query
+def landing_roundtrip(t):
+    """Documents written as a CSV extract, landed with normalised names, and read as a raw table.
+
+    Texts hold quotes, commas and line breaks; identifiers come back as text.
+    """
+    folder = t.path("landing")
+    docs = t.spark.read.parquet(f"{t.raw.sf_dir}/documents.parquet")
+    docs.select(F.col("doc_id").alias("Document ID"), F.col("source").alias("sourceSystem"), F.col("text").alias("Full (Text)")).write.mode(
+        "overwrite").options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
+                             ignoreTrailingWhiteSpace=False).csv(f"{folder}/in.csv")
+    land_extracts(t.spark, {"documents": f"{folder}/in.csv"}, f"{folder}/raw")
+    landed = LandedRaw(t.spark, f"{folder}/raw")["documents"]
+    return landed.select("document_id", "source_system", F.length("full_text").cast("long").alias("n_chars"),
+                         F.md5(F.col("full_text").cast("binary")).alias("text_md5"))
+
+
+@query
+def publish_roundtrip(t):
+    """The exported tables, published as one run and counted as readers find them."""
+    folder = t.path("published")
+    names = ["fact_shipment", "dim_customer", "dim_carrier", "dim_lane", "vw_carrier_scorecard"]
+    publish(t, folder, names)
+    return profiling.union_all([table_counts(read_published(t.spark, folder, n), n) for n in names]).drop("column_count")
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Decimals as doubles and doubles to six places, for comparison across engines."""
     return df.selectExpr(

@@ -51,11 +51,17 @@ def preserve_text(df: DataFrame) -> DataFrame:
 
 
 def read_extract(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """CSV columns stay text: types belong to staging, and no pass is spent inferring them."""
+    """CSV columns stay text: types belong to staging, and no pass is spent inferring them.
+
+    Quoted fields may hold commas, doubled quotes and line breaks. A row with too few or too many
+    fields, or a file whose header differs from the others', is an error rather than shifted or lost text.
+    """
     fmt = fmt or path.rstrip("/").rsplit(".", 1)[-1]
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", False)
+        reader = reader.options(
+            header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST", enforceSchema=False
+        )
     return reader.load(path)
 
 

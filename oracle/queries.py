@@ -232,6 +232,20 @@ SELECT a.m AS month_start_date, a.c AS total_shipments, b.c AS shipments_previou
   {r6('(a.gm - b.gm) / NULLIF(b.gm, 0)')} AS gross_margin_change_pct
 FROM by_month a LEFT JOIN by_month b ON a.m = b.m + INTERVAL 1 MONTH""", MONTHS)
 
+_SLICED = "mode IN ('LTL', 'FTL') AND ship_date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'"
+add("measures_time_by_mode", f"""
+SELECT a.mode, a.m AS month_start_date, a.c AS total_shipments, b.c AS shipments_previous_month,
+  {r6('(a.c - b.c)::DOUBLE / NULLIF(b.c, 0)')} AS shipment_change_pct,
+  {r6('a.otd')} AS on_time_delivery_pct, {r6('b.otd')} AS otd_pct_previous_month,
+  {r6('100 * (a.otd - b.otd)')} AS otd_change_pp,
+  {r6('a.gm')} AS gross_margin, {r6('b.gm')} AS gross_margin_previous_month,
+  {r6('(a.gm - b.gm) / NULLIF(b.gm, 0)')} AS gross_margin_change_pct
+FROM mode_month a LEFT JOIN mode_month b ON a.mode = b.mode AND a.m = b.m + INTERVAL 1 MONTH
+WHERE a.m BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'""", {"mode_month": (
+    f"SELECT mode, {MONTH} AS m, {ALL} AS c, {KPI['on_time_delivery_rate']} AS otd, SUM(gross_margin_usd)::DOUBLE AS gm"
+    " FROM fact_shipment WHERE ship_date IS NOT NULL AND mode IN ('LTL', 'FTL') GROUP BY 1, 2"
+)})
+
 _targets = ", ".join(
     f"('{name}', {target}::DOUBLE, {slack}::DOUBLE, '{way}')" for name, target, slack, way in C.KPI_TARGETS
 )
@@ -246,7 +260,7 @@ _actuals = " UNION ALL ".join(
 )
 add("measures_targets", f"""
 SELECT kpi_name, {r6('actual')} AS actual, {r6('target_value')} AS target_value,
-  {r6('warning_tolerance')} AS warning_tolerance, direction, {r6('actual - target_value')} AS variance,
+  {r6('warning_tolerance')} AS warning_tolerance, direction, {r6("CASE WHEN kpi_name IN ('Average CSAT', 'Net Promoter Score') THEN 1 ELSE 100 END * (actual - target_value)")} AS variance,
   CASE WHEN actual IS NULL THEN 'No data'
        WHEN (direction = 'Higher' AND actual >= target_value) OR (direction = 'Lower' AND actual <= target_value)
          THEN 'On target'
@@ -256,6 +270,20 @@ SELECT kpi_name, {r6('actual')} AS actual, {r6('target_value')} AS target_value,
 FROM ({_actuals}) a
 JOIN (VALUES {_targets}) t(kpi_name, target_value, warning_tolerance, direction) USING (kpi_name)""")
 
+_by_mode = _actuals.replace(" AS kpi_name,", " AS kpi_name, mode,").replace(
+    "FROM fact_shipment", f"FROM fact_shipment WHERE {_SLICED} GROUP BY mode")
+add("measures_targets_by_mode", f"""
+SELECT mode, kpi_name, {r6('actual')} AS actual, {r6('target_value')} AS target_value,
+  {r6('warning_tolerance')} AS warning_tolerance, direction, {r6("CASE WHEN kpi_name IN ('Average CSAT', 'Net Promoter Score') THEN 1 ELSE 100 END * (actual - target_value)")} AS variance,
+  CASE WHEN actual IS NULL THEN 'No data'
+       WHEN (direction = 'Higher' AND actual >= target_value) OR (direction = 'Lower' AND actual <= target_value)
+         THEN 'On target'
+       WHEN (direction = 'Higher' AND actual >= target_value - warning_tolerance)
+         OR (direction = 'Lower' AND actual <= target_value + warning_tolerance) THEN 'Watch'
+       ELSE 'Off target' END AS status
+FROM ({_by_mode}) a
+JOIN (VALUES {_targets}) t(kpi_name, target_value, warning_tolerance, direction) USING (kpi_name)""")
+
 
 def between(column: str) -> str:
     return f"{column} BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'"
@@ -356,6 +384,38 @@ def q(c: str) -> str:
     return f'"{c}"'
 
 
+# The source tables' columns and how each becomes text in a fingerprint.
+_SOURCE_COLUMNS = {
+    "customer": "c_custkey c_name c_nationkey c_acctbal# c_mktsegment",
+    "nation": "n_nationkey n_name n_regionkey",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal#",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice# o_orderdate@ o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity# l_extendedprice# l_discount# l_tax# l_returnflag l_linestatus l_shipdate@",
+    "events": "event_id ts@ user_id event_type value# props",
+}
+
+
+def _fingerprint(table: str, columns: str) -> str:
+    parts = []
+    for c in columns.split():
+        name = c.rstrip("#@")
+        text = f"{name}::DECIMAL(38,6)::VARCHAR" if c.endswith("#") else (
+            f"STRFTIME({name}, '%Y-%m-%d %H:%M:%S.%f')" if c.endswith("@") else f"{name}::VARCHAR")
+        parts.append(f"COALESCE(LENGTH({text}) || ':' || {text} || ';', '-;')")
+    return (f"SELECT '{table}' AS table_name, COUNT(*) AS row_count, {len(parts)}::BIGINT AS column_count,"
+            f" SUM(('0x' || SUBSTR(MD5({' || '.join(parts)}), 1, 15))::BIGINT)::HUGEINT::VARCHAR AS fingerprint FROM {table}")
+
+
+ORACLE["lineage_fingerprints"] = " UNION ALL ".join(_fingerprint(t, c) for t, c in _SOURCE_COLUMNS.items())
+ORACLE["landing_roundtrip"] = (
+    "SELECT doc_id::VARCHAR AS document_id, source AS source_system, LENGTH(text)::BIGINT AS n_chars, MD5(text) AS text_md5"
+    " FROM documents")
+add("publish_roundtrip", " UNION ALL ".join(
+    f"SELECT '{published}' AS table_name, COUNT(*)::BIGINT AS row_count FROM {source}"
+    for published, source in [
+        ("fact_shipment", "fact_shipment"), ("dim_customer", "dim_customer"), ("dim_carrier", "dim_carrier"),
+        ("dim_lane", "dim_lane"), ("vw_carrier_scorecard", "kpi_carrier")]))
+
 add("lineage_counts", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, {ALL} AS row_count, {len(cols)}::BIGINT AS column_count FROM {t}"
     for t, cols in _RAW.items()
@@ -662,6 +722,24 @@ ranking("rank_customers", "margin_rate_rank", "gross_margin_percentage, total_sh
         "customer_key, legal_name, industry, customer_status, total_shipments, customer_revenue_usd,"
         " gross_margin_usd, gross_margin_percentage, complaint_rate, claim_rate, average_csat_score",
         "customer_revenue_usd gross_margin_usd gross_margin_percentage complaint_rate claim_rate average_csat_score")
+ranking("rank_carriers_published", "rate_rank", "on_time_delivery_rate, late_shipments DESC, carrier_key", 10, "kpi_carrier",
+        "otd_eligible_shipments >= 1000 AND on_time_delivery_rate IS NOT NULL",
+        "carrier_key, scac, carrier_legal_name, primary_mode, official_kpi_shipments, otd_eligible_shipments,"
+        " on_time_shipments, late_shipments, on_time_delivery_rate, otif_eligible_shipments, otif_shipments,"
+        " otif_rate, claim_rate, gross_margin_percentage",
+        "on_time_delivery_rate otif_rate claim_rate gross_margin_percentage")
+ranking("rank_lanes_published", "rate_rank", "otif_rate, late_shipments DESC, lane_key", 15, "kpi_lane",
+        "otif_eligible_shipments >= 250 AND otif_rate IS NOT NULL",
+        "lane_key, origin_warehouse_name, destination_city, destination_state, destination_country,"
+        " official_kpi_shipments, otd_eligible_shipments, on_time_shipments, late_shipments, on_time_delivery_rate,"
+        " otif_eligible_shipments, otif_shipments, otif_rate, average_days_late, gross_margin_percentage",
+        "on_time_delivery_rate otif_rate average_days_late gross_margin_percentage")
+ranking("rank_customers_published", "margin_rate_rank", "gross_margin_percentage, total_shipments DESC, customer_key", 10,
+        "kpi_customer",
+        "customer_status = 'ACTIVE' AND total_shipments >= 1000 AND gross_margin_percentage IS NOT NULL",
+        "customer_key, legal_name, industry, customer_status, total_shipments, customer_revenue_usd,"
+        " gross_margin_usd, gross_margin_percentage, complaint_rate, claim_rate, average_csat_score",
+        "customer_revenue_usd gross_margin_usd gross_margin_percentage complaint_rate claim_rate average_csat_score")
 add("eligibility_counts",
     "SELECT lane_key, total_shipments, otd_eligible_shipments, on_time_shipments, otif_eligible_shipments,"
     " otif_shipments FROM kpi_lane")
@@ -756,6 +834,7 @@ add("shipment_360", (
     f" {r6('carrier_cost_usd')} AS carrier_cost_usd, {r6('claims_paid_usd')} AS claims_paid_usd,"
     f" {r6('gross_margin_usd')} AS gross_margin_usd, ticket_count, {r6('average_csat_score')} AS average_csat_score,"
     f" {r6('shipment_nps')} AS shipment_nps FROM named"), NAMED)
+ORACLE["shipment_lookup"] = f"SELECT * FROM ({ORACLE['shipment_360']}) AS every WHERE tms_shipment_id = 'TMS4'"
 
 
 def nested(name: str, levels: list[str]) -> None:

@@ -51,6 +51,20 @@ def test_landing_csv_and_json(spark, tmp_path):
     assert scan(spark, f"{out}/claims", ["claim_id"]).columns == ["claim_id"]
 
 
+def test_csv_with_quotes_commas_and_line_breaks(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('ticketID,amount,note\nT1,123.0,"He said ""late"", twice"\nT2,,"two\nlines, one field"\nT3,5,\\n\n')
+    got = landing.read_extract(spark, str(tmp_path / "t.csv")).collect()
+    assert [tuple(r) for r in got] == [
+        ("T1", "123.0", 'He said "late", twice'), ("T2", None, "two\nlines, one field"), ("T3", "5", "\\n")]
+
+
+@pytest.mark.parametrize("row", ["T1,1", "T1,1,a,b"])
+def test_csv_rows_of_a_wrong_length_are_errors(spark, tmp_path, row):
+    (tmp_path / "t.csv").write_text(f"id,n,note\n{row}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.read_extract(spark, str(tmp_path / "t.csv")).collect()
+
+
 def test_lineage_ignores_order_and_layout(spark, tmp_path):
     df = spark.range(100).selectExpr("id", "string(id % 7) AS v")
     a, b, c = (str(tmp_path / x) for x in "abc")
@@ -67,8 +81,10 @@ def test_lineage_ignores_order_and_layout(spark, tmp_path):
 def test_file_digests(spark, tmp_path):
     (tmp_path / "x.bin").write_bytes(b"hello")
     (tmp_path / "y.bin").write_bytes(b"h" * 100)
-    rows = {os.path.basename(r["path"]): r for r in lineage.file_digests(spark, str(tmp_path), limit=50).collect()}
-    assert rows["x.bin"]["sha256"] == hashlib.sha256(b"hello").hexdigest() and rows["y.bin"]["sha256"] is None
+    (tmp_path / "z.gz").write_bytes(b"ab" * 9_000_000)  # more than a block
+    rows = {os.path.basename(r["path"]): r for r in lineage.file_digests(spark, str(tmp_path)).collect()}
+    for name, content in (("x.bin", b"hello"), ("y.bin", b"h" * 100), ("z.gz", b"ab" * 9_000_000)):
+        assert rows[name]["sha256"] == hashlib.sha256(content).hexdigest() and rows[name]["length"] == len(content)
 
 
 def test_publish_switches_only_after_every_table_verified(spark, tmp_path):

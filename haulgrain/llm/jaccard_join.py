@@ -505,7 +505,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.col("text_hash").alias("own_hash"))
     packed = docs.select("id", "text_hash", "text").mapInArrow(_pack(arrow_id), T.StructType(
         [id_type, T.StructField("text_hash", long), T.StructField("packed", T.BinaryType())]))
-    shipped = cells.join(packed, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")))
+    # The same plan at every size: the texts are what grows, and both sides are dealt by document.
+    shipped = cells.hint("merge").join(packed, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")))
     links = shipped.select("cell", "side", "packed").repartition("cell").sortWithinPartitions("cell").mapInArrow(
         _verify(size, similar), "a long, b long")
 

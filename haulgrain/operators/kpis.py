@@ -151,7 +151,9 @@ def scorecard(name: str, tables) -> DataFrame:
     """Aggregate by the fact's key first, then label the few result rows."""
     names, key, dim_name, labels = SCORECARDS[name]
     grouped = tables["fact_shipment"].groupBy(key).agg(*kpi_columns(names))
-    dim = tables[dim_name].select(key, *labels)
+    dim = tables[dim_name].groupBy(key).agg(F.min(F.struct(*labels)).alias("_labels")).select(
+        key, *[F.col("_labels")[c].alias(c) for c in labels]
+    )
     out = grouped.join(dim, key, "left")
     if name == "vw_lane_scorecard":
         origin = tables["dim_warehouse"].select(

@@ -25,6 +25,15 @@ def _texts(columns) -> str:
     return "array(" + ", ".join(f"string(`{c}`)" for c in columns) + ")"
 
 
+def row_hash(df: DataFrame) -> Column:
+    """128 bits of a row: the md5 of ``length:value;`` for each column as text, ``-;`` for null."""
+    parts = []
+    for c in df.columns:
+        text = F.col(f"`{c}`").cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text, F.lit(";")), F.lit("-;")))
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
 def key_counts(raw, tables) -> DataFrame:
     """Rows per table and key value, for all tables in one aggregation."""
     keys = [
@@ -35,11 +44,14 @@ def key_counts(raw, tables) -> DataFrame:
 
 
 def profile_tables(raw, tables=tuple(C.RAW_COLUMNS), file_bytes: dict[str, int] | None = None):
-    """Rows, columns, fully duplicated rows (all copies counted) and duplicate key groups."""
+    """Rows, columns, fully duplicated rows (all copies counted) and duplicate key groups.
+
+    Copies are found by the rows' hashes, so no row leaves its task as text.
+    """
     tables = list(tables)
     frames = {t: raw[t] for t in tables}
     copies = union_all([
-        df.selectExpr(f"'{t}' AS table_name", f"{_texts(df.columns)} AS row") for t, df in frames.items()
+        df.select(F.lit(t).alias("table_name"), row_hash(df).alias("row")) for t, df in frames.items()
     ]).groupBy("table_name", "row").count().groupBy("table_name").agg(
         F.sum("count").alias("row_count"),
         F.sum(F.when(F.col("count") > 1, F.col("count"))).alias("fully_duplicated_rows"),
@@ -66,9 +78,9 @@ _NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
 def profile_columns(raw, tables=tuple(C.RAW_COLUMNS)) -> DataFrame:
     """Type, nulls, distinct values, range and a sample per column of every table.
 
-    Cells are counted per (table, column, value) first, so exact distinct counts need neither
-    one set of values in a task nor one pass per column. Ranges are given for numbers, and
-    for text whose name ends in _date or _ts.
+    Counts, ranges and samples are summed up in the map tasks; for the distinct counts only a
+    128-bit hash of each value is shuffled. Ranges are given for numbers, and for text whose name
+    ends in _date or _ts.
     """
     cells, columns = [], []
     for t in tables:
@@ -79,9 +91,9 @@ def profile_columns(raw, tables=tuple(C.RAW_COLUMNS)) -> DataFrame:
             numeric = f.dataType.typeName() in _NUMERIC
             kind = "number" if numeric else "time" if f.name.endswith(("_date", "_ts")) else "text"
             columns.append((t, f.name, f.dataType.simpleString(), kind))
-    counted = union_all(cells).groupBy("table_name", "column_name", "value").count()
+    every = union_all(cells)
     wanted = listed(
-        counted.sparkSession, columns,
+        every.sparkSession, columns,
         "table_name string, column_name string, data_type string, kind string",
     )
     value = F.col("value")
@@ -91,16 +103,18 @@ def profile_columns(raw, tables=tuple(C.RAW_COLUMNS)) -> DataFrame:
     def edge(pick) -> Column:
         return F.coalesce(pick(number).cast("string"), F.date_format(pick(moment), "yyyy-MM-dd HH:mm:ss"))
 
-    found = counted.join(F.broadcast(wanted), ["table_name", "column_name"]).groupBy("table_name", "column_name").agg(
-        F.sum("count").alias("row_count"),
-        F.sum(F.when(value.isNull(), F.col("count"))).alias("null_count"),
-        F.count("value").alias("distinct_count"),
+    hashes = every.where(value.isNotNull()).select("table_name", "column_name", F.unhex(F.md5("value")).alias("h"))
+    distinct = hashes.distinct().groupBy("table_name", "column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
+    found = every.join(F.broadcast(wanted), ["table_name", "column_name"]).groupBy("table_name", "column_name").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count(F.when(value.isNull(), 1)).alias("null_count"),
         edge(F.min).alias("minimum_value"),
         edge(F.max).alias("maximum_value"),
         F.min(F.substring(value, 1, 100)).alias("sample_value"),
     )
     # An empty table still lists its columns.
-    return wanted.join(found, ["table_name", "column_name"], "left").selectExpr(
+    both = wanted.join(found, ["table_name", "column_name"], "left").join(distinct, ["table_name", "column_name"], "left")
+    return both.selectExpr(
         "table_name", "column_name", "data_type",
         "coalesce(row_count, 0L) AS row_count",
         "coalesce(null_count, 0L) AS null_count",

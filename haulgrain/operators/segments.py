@@ -21,10 +21,16 @@ NAMES = {
 }
 
 
+def _labels(tables, out: str) -> DataFrame:
+    """(key, _label), one row a key even if the dimension repeats one."""
+    dim, key, column, _ = NAMES[out]
+    return tables[dim].groupBy(key).agg(F.min(column).alias("_label"))
+
+
 def label(df: DataFrame, tables, out: str) -> DataFrame:
-    """Left join a dimension's label by its (unique) key."""
-    dim, key, column, unknown = NAMES[out]
-    names = tables[dim].select(key, F.col(column).alias("_label"))
+    """Left join a dimension's label by its key; no row is multiplied."""
+    _, key, _, unknown = NAMES[out]
+    names = _labels(tables, out)
     return df.join(names, key, "left").withColumn(
         out, F.coalesce("_label", F.lit(unknown))
     ).drop("_label")
@@ -45,11 +51,19 @@ def with_names(fact: DataFrame, tables) -> DataFrame:
 
 
 def pick_names(fact: DataFrame, tables, wanted: dict[str, Sequence[str]]) -> DataFrame:
-    """Keep rows whose dimension label is among the wanted ones."""
-    columns = fact.columns
+    """Keep rows whose dimension label is among the wanted ones.
+
+    The keys are picked in the dimension, so the fact meets only a list of keys. Rows without a
+    label are wanted as its text for a missing one: then the unwanted keys are taken away.
+    """
     for out, values in wanted.items():
         if values:
-            fact = label(fact, tables, out).where(F.col(out).isin(list(values))).select(*columns)
+            _, key, _, unknown = NAMES[out]
+            names, among = _labels(tables, out), F.col("_label").isin(list(values))
+            if unknown in values:
+                fact = fact.join(names.where(F.col("_label").isNotNull() & ~among).select(key), key, "left_anti")
+            else:
+                fact = fact.join(names.where(among).select(key), key, "left_semi")
     return fact
 
 

@@ -90,25 +90,41 @@ def cascade_match(
     method: str,
     payload: Sequence[str] = (),
 ) -> DataFrame:
-    """Match by the first rule that hits; later rules see only rows still unmatched.
+    """Match by the first rule that hits; later rules see only keys still unmatched.
 
     Adds ``matched`` (the target id), ``method`` (the rule's label or UNMATCHED) and, from
-    the lookup that hit, each ``payload`` column.
+    the lookup that hit, each ``payload`` column. The rules run over the distinct combinations
+    of keys alone; the rows, however wide, are shuffled once to take the answer.
     """
+    keys = [f"_key{i}" for i in range(len(rules))]
     hits = [f"_hit{i}" for i in range(len(rules))]
+    texts = ", ".join(f"coalesce(concat(length({r.key}), ':', {r.key}), '-')" for r in rules)
+    some = " OR ".join(f"({r.key}) IS NOT NULL" for r in rules)
+    together = f"CASE WHEN {some} THEN concat_ws(';', {texts}) END"
+    found = (
+        df.selectExpr(f"{together} AS _keys", *[f"{r.key} AS {k}" for r, k in zip(rules, keys)])
+        .where("_keys IS NOT NULL")
+        .distinct()
+    )
     for i, rule in enumerate(rules):
         still_open = " AND ".join(f"{h} IS NULL" for h in hits[:i])
-        key = f"CASE WHEN {still_open} THEN {rule.key} END" if i else rule.key
+        key = f"CASE WHEN {still_open} THEN {keys[i]} END" if i else keys[i]
         take = {hits[i]: rule.target, **{f"_{p}{i}": p for p in payload}}
-        df = left_lookup(df, key, rule.lookup, rule.lookup_key, **take)
+        found = left_lookup(found, key, rule.lookup, rule.lookup_key, **take)
     arms = " ".join(f"WHEN {h} IS NOT NULL THEN '{r.label}'" for r, h in zip(rules, hits))
     # At most one rule hits, so coalesce picks that rule's payload.
     carried = {p: [f"_{p}{i}" for i in range(len(rules))] for p in payload}
-    return df.withColumns({
-        matched: F.coalesce(*hits),
-        method: F.expr(f"CASE {arms} ELSE '{contracts.UNMATCHED}' END"),
-        **{p: F.coalesce(*parts) for p, parts in carried.items()},
-    }).drop(*hits, *[c for parts in carried.values() for c in parts])
+    answers = found.select(
+        "_keys", F.coalesce(*hits).alias("_matched"), F.expr(f"CASE {arms} END").alias("_method"),
+        *[F.coalesce(*parts).alias(f"_{p}") for p, parts in carried.items()],
+    ).where("_matched IS NOT NULL")
+    take = {"_to": "_matched", "_by": "_method", **{f"_with_{p}": f"_{p}" for p in payload}}
+    out = left_lookup(df, together, answers, "_keys", **take)
+    return out.withColumns({
+        matched: F.col("_to"),
+        method: F.coalesce("_by", F.lit(contracts.UNMATCHED)),
+        **{p: F.col(f"_with_{p}") for p in payload},
+    }).drop("_to", "_by", *[f"_with_{p}" for p in payload])
 
 
 def flag_replaced(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -24,8 +25,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def run_folder(spark: SparkSession) -> str:
-    """A fresh folder for one run's tables."""
-    return f"{shared_folder(spark).rstrip('/')}/haulgrain-{uuid.uuid4().hex}"
+    """A fresh folder for one run's tables, removed when the driver's process ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/haulgrain-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), folder)
+    return folder
+
+
+def _remove(jvm, configuration, folder: str) -> None:
+    try:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(configuration).delete(path, True)
+    except Exception:  # the JVM may be gone already; nothing depends on the removal
+        pass
 
 
 # The JVM never compiles a method of more than 8000 bytes of bytecode. Cleaning fifty text

@@ -132,7 +132,7 @@ def _gain(p: int, n: int, p0: int, n0: int) -> float:
 
 def learn_rules(labelled: DataFrame, stats_col: str = "stats", label_col: str = "quality", id_col: str = "doc_id",
                 max_labelled: int = 200_000, bins: int = 24, max_rules: int = 8, max_conditions: int = 3,
-                min_precision: float = 0.8) -> list[Rule]:
+                min_precision: float = 0.95) -> list[Rule]:
     """An ordered list of rules that reject, from rows with statistics and a 0/1 label (0 is rejected)."""
     rows = labelled.filter(F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("id"), (F.col(label_col) == 0).alias("bad"), f"{stats_col}.*")

@@ -79,7 +79,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     goal = written(targets(sizes, weights, share, limit), "targets")
     total = goal.agg(F.sum("target"), F.sum("source_size")).first()
     slots = int(min(share, limit) * (total[1] or 0) // block)
-    buckets = max(8, int((total[1] or 0) // bucket_words))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int((total[1] or 0) // bucket_words))
 
     # Documents in line: where each begins in its source. Equal rows are one stretch.
     shuffle = F.md5(F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("size").cast("string")))

@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
+import types
 import uuid
 import zlib
 
@@ -41,6 +43,8 @@ SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 END_ID = 1
 
 _SPLIT = re.compile(r"[^\x20\x09-\x0D]+").findall
+#: White space to str.split() but not to _SPLIT.
+_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
 
 
 class SeekTableError(ValueError):
@@ -95,6 +99,19 @@ class ShardReader:
         return np.frombuffer(content, "<u4")
 
 
+#: Between a letter or digit and punctuation the tokenizer always cuts, but for apostrophes. Letters
+#: that its normalizer turns into several characters are left out.
+_BEFORE_MARKS = re.compile("([!-&(-/:-@\\[-`{-~])(?<=[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f].)", re.DOTALL).sub
+
+
+def _spread(text: str) -> str:
+    """A text with the same ids whose words repeat more often: marks apart, ASCII in lower case."""
+    if "<|" in text:  # may spell a special token, which is taken as it is
+        return text
+    text = _BEFORE_MARKS(r" \1", text)
+    return text.lower() if text.isascii() else text
+
+
 class WordEncoder:
     """Ids of whole texts, word by word.
 
@@ -102,24 +119,33 @@ class WordEncoder:
     words between ASCII white space in order. Words seen are kept, up to a bound.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self._tokenizer, self._ids, self._most = Tokenizer.from_file(path), {}, most
 
+    @classmethod
+    def of_worker(cls, path: str) -> WordEncoder:
+        """One encoder for the life of a Python worker, which Spark reuses for many tasks."""
+        kept = sys.modules.setdefault("haulgrain_worker_state", types.ModuleType("haulgrain_worker_state")).__dict__
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        split = [_SPLIT(text) for text in texts]
+        texts = map(_spread, texts)
+        split = [_SPLIT(text) if _OTHER_SPACE(text) else text.split() for text in texts]
         known = self._ids
-        new = list({w for words in split for w in words} - known.keys())
+        new = list(set().union(*split).difference(known))
         if new:
             if len(known) + len(new) > self._most:
                 known.clear()
-                new = list({w for words in split for w in words})
+                new = list(set().union(*split))
             for a in range(0, len(new), 20_000):
                 part = new[a:a + 20_000]
                 encoded = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-                known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, encoded, strict=True))
-        return [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in split]
+                known.update((w, struct.pack(f"<{len(i := e.ids)}I", *i)) for w, e in zip(part, encoded, strict=True))
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
 
 
 def _writer(folder: str, tokenizer: str, end_id: int, frame_tokens: int, shard_bytes: int, id_type: pa.DataType):
@@ -130,7 +156,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, frame_tokens: int, shard_b
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, pack = WordEncoder(tokenizer), zstandard.ZstdCompressor(level=3)
+        encode, pack = WordEncoder.of_worker(tokenizer), zstandard.ZstdCompressor(level=3)
         partition = TaskContext.get().partitionId()
         store, base = _store(folder)
         shard, shards = None, 0

@@ -70,6 +70,19 @@ def test_token_files_round_trip(spark, tmp_path):
     assert token_files.token_digests(frame(spark, []), path).count() == 0
 
 
+def test_words_have_the_ids_of_the_whole_text():
+    import random
+
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, encode, r = Tokenizer.from_file(path), token_files.WordEncoder(path), random.Random(1)
+    parts = [*" \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u2003\u3000abABst'_-#$.,<>|1é٣ßΣςσİIŉſǅ漢😀", "e\u0301", "\u0338", "\u0958", "'s", "<|endoftext|>", "<|"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(50))) for _ in range(2_000)] + [""]
+    for text, ids in zip(texts, encode(texts)):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
 def test_a_reader_sees_damage(tmp_path):
     import zstandard
 

@@ -23,7 +23,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulgrain.llm.tables import let, lower_ascii, written
+from haulgrain.llm.tables import let, written
 
 # Usual notices of licences, by SPDX identifier.
 TEMPLATES = [
@@ -54,7 +54,7 @@ def _tokens(text: str) -> list[str]:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(lower_ascii(text), _SPLIT, -1), lambda w: w != "")
+    return F.array_remove(F.split(text, _SPLIT, -1), "")
 
 
 def _occurrences(spread: Column, word: Column) -> Column:
@@ -64,15 +64,21 @@ def _occurrences(spread: Column, word: Column) -> Column:
 
 
 def _units(docs: DataFrame, vocabulary: Column) -> DataFrame:
-    """(id, text_hash, line, known, others): the template words of each unit, and its other words."""
-    lines = F.split("text", "\n", -1)
-    whole = F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("unit")))
-    units = F.when(F.col("text").isNull(), F.array().cast("array<struct<line:int,unit:string>>")).otherwise(
-        F.concat(whole, F.when(F.size(lines) > 1, F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("unit"))))
-                 .otherwise(F.array().cast("array<struct<line:int,unit:string>>"))))
-    rows = docs.select("id", "text_hash", F.inline(units)).select("id", "text_hash", "line", _words(F.col("unit")).alias("w"))
-    rows = rows.withColumn("known", F.array_intersect("w", vocabulary)).filter(F.size("known") > 0)
-    return rows
+    """(id, text_hash, line, w, known): words and template words of each unit that has any of the latter.
+
+    A text is cut into words once, line by line; the words of the whole text are those of its lines. They
+    leave a generator, so that no later filter computes them again.
+    """
+    none = F.array().cast("array<struct<line:int,w:array<string>>>")
+
+    def units(lines: Column) -> Column:
+        whole = F.array(F.struct(F.lit(-1).alias("line"), F.flatten(lines).alias("w")))
+        return F.concat(whole, F.when(F.size(lines) > 1, F.transform(
+            lines, lambda w, i: F.struct(i.alias("line"), w.alias("w")))).otherwise(none))
+
+    cut = let(F.transform(F.split(F.lower("text"), "\n", -1), _words), units)
+    rows = docs.select("id", "text_hash", F.inline(F.when(F.col("text").isNull(), none).otherwise(cut)))
+    return rows.withColumn("known", F.array_intersect("w", vocabulary)).filter(F.size("known") > 0)
 
 
 def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path", text_col: str = "text",

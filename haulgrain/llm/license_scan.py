@@ -57,14 +57,12 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, _SPLIT, -1), "")
 
 
-def _occurrences(spread: Column, word: Column) -> Column:
-    """How often a word stands in words that have a space on either side each."""
-    padded = F.concat(F.lit(" "), word, F.lit(" "))
-    return (F.octet_length(spread) - F.octet_length(F.replace(spread, padded, F.lit("")))).cast("double") / F.octet_length(padded)
+def _occurrences(words: Column, word: Column) -> Column:
+    return (F.size(words) - F.size(F.array_remove(words, word))).cast("double")
 
 
-def _units(docs: DataFrame, vocabulary: Column) -> DataFrame:
-    """(id, text_hash, line, w, known): words and template words of each unit that has any of the latter.
+def _units(docs: DataFrame, near=lambda units: units) -> DataFrame:
+    """(id, text_hash, line, w): the words of each unit that ``near``, a function of the array of units, leaves.
 
     A text is cut into words once, line by line; the words of the whole text are those of its lines. They
     leave a generator, so that no later filter computes them again.
@@ -77,8 +75,7 @@ def _units(docs: DataFrame, vocabulary: Column) -> DataFrame:
             lines, lambda w, i: F.struct(i.alias("line"), w.alias("w")))).otherwise(none))
 
     cut = let(F.transform(F.split(F.lower("text"), "\n", -1), _words), units)
-    rows = docs.select("id", "text_hash", F.inline(F.when(F.col("text").isNull(), none).otherwise(cut)))
-    return rows.withColumn("known", F.array_intersect("w", vocabulary)).filter(F.size("known") > 0)
+    return docs.select("id", "text_hash", F.inline(near(F.when(F.col("text").isNull(), none).otherwise(cut))))
 
 
 def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path", text_col: str = "text",
@@ -97,9 +94,10 @@ def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path",
     docs = files.select(F.col(id_col).alias("id"), F.col(path_col).cast("string").alias("path"),
                         F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
-    units = _units(docs, vocabulary)
+    if not words:
+        docs = docs.withColumn("text", F.lit(None).cast("string"))
     total = docs.select(F.sum(F.when(F.col("text").isNotNull(), 1 + F.size(F.split("text", "\n", -1))))).first()[0] or 0
-    found = {r["word"]: r["n"] for r in units.select(F.explode("known").alias("word")).groupBy("word").agg(
+    found = {r["word"]: r["n"] for r in _units(docs).select(F.explode(F.array_intersect("w", vocabulary)).alias("word")).groupBy("word").agg(
         F.count("*").alias("n")).collect()}  # a row for each template word at most
     rarity = {w: math.log((1 + total) / (1 + found.get(w, 0))) + 1.0 for w in words}
     other = math.log(1 + total) + 1.0
@@ -111,18 +109,23 @@ def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path",
     vectors = spark.createDataFrame(vectors, "template int, license string, word string, weight double")
     rare = spark.createDataFrame(list(rarity.items()), "word string, rarity double")
 
-    # Words outside the templates' count once each here, so their length is a lower bound.
-    spread = F.concat(F.lit(" "), F.array_join("w", "  "), F.lit(" "))
-    counted = let(spread, lambda s: F.transform("known", lambda x: F.struct(x.alias("word"), _occurrences(s, x).alias("n"))))
-    rarities = F.create_map(*(F.lit(x) for pair in rarity.items() for x in pair)) if rarity else None
-    if rarities is None:
-        units, rarities = units.limit(0), F.create_map(F.lit(""), F.lit(0.0))
-    inside = F.aggregate("terms", F.lit(0.0), lambda s, t: s + F.pow(t["n"] * F.element_at(rarities, t["word"]), F.lit(2.0)))
-    outside = F.array_except("w", vocabulary)
-    near = units.withColumn("terms", counted).filter(
-        inside * (1 - threshold ** 2) >= F.size(outside) * F.lit(other * other * threshold ** 2 * (1 - 1e-9)))
-    near = near.withColumn("other_square", F.lit(other * other) * let(spread, lambda s: F.aggregate(
-        outside, F.lit(0.0), lambda total, x: total + F.pow(_occurrences(s, x), F.lit(2.0)))))
+    rarities = F.create_map(*(F.lit(x) for pair in ({**rarity} or {"": 0.0}).items() for x in pair))
+
+    def close(units: Column) -> Column:
+        """Units by the bound. Words outside the templates' count once each here, so it is a true bound."""
+        counted = F.transform(units, lambda u: F.struct(
+            u["line"].alias("line"), u["w"].alias("w"), F.transform(F.array_intersect(u["w"], vocabulary), lambda x: F.struct(
+                x.alias("word"), _occurrences(u["w"], x).alias("n"))).alias("terms")))
+
+        def bound(u: Column) -> Column:
+            inside = F.aggregate(u["terms"], F.lit(0.0), lambda s, t: s + F.pow(t["n"] * F.element_at(rarities, t["word"]), F.lit(2.0)))
+            outside = F.size(F.array_except(u["w"], vocabulary)) * F.lit(other * other * threshold ** 2 * (1 - 1e-9))
+            return (F.size(u["terms"]) > 0) & (inside * (1 - threshold ** 2) >= outside)
+
+        return F.filter(counted, bound)
+
+    near = _units(docs, close).withColumn("other_square", F.lit(other * other) * F.aggregate(
+        F.array_except("w", vocabulary), F.lit(0.0), lambda total, x: total + F.pow(_occurrences(F.col("w"), x), F.lit(2.0))))
     terms = near.select("id", "text_hash", "line", "other_square", F.inline("terms"))
     terms = written(terms.join(F.broadcast(rare), "word").select(
         "id", "text_hash", "line", "other_square", "word", (F.col("n") * F.col("rarity")).alias("x")).distinct(), "terms")

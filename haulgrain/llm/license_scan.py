@@ -1,16 +1,23 @@
 """Operator 5: licences of files by TF-IDF cosine to templates, and by their directories.
 
-Units are the lines of a text (headers) and the whole text (licence files). A unit's vector has a
-component for each word of the templates, weighted by frequency and by rarity over all units of the
-corpus, and one of the greatest rarity for each other word. Its length inside the templates' words
-bounds its cosine with any of them, so units below the threshold by that bound go before any join;
-the others meet the sparse template vectors in a join on words. A file has the licence of its best
-unit. A file without one takes that of the licence file in its nearest ancestor directory, found by
-joining the file's ancestor directories to the directories that have one.
+Units are the lines of a text and runs of consecutive lines (headers, up to a little more words than the longest template
+for them has), and the whole text (licence files). Empty lines and comment marks do not count. A unit's vector has a
+component for each word, weighted by frequency and by rarity over the lines and whole texts of the corpus; words outside
+the templates have the greatest rarity.
+
+Three bounds go before the join of units to the sparse template vectors; none loses a match. A unit as close as the
+threshold has one of its template's rarest words, as the others are too short a vector: texts without any go at once, and
+so do runs. A run's length inside the templates' words is at most the sum of its lines', its square outside them at least
+the sum of theirs. The last bound is the exact share of the templates' words in a unit's length.
+
+A match also needs the words of its licence's version (``license_texts``). A file has the licence of its best unit: a whole
+text of a licence before notices, and these before a mere reservation of rights. A file without one takes that of the
+licence file in its nearest ancestor directory, found by joining the file's ancestor directories to the directories that
+have one.
 
 The words and vectors of templates are as many as the templates have, whatever the corpus. Null and
 empty texts have no units and can only inherit. A null path has no directory. Ties: the greater
-cosine, then the template's name, then the lesser id. Rows that repeat an id and text are all
+cosine, then the template's name, then the lesser line. Rows that repeat an id and text are all
 returned. Empty tables give empty results. Other columns are ignored.
 """
 
@@ -20,31 +27,14 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulgrain.llm.license_texts import Template, standard
 from haulgrain.llm.tables import let, written
 
-# Usual notices of licences, by SPDX identifier.
-TEMPLATES = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-                   "compliance with the License. You may obtain a copy of the License at apache.org/licenses/LICENSE-2.0"),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-            "documentation files, to deal in the Software without restriction"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                "Public License as published by the Free Software Foundation, either version 3 of the License"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-                     "that the following conditions are met"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright. Released under CC0 1.0."),
-    ("proprietary", "All rights reserved."),
-]
+#: Words of the longest template that runs of lines are compared with; longer ones are compared with whole texts only.
+HEADER_WORDS = 300
 
 _SPLIT = r"[^\x{80}-\x{10FFFF}A-Za-z0-9]+"
 
@@ -57,88 +47,137 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, _SPLIT, -1), "")
 
 
-def _occurrences(words: Column, word: Column) -> Column:
-    return (F.size(words) - F.size(F.array_remove(words, word))).cast("double")
+def _listed(words) -> str:
+    """SQL condition that the lambda variable x is one of ``words``, which have letters and digits only."""
+    return f"x IN ({', '.join(repr(w) for w in sorted(words))})" if words else "false"
 
 
-def _units(docs: DataFrame, near=lambda units: units) -> DataFrame:
-    """(id, text_hash, line, w): the words of each unit that ``near``, a function of the array of units, leaves.
+def _lines(docs: DataFrame) -> Column:
+    """Array of (line, w) of a text's lines with words; null for a null text."""
+    cut = F.transform(F.split(F.lower("text"), "\n", -1), lambda x, i: F.struct(i.alias("line"), _words(x).alias("w")))
+    return F.filter(cut, lambda u: F.size(u["w"]) > 0)
 
-    A text is cut into words once, line by line; the words of the whole text are those of its lines. They
-    leave a generator, so that no later filter computes them again.
-    """
-    none = F.array().cast("array<struct<line:int,w:array<string>>>")
 
-    def units(lines: Column) -> Column:
-        whole = F.array(F.struct(F.lit(-1).alias("line"), F.flatten(lines).alias("w")))
-        return F.concat(whole, F.when(F.size(lines) > 1, F.transform(
-            lines, lambda w, i: F.struct(i.alias("line"), w.alias("w")))).otherwise(none))
+def _rarest(own: Counter, rarity: dict[str, float], threshold: float) -> set[str]:
+    """Words of a template of which any unit as close as the threshold has one."""
+    square = {w: (n * rarity[w]) ** 2 for w, n in own.items()}
+    rest, out = sum(square.values()), set()
+    least = rest * threshold ** 2 * (1 - 1e-9)
+    for w in sorted(own, key=lambda w: (-rarity[w], w)):
+        if rest < least:
+            break
+        out.add(w)
+        rest -= square[w]
+    return out
+
+
+def _runs(lines: DataFrame, longest: int, threshold: float) -> DataFrame:
+    """(doc, start, stop): runs of lines up to ``longest`` words that pass the bounds, without whole texts."""
+    order = Window.partitionBy("doc").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    back = Window.partitionBy("doc").orderBy(F.col("line").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = lines.withColumn("upto", F.sum("n").over(order)).withColumn(
+        "next", F.min(F.when(F.col("rare"), F.col("upto"))).over(back))
+    # A run begins at a line with words of templates from which a rare one is near enough.
+    begins = F.coalesce((F.col("a") > 0) & (F.col("next") - F.col("upto") + F.col("n") <= longest), F.lit(False))
+    rows = rows.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("line", "a", "o", "n", "rare", begins.alias("begins")))).alias("ls"))
+    least = threshold ** 2 * (1 - 1e-9)
+
+    def runs(ls: Column) -> Column:
+        def from_line(s: Column, i: Column) -> Column:
+            start = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("o"), F.lit(0).cast("long").alias("n"), F.lit(False).alias("rare"),
+                             F.array().cast("array<int>").alias("stops"))
+
+            def step(acc: Column, x: Column) -> Column:
+                a, o, n, rare = acc["a"] + x["a"], acc["o"] + x["o"], acc["n"] + x["n"], acc["rare"] | x["rare"]
+                passes = (n <= longest) & rare & (x["a"] > 0) & (a * a * (1 - least) >= o * least)
+                more = F.struct(a.alias("a"), o.alias("o"), n.alias("n"), rare.alias("rare"), F.when(
+                    passes, F.concat(acc["stops"], F.array(x["line"]))).otherwise(acc["stops"]).alias("stops"))
+                return F.when(acc["n"] > longest, acc).otherwise(more)
+
+            stops = F.aggregate(F.slice(ls, i + 1, longest), start, step, lambda acc: acc["stops"])
+            return F.transform(stops, lambda x: F.struct(s["line"].alias("start"), x.alias("stop")))
+
+        return F.flatten(F.transform(ls, lambda s, i: F.when(s["begins"], from_line(s, i)).otherwise(
+            F.array().cast("array<struct<start:int,stop:int>>"))))
 
-    cut = let(F.transform(F.split(F.lower("text"), "\n", -1), _words), units)
-    return docs.select("id", "text_hash", F.inline(near(F.when(F.col("text").isNull(), none).otherwise(cut))))
+    found = rows.select("doc", F.get("ls", F.lit(0))["line"].alias("first"), F.element_at("ls", -1)["line"].alias("last"), F.inline(let(F.col("ls"), runs)))
+    return found.filter("start = stop and (start <> first or stop <> last)").select("doc", "start", "stop")
 
 
 def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path", text_col: str = "text",
                   templates: list[tuple[str, str]] | None = None, threshold: float = 0.75) -> DataFrame:
     """(id, license, similarity, line, inherited_from) for each row of ``files``.
 
-    ``line`` is the line of the header, -1 for the whole text, null without an own licence;
+    ``line`` is the first line of the header, -1 for the whole text, null without an own licence;
     ``inherited_from`` is the directory, null for an own licence or none.
     """
-    templates = TEMPLATES if templates is None else templates
+    templates = standard() if templates is None else [Template(*t) for t in templates]
     spark = files.sparkSession
-    counts = [Counter(_tokens(t)) for _, t in templates]
+    counts = [Counter(_tokens(t.text)) for t in templates]
     words = sorted(set().union(*counts))
-    vocabulary = F.array(*map(F.lit, words)).cast("array<string>")
     text = F.col(text_col).cast("string")
     docs = files.select(F.col(id_col).alias("id"), F.col(path_col).cast("string").alias("path"),
                         F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
-    if not words:
-        docs = docs.withColumn("text", F.lit(None).cast("string"))
     total = docs.select(F.sum(F.when(F.col("text").isNotNull(), 1 + F.size(F.split("text", "\n", -1))))).first()[0] or 0
-    found = {r["word"]: r["n"] for r in _units(docs).select(F.explode(F.array_intersect("w", vocabulary)).alias("word")).groupBy("word").agg(
+    known = F.expr(f"transform(ls, u -> array_distinct(filter(u.w, x -> {_listed(words)})))")
+    units = docs.select(_lines(docs).alias("ls")).select("ls", known.alias("known")).select(F.explode(F.concat(
+        F.array(F.array_distinct(F.flatten("known"))), F.when(F.size("ls") > 1, F.col("known")).otherwise(F.array().cast("array<array<string>>")))).alias("w"))
+    found = {r["word"]: r["n"] for r in units.select(F.explode("w").alias("word")).groupBy("word").agg(
         F.count("*").alias("n")).collect()}  # a row for each template word at most
     rarity = {w: math.log((1 + total) / (1 + found.get(w, 0))) + 1.0 for w in words}
     other = math.log(1 + total) + 1.0
 
-    vectors = []
-    for k, ((name, _), own) in enumerate(zip(templates, counts, strict=True)):
+    vectors, rare, rare_in_runs, longest = [], set(), set(), 0
+    for k, (t, own) in enumerate(zip(templates, counts, strict=True)):
         length = math.sqrt(sum((n * rarity[w]) ** 2 for w, n in own.items())) or 1.0
-        vectors += [(k, name, w, n * rarity[w] / length) for w, n in own.items()]
-    vectors = spark.createDataFrame(vectors, "template int, license string, word string, weight double")
-    rare = spark.createDataFrame(list(rarity.items()), "word string, rarity double")
-
-    rarities = F.create_map(*(F.lit(x) for pair in ({**rarity} or {"": 0.0}).items() for x in pair))
-
-    def close(units: Column) -> Column:
-        """Units by the bound. Words outside the templates' count once each here, so it is a true bound."""
-        counted = F.transform(units, lambda u: F.struct(
-            u["line"].alias("line"), u["w"].alias("w"), F.transform(F.array_intersect(u["w"], vocabulary), lambda x: F.struct(
-                x.alias("word"), _occurrences(u["w"], x).alias("n"))).alias("terms")))
-
-        def bound(u: Column) -> Column:
-            inside = F.aggregate(u["terms"], F.lit(0.0), lambda s, t: s + F.pow(t["n"] * F.element_at(rarities, t["word"]), F.lit(2.0)))
-            outside = F.size(F.array_except(u["w"], vocabulary)) * F.lit(other * other * threshold ** 2 * (1 - 1e-9))
-            return (F.size(u["terms"]) > 0) & (inside * (1 - threshold ** 2) >= outside)
-
-        return F.filter(counted, bound)
-
-    near = _units(docs, close).withColumn("other_square", F.lit(other * other) * F.aggregate(
-        F.array_except("w", vocabulary), F.lit(0.0), lambda total, x: total + F.pow(_occurrences(F.col("w"), x), F.lit(2.0))))
-    terms = near.select("id", "text_hash", "line", "other_square", F.inline("terms"))
-    terms = written(terms.join(F.broadcast(rare), "word").select(
-        "id", "text_hash", "line", "other_square", "word", (F.col("n") * F.col("rarity")).alias("x")).distinct(), "terms")
-    unit = ["id", "text_hash", "line"]
-    lengths = terms.groupBy(*unit).agg((F.sum(F.col("x") * F.col("x")) + F.max("other_square")).alias("square"))
-    dots = terms.join(F.broadcast(vectors), "word").groupBy(*unit, "template", "license").agg(
-        F.sum(F.col("x") * F.col("weight")).alias("dot"))
-    lengths = lengths.withColumnsRenamed({c: f"_{c}" for c in unit})
-    matched = dots.join(lengths, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_text_hash"))
-                        & (F.col("line") == F.col("_line"))).withColumn(
-        "cosine", F.round(F.col("dot") / F.sqrt("square"), 9)).filter(F.col("cosine") >= threshold)
-    best = lambda: F.min_by(F.struct("license", "cosine", "line"), F.struct(-F.col("cosine"), "license", "line"))
-    own = written(matched.groupBy("id", "text_hash").agg(best().alias("own")), "own").withColumnsRenamed(
+        n_words, prefix = sum(own.values()), _rarest(own, rarity, threshold)
+        in_runs = n_words <= HEADER_WORDS
+        rare |= prefix
+        if in_runs:
+            rare_in_runs |= prefix
+            longest = max(longest, n_words * 5 // 4 + 10)
+        order = 2 if t.license == "proprietary" else 0 if t.full else 1
+        vectors += [(k, t.license, order, t.needs, in_runs, w, n * rarity[w] / length) for w, n in own.items()]
+    vectors = spark.createDataFrame(
+        vectors, "template int, license string, rank int, needs string, in_runs boolean, word string, weight double")
+    weights = spark.createDataFrame([(w, r, w in rare_in_runs) for w, r in rarity.items()], "word string, rarity double, rare boolean")
+
+    # Texts with a rare word of a template, each once, under a number of their own.
+    near = docs.select("id", "text_hash", _lines(docs).alias("ls")).filter(F.expr(f"exists(ls, u -> exists(u.w, x -> {_listed(rare)}))"))
+    near = written(near.dropDuplicates(["id", "text_hash"]).withColumn("doc", F.monotonically_increasing_id()), "near")
+    terms = near.select("doc", F.inline("ls")).select("doc", "line", F.explode("w").alias("word")).groupBy("doc", "line", "word").agg(
+        F.count("*").alias("n")).join(F.broadcast(weights), "word", "left")
+    terms = written(terms.select("doc", "line", "word", "n", F.col("rarity").isNotNull().alias("known"), F.coalesce("rare", F.lit(False)).alias("rare"),
+                                 (F.col("n") * F.coalesce("rarity", F.lit(other))).alias("x")), "terms")
+    inside, outside = F.when(F.col("known"), F.col("x")).otherwise(0.0), F.when(F.col("known"), 0.0).otherwise(F.col("x"))
+    lines = terms.groupBy("doc", "line").agg(F.sqrt(F.sum(inside * inside)).alias("a"), F.sum(outside * outside).alias("o"),
+                                             F.sum("n").alias("n"), F.max("rare").alias("rare"))
+    unit = ["doc", "start", "stop"]
+    # The words of the version, in order.
+    of_unit = F.filter("ls", lambda u: (F.col("start") == -1) | u["line"].between(F.col("start"), F.col("stop")))
+    spoken = F.array_join(F.flatten(F.transform(of_unit, lambda u: u["w"])), " ")
+    kind = F.when((F.col("rank") == 0) & (F.col("start") == -1), -1).otherwise(F.col("rank"))
+
+    def matches(parts: DataFrame) -> DataFrame:
+        """(doc, id, text_hash, start, stop, kind, license, cosine) of units, from the words of their lines."""
+        summed = parts.groupBy(*unit, "word", "known").agg(F.sum("x").alias("x"))
+        vector = summed.groupBy(*unit).agg(F.sum(F.col("x") * F.col("x")).alias("square"), F.sum(inside * inside).alias("inside"), F.collect_list(
+            F.when(F.col("known"), F.struct("word", "x"))).alias("terms")).filter(F.col("inside") >= F.col("square") * (threshold ** 2 * (1 - 1e-9)))
+        dots = vector.select(*unit, "square", F.inline("terms")).join(F.broadcast(vectors), "word").filter("in_runs or start = -1").groupBy(
+            *unit, "template", "license", "rank", "needs").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"), F.max("square").alias("square"))
+        close = dots.withColumn("cosine", F.round(F.col("dot") / F.sqrt("square"), 9)).filter(F.col("cosine") >= threshold)
+        return close.join(near, "doc").filter(F.regexp_like(spoken, F.col("needs"))).select(
+            "doc", "id", "text_hash", "start", "stop", kind.alias("kind"), "license", "cosine")
+
+    whole = written(matches(terms.select("doc", F.lit(-1).alias("start"), F.lit(-1).alias("stop"), "word", "known", "x")), "whole")
+    # A whole text of a licence comes before any header, so its runs need no look.
+    open_lines = lines.join(whole.filter("kind = -1").select("doc").distinct(), "doc", "left_anti")
+    runs = written(_runs(open_lines, longest, threshold), "runs")
+    parts = runs.select("doc", "start", "stop", F.explode(F.sequence("start", "stop")).alias("line")).join(terms, ["doc", "line"])
+    matched = whole.unionByName(matches(parts.select("doc", "start", "stop", "word", "known", "x")))
+    best = F.min_by(F.struct("license", "cosine", F.col("start").alias("line")), F.struct("kind", -F.col("cosine"), "license", "start", "stop"))
+    own = written(matched.groupBy("id", "text_hash").agg(best.alias("own")), "own").withColumnsRenamed(
         {"id": "own_id", "text_hash": "own_hash"})
 
     rows = docs.select("id", "path", "text_hash").join(

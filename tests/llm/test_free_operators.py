@@ -179,6 +179,27 @@ def test_licenses_and_inheritance(spark):
     assert license_scan.scan_licenses(frame_.limit(0)).count() == 0
 
 
+def test_whole_licences_and_versions(spark):
+    from pathlib import Path
+
+    folder = Path(license_scan.__file__).parent / "licenses"
+    texts = {f.name.removesuffix(".txt"): f.read_text() for f in folder.iterdir()}
+    bsd3 = texts["BSD-3-Clause"]
+    texts["BSD-2-Clause"] = bsd3[:bsd3.index("3. Neither")] + bsd3[bsd3.index("THIS SOFTWARE"):]
+    texts["MIT"] = "Copyright (c) 2021 Somebody Else\n" + texts["MIT"]
+    files = [(f"full {k}", f"full/{k}/LICENSE", t) for k, t in texts.items()]
+    files += [(f"below {k}", f"full/{k}/src/x.py", "value = 1") for k in texts]
+    sentences = {"GNU General Public License, version 2.": "GPL-2.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+                 "CC BY-ND 4.0": "CC-BY-ND-4.0", "Licensed under CC BY 3.0.": "CC-BY-3.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+                 "GNU General Public License, version 7.": None, "GNU Lesser General Public License, version 2.1.": "LGPL-2.1"}
+    files += [(f"notice {k}", f"notice/{i}/x", k) for i, k in enumerate(sentences)]
+    got = {r["id"]: r for r in license_scan.scan_licenses(spark.createDataFrame(files, "id string, path string, text string")).collect()}
+    assert {k: got[f"full {k}"]["license"] for k in texts} == {k: k for k in texts}
+    assert all(got[f"full {k}"]["line"] == -1 for k in texts)
+    assert {k: (got[f"below {k}"]["license"], got[f"below {k}"]["inherited_from"]) for k in texts} == {k: (k, f"full/{k}") for k in texts}
+    assert {k: got[f"notice {k}"]["license"] for k in sentences} == sentences
+
+
 # --- language --------------------------------------------------------------------------------
 
 def test_language(spark):

@@ -101,7 +101,7 @@ def _runs(lines: DataFrame, longest: int, threshold: float) -> DataFrame:
             F.array().cast("array<struct<start:int,stop:int>>"))))
 
     found = rows.select("doc", F.get("ls", F.lit(0))["line"].alias("first"), F.element_at("ls", -1)["line"].alias("last"), F.inline(let(F.col("ls"), runs)))
-    return found.filter("start = stop and (start <> first or stop <> last)").select("doc", "start", "stop")
+    return found.filter("start <> first or stop <> last").select("doc", "start", "stop")
 
 
 def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path", text_col: str = "text",

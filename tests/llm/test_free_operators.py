@@ -8,7 +8,7 @@ from html import unescape
 import numpy as np
 import pytest
 
-from haulgrain.llm import html_extraction, language_id, license_scan, secret_scan, token_files
+from haulgrain.llm import html_extraction, language_id, license_scan, license_texts, secret_scan, token_files
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, h long"
@@ -200,6 +200,21 @@ def test_whole_licences_and_versions(spark):
     assert {k: got[f"notice {k}"]["license"] for k in sentences} == sentences
 
 
+def test_wrapped_headers(spark):
+    texts = {t.license: t for t in license_texts.standard() if t.full}
+    code = "\n".join(f"alpha{i} = beta{i}(gamma{i}, delta{i})" for i in range(300))
+    headers = {
+        "BSD-3-Clause": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the "
+                        "following conditions are met:",
+        "GPL-3.0": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as\n"
+                   " * published by the Free Software Foundation, either version 3 of the\n * License, or (at your option) any later version.",
+        "MIT": "\n".join("// " + x for x in texts["MIT"].text.splitlines()), "BSD-2-Clause": "\n".join("# " + x for x in texts["BSD-2-Clause"].text.splitlines())}
+    files = [(f"header {k}", f"header/{k}/x.py", f"import os\n\n{t}\n{code}") for k, t in headers.items()]
+    got = {r["id"]: r for r in license_scan.scan_licenses(spark.createDataFrame(files, "id string, path string, text string")).collect()}
+    assert {k: got[f"header {k}"]["license"] for k in headers} == {k: k for k in headers}
+    assert all(got[f"header {k}"]["line"] >= 2 for k in headers)
+
+
 # --- language --------------------------------------------------------------------------------
 
 def test_language(spark):

@@ -7,7 +7,8 @@ are the capacities of its edges to the two ends of a flow network. Neighbours in
 that are near in the tree are joined by smoothness edges. The minimum cut separates content from
 boilerplate at the least total cost; it is found as a maximum flow.
 
-Text of scripts, styles, forms, templates and comments is no block. Character references are decoded,
+Text of scripts, styles, controls of forms, templates and comments is no block; text in a form costs as boilerplate, the
+less the more text the form has, as a form may be around the whole page. A head ends at the first element that cannot be in one. Character references are decoded,
 white space in a block becomes one space, blocks without text go, and blocks called content are
 joined by a line feed in page order. Broken markup is taken as it comes: unclosed elements end with
 their parents. A null or empty page, or one without content, gives an empty text. Null ids and
@@ -33,8 +34,9 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary "
     "table tbody td tfoot th thead tr ul".split())
-SILENT = frozenset("script style noscript template head title svg math iframe object canvas audio video select textarea button "
-                   "form datalist".split())
+SILENT = frozenset("script style noscript template head title svg iframe object canvas audio video select textarea button "
+                   "label datalist annotation annotation-xml".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 BOILER = frozenset("nav header footer aside menu dialog search".split())
 CONTENT = frozenset("article main".split())
@@ -56,16 +58,19 @@ _STOPS = re.compile(r"[.!?;:,](?:\s|$)")
 # Fixed weights of the classifier, in log odds of content.
 W_BOILER, W_BAD_NAME, W_CONTENT, W_GOOD_NAME = -7.0, -6.0, 3.5, 2.0
 W_LINKS, W_LENGTH, W_STOP, W_HEADING, BIAS = -5.0, 0.5, 0.4, 1.0, -1.2
+#: Of a form without text, halved at so many characters outside links, and less by the square of more.
+W_FORM, FORM_CHARS = -3.0, 300
 #: Smoothness: neighbours in the page, and more for each step that their elements are nearer.
 S_NEXT, S_NEAR = 0.4, 0.8
 
 
 class _Block:
-    __slots__ = ("parts", "linked", "path", "boiler", "good", "heading", "text")
+    __slots__ = ("parts", "linked", "path", "boiler", "good", "heading", "text", "form")
 
-    def __init__(self, path: tuple[int, ...], boiler: float, good: float, heading: bool):
+    def __init__(self, path: tuple[int, ...], boiler: float, good: float, heading: bool, form: int):
         self.parts, self.linked, self.path = [], 0, path
         self.boiler, self.good, self.heading, self.text = boiler, good, heading, ""
+        self.form: float = form  # the number of the form, then its cost
 
 
 def page_blocks(page: str) -> list[_Block]:
@@ -79,6 +84,8 @@ def page_blocks(page: str) -> list[_Block]:
 
     def text(raw: str) -> None:
         nonlocal block
+        if silent and raw and stack[-1][0] == "head" and not raw.isspace():
+            close(len(stack) - 1)
         if silent or not raw:
             return
         if block is None:
@@ -86,7 +93,7 @@ def page_blocks(page: str) -> list[_Block]:
                 return
             heading = any(e[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for e in stack[-3:])
             top = stack[-1] if stack else ("", 0, 0.0, 0.0)
-            block = _Block(tuple(e[1] for e in stack if e[0] in BLOCK), top[2], top[3], heading)
+            block = _Block(tuple(e[1] for e in stack if e[0] in BLOCK), top[2], top[3], heading, next((e[1] for e in reversed(stack) if e[0] == "form"), 0) if open_names.get("form") else 0)
             blocks.append(block)
         raw = unescape(raw)
         block.parts.append(raw)
@@ -125,6 +132,10 @@ def page_blocks(page: str) -> list[_Block]:
             elif name in BLOCK:
                 block = None
             continue
+        if open_names.get("head") and name not in IN_HEAD:
+            k = next(i for i, e in enumerate(stack) if e[0] == "head")
+            if name == "body" or not any(e[0] in SILENT for e in stack[k + 1:]):
+                close(k)
         if name == "br":
             text(" ") if block is not None else None
             continue
@@ -167,8 +178,12 @@ def page_blocks(page: str) -> list[_Block]:
                 at = end
             else:
                 at = done.start()
+    in_form: dict[int, int] = {}
     for b in blocks:
         b.text = _SPACE.sub(" ", "".join(b.parts)).strip()
+        in_form[b.form] = in_form.get(b.form, 0) + max(0, len(b.text) - b.linked)
+    for b in blocks:
+        b.form = W_FORM / (1 + (in_form[b.form] / FORM_CHARS) ** 2) if b.form else 0.0
     return [b for b in blocks if b.text]
 
 
@@ -177,7 +192,7 @@ def log_odds(block: _Block) -> float:
     n = len(block.text)
     share = min(1.0, block.linked / n)
     good = 0.0 if block.boiler else block.good
-    return (BIAS + block.boiler + good + W_LINKS * share + W_LENGTH * math.log1p(n / 20)
+    return (BIAS + block.boiler + block.form + good + W_LINKS * share + W_LENGTH * math.log1p(n / 20)
             + W_STOP * min(3, len(_STOPS.findall(block.text))) + W_HEADING * block.heading)
 
 

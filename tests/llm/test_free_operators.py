@@ -121,6 +121,21 @@ def test_article_without_boilerplate():
         "An item of the list, with words."]
 
 
+STORY = "".join(f"<p>Paragraph {i} of the story has a few words, some commas, and an end. It goes on for a while, as they do.</p>" for i in range(6))
+
+
+def test_open_heads_forms_and_formulas():
+    whole = re.sub(r"</p>", "\n", STORY.replace("<p>", "")).strip()
+    nav, foot = "<nav><a href=/>Home</a></nav>", "<footer>&copy; Site, all rights reserved.</footer>"
+    for page in (f"<html><head><title>T</title><meta charset=utf-8><body>{nav}{STORY}{foot}", f"<head><title>T</title><style>p{{}}</style>{nav}{STORY}",
+                 f"<head><noscript><p>Please enable scripts, friend.</p></noscript><title>T</title></head>{STORY}",
+                 f"<body><form id=aspnetForm><input type=hidden>{nav}<div>{STORY}</div>{foot}</form>", f"<body><form><input>{STORY}{foot}",
+                 f"<body>{STORY}<form><label>Mail</label><p>Your name, please.</p><button>Send it, now.</button></form>"):
+        assert html_extraction.extract_text(page) == whole, page[:60]
+    formula = "<math><semantics><mi>E</mi><mo>=</mo><mi>m</mi><annotation>E=m</annotation></semantics></math>"
+    assert "words, E=m some" in html_extraction.extract_text(STORY.replace("some", formula + " some"))
+
+
 def test_pages_edge_cases(spark):
     deep = "<div>" * 3_000 + "Words, in a deep place. " * 40
     pages = [(1, "u", None), (2, None, ""), (None, "u", PAGE), (3, "u", "<p>"), (3, "u", "<p"), (4, "u", deep), (5, "u", "a < b > c &bogus; &#x41;" * 30)]

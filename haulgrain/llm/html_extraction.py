@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections import deque
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -45,13 +46,20 @@ BAD_NAMES = re.compile(
     r"(?<![a-z])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|popup|modal|overlay|nav\w*|menu\w*|"
     r"breadcrumb\w*|sidebar\w*|side-bar|widget\w*|footer|header|masthead|comment\w*|disqus\w*|respons\w*|reply|replies|related|recommend\w*|share\w*|"
     r"social\w*|subscribe\w*|newsletter|login|signup|search\w*|pagination|pager|toolbar|copyright|legal|complementary|contentinfo|"
-    r"navigation|outbrain|taboola|hidden)(?![a-z])", re.IGNORECASE)
+    r"navigation|outbrain|taboola)(?![a-z])", re.IGNORECASE)
+#: What an article inside still belongs to: it does not start afresh there.
+BAD_FOR_ARTICLES = re.compile(r"(?<![a-z])(?:comment\w*|disqus\w*|respons\w*|reply|replies|related|recommend\w*|outbrain|taboola)(?![a-z])", re.IGNORECASE)
+#: Names that say whether something else is there, as in no-sidebar or comments-open; they say nothing of what is inside.
+STATES = re.compile(r"(?:no|not|has|have|with|without|is|hide|show)[-_].*|.*[-_](?:open|opened|closed|enabled|disabled|on|off|active|visible|count|loaded)",
+                    re.IGNORECASE)
+#: Names that hide an element; others such as overflow-hidden do not.
+HIDING = frozenset("hidden visually-hidden d-none".split())
 GOOD_NAMES = re.compile(r"(?<![a-z])(?:article\w*|post-?(?:body|content|text)|entry-?\w*|main-?\w*|content|story\w*|body-?text|prose)(?![a-z])",
                         re.IGNORECASE)
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
-_NAMED = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)(?![\w-])", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
 _STOPS = re.compile(r"[.!?;:,](?:\s|$)")
 
@@ -64,6 +72,25 @@ W_FORM, FORM_CHARS = -3.0, 300
 S_NEXT, S_NEAR = 0.4, 0.8
 
 
+@lru_cache(maxsize=65536)
+def _name_costs(names: str) -> tuple[float, float, float]:
+    """Lasting cost, cost up to the next article, and gain of the value of a class, id or role."""
+    lasting = passing = gain = 0.0
+    for name in names.split():
+        if name.lower() in HIDING:
+            lasting = min(lasting, W_BOILER)
+        elif STATES.fullmatch(name):
+            continue
+        elif BAD_NAMES.search(name):
+            if BAD_FOR_ARTICLES.search(name):
+                lasting = min(lasting, W_BAD_NAME)
+            else:
+                passing = W_BAD_NAME
+        elif GOOD_NAMES.search(name):
+            gain = W_GOOD_NAME
+    return lasting, passing, gain
+
+
 class _Block:
     __slots__ = ("parts", "linked", "path", "boiler", "good", "heading", "text", "form")
 
@@ -76,8 +103,8 @@ class _Block:
 def page_blocks(page: str) -> list[_Block]:
     """Blocks with text, in page order."""
     blocks: list[_Block] = []
-    # open elements: name, number, cost of boilerplate names, gain of content names
-    stack: list[tuple[str, int, float, float]] = []
+    # open elements: name, number, lasting cost of boilerplate, gain of content names, cost of names up to the next article
+    stack: list[tuple[str, int, float, float, float]] = []
     number, silent, link, block, at = 0, 0, 0, None, 0
     end = len(page)
     open_names: dict[str, int] = {}
@@ -92,8 +119,8 @@ def page_blocks(page: str) -> list[_Block]:
             if raw.isspace():
                 return
             heading = any(e[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for e in stack[-3:])
-            top = stack[-1] if stack else ("", 0, 0.0, 0.0)
-            block = _Block(tuple(e[1] for e in stack if e[0] in BLOCK), top[2], top[3], heading, next((e[1] for e in reversed(stack) if e[0] == "form"), 0) if open_names.get("form") else 0)
+            top = stack[-1] if stack else ("", 0, 0.0, 0.0, 0.0)
+            block = _Block(tuple(e[1] for e in stack if e[0] in BLOCK), min(top[2], top[4]), top[3], heading, next((e[1] for e in reversed(stack) if e[0] == "form"), 0) if open_names.get("form") else 0)
             blocks.append(block)
         raw = unescape(raw)
         block.parts.append(raw)
@@ -151,22 +178,27 @@ def page_blocks(page: str) -> list[_Block]:
         if name in VOID or m[4].endswith("/") and name in ("path", "use", "circle", "rect"):
             continue
         number += 1
-        _, _, boiler, good = stack[-1] if stack else ("", 0, 0.0, 0.0)
-        attributes = m[4]
+        _, _, boiler, good, passing = stack[-1] if stack else ("", 0, 0.0, 0.0, 0.0)
         if name in BOILER and not (name == "header" and open_names.get("article")):
             boiler = min(boiler, W_BOILER)
         elif name in CONTENT:
             good = max(good, W_CONTENT)
-        if attributes and "=" in attributes and name not in ("body", "html"):
-            names = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes))
-            if names:
-                if BAD_NAMES.search(names):
-                    boiler = min(boiler, W_BAD_NAME)
-                elif GOOD_NAMES.search(names):
-                    good = max(good, W_GOOD_NAME)
-        if attributes and _HIDDEN.search(attributes):
-            boiler = min(boiler, W_BOILER)
-        stack.append((name, number, boiler, good))
+            # An article inside another may be a comment or a teaser.
+            if name == "main" or not open_names.get("article"):
+                passing = 0.0
+        if m[4]:
+            gain, bad = 0.0, False
+            for key, *values in _ATTRIBUTE.findall(m[4]):
+                key, value = key.lower(), values[0] or values[1] or values[2]
+                if key in ("class", "id", "role") and name not in ("body", "html"):
+                    costs = _name_costs(value)
+                    bad = bad or min(costs[:2]) < 0
+                    boiler, passing, gain = min(boiler, costs[0]), min(passing, costs[1]), max(gain, costs[2])
+                elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDES.search(value):
+                    boiler = min(boiler, W_BOILER)
+            if not bad:
+                good = max(good, gain)
+        stack.append((name, number, boiler, good, passing))
         open_names[name] = open_names.get(name, 0) + 1
         link += name == "a"
         silent += name in SILENT

@@ -136,6 +136,19 @@ def test_open_heads_forms_and_formulas():
     assert "words, E=m some" in html_extraction.extract_text(STORY.replace("some", formula + " some"))
 
 
+def test_wrappers_that_hide_nothing():
+    whole = re.sub(r"</p>", "\n", STORY.replace("<p>", "")).strip()
+    for attributes in ('style="overflow: hidden"', 'title="Hidden gems"', 'class="wrap overflow-hidden"', 'class="no-sidebar"', 'class="has-sidebar"',
+                       'class="comments-open"', 'class="content share-enabled"', 'data-x="display: none"'):
+        assert html_extraction.extract_text(f"<div {attributes}>{STORY}</div>") == whole, attributes
+    for attributes in ('class="layout sidebar-left"', 'id=widget-area'):
+        for name in ("article", "main"):
+            assert html_extraction.extract_text(f"<div {attributes}><{name}>{STORY}</{name}></div>") == whole, attributes
+    for attributes in ("hidden", 'style="color: red; display:none"', 'style="visibility: hidden"', 'aria-hidden="true"', 'class="hidden"', 'class="sidebar"',
+                       'id="comments"', 'class="cookie-notice"'):
+        assert html_extraction.extract_text(f"<div {attributes}><p>Something else, in a place apart.</p></div><article>{STORY}</article>") == whole, attributes
+
+
 def test_pages_edge_cases(spark):
     deep = "<div>" * 3_000 + "Words, in a deep place. " * 40
     pages = [(1, "u", None), (2, None, ""), (None, "u", PAGE), (3, "u", "<p>"), (3, "u", "<p"), (4, "u", deep), (5, "u", "a < b > c &bogus; &#x41;" * 30)]

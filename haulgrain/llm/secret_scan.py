@@ -3,8 +3,9 @@
 Three kinds of pattern give the base spans. Beyond them, values in a credential context (a name
 such as ``pwd`` or ``client_secret`` before ``=``, ``:`` or ``is``, or the password of a URL) are secrets
 if they are hard to guess: a dynamic programme finds the cheapest way to cut the value into common
-words, dates, repeats, keyboard walks and brute-force spans, in bits. Values inside a base span are
-not reported twice.
+words, dates, repeats, keyboard walks and brute-force spans, in bits. A brute-force span costs the joint
+alphabet of its classes for each character, or is a word with digits behind it. Quoted values end at their
+closing quote. Values inside a base span are not reported twice.
 
 Whole texts are searched; spans are code points, end exclusive. A null or empty text has no spans.
 Repeated rows and null ids are kept as they are. An empty table gives an empty table.
@@ -29,7 +30,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|signing|encryption)[_-]?key|auth)"""
-    r"""["']?\x20*(?::=|=>|[:=]|\x20is\x20)\x20*["']?([^\s"'<>,;]{6,})""", _FLAGS)
+    r"""["']?\x20*(?::=|=>|[:=]|\x20is\x20)\x20*(?:"((?:[^"\\\r\n]|\\.){6,})"|'((?:[^'\\\r\n]|\\.){6,})'|["']?([^\s"'<>,;]{6,}))""", _FLAGS)
 _URL = re.compile(r"[a-z][a-z0-9+.-]*://[^\s:/@]+:([^\s:/@]{6,})@", _FLAGS)
 
 # Frequent words of passwords, most frequent first.
@@ -57,6 +58,16 @@ def _brute_bits(c: str) -> float:
     return math.log2(10 if c.isdigit() else 26 if c.islower() or c.isupper() else 33) if c.isascii() else 10.0
 
 
+#: Characters of each class: digits, lower case, upper case, other ASCII.
+_SIZES = (10, 26, 26, 33)
+_JOINT = [math.log2(sum(n for k, n in enumerate(_SIZES) if mask >> k & 1) or 1) for mask in range(16)]
+
+
+def _class_of(c: str) -> int:
+    """Bit of the class of a character, 0 outside ASCII."""
+    return 0 if not c.isascii() else 1 if c.isdigit() else 2 if c.islower() else 4 if c.isupper() else 8
+
+
 def guess_bits(value: str) -> float:
     """Bits of the cheapest segmentation of ``value``; takes time in proportion to its length."""
     n, low = len(value), value.lower()
@@ -66,16 +77,23 @@ def guess_bits(value: str) -> float:
         if value[i].isdigit() and (m := _DATE.match(value, i)):
             dates.setdefault(m.end(), []).append(i)
     cost = [0.0] + [math.inf] * n
-    brute = [0.0] * (n + 1)  # cheapest way to end in a brute-force span
-    brute[0] = math.inf
+    classes = [_class_of(c) for c in value]
+    present = 0
+    for c in classes:
+        present |= c
+    masks = [m for m in range(1, 16) if m & present == m] or [0]
+    brute = dict.fromkeys(masks, math.inf)  # cheapest way to end in a brute-force span of each alphabet
+    word = number = math.inf  # the same in lower case after any first letter, and in digits behind that
     total = [0.0, *accumulate(map(_brute_bits, value))]
     same, walk, turns, before = [0] * 17, 1, 0, 0
     for i in range(n):
         # brute force: one more character, or a new span
-        bits = _brute_bits(value[i])
-        brute[i + 1] = min(brute[i], cost[i] + CUT_BITS) + bits
-        cost[i + 1] = min(cost[i + 1], brute[i + 1])
-        end = i + 1
+        bits, kind, end = _brute_bits(value[i]), classes[i], i + 1
+        for mask in masks:
+            brute[mask] = math.inf if kind & mask != kind else min(brute[mask], cost[i] + CUT_BITS) + (_JOINT[mask] if kind else bits)
+        number = min(number, word) + bits if kind == 1 else math.inf
+        word = min(word if kind == 2 else math.inf, cost[i] + CUT_BITS) + bits if kind in (2, 4) else math.inf
+        cost[end] = min(cost[end], word, number, min(brute.values()))
         # words that end here
         for start in range(max(0, end - _LONGEST_WORD), end - 2):
             for form, extra in ((low, 0.0), (plain, 2.0)):
@@ -117,11 +135,14 @@ def find_spans(text: str, min_bits: float = 40.0) -> list[tuple[int, int, int]]:
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     if named or " is " in text:
         base = sorted((a, b) for a, _, b in found)
-        values = [m.span(1) for m in _CONTEXT.finditer(text)]
+        matches = list(_CONTEXT.finditer(text))
+        values = [m.span(m.lastindex) for m in matches]
+        quoted = {m.span(m.lastindex) for m in matches if m.lastindex < 3}
         if "://" in text:
             values += [m.span(1) for m in _URL.finditer(text)]
         for a, b in sorted(set(values)):
-            if not any(x < b and a < y for x, y in base) and guess_bits(text[a:b]) >= min_bits:
+            # A base pattern ends at the first space of a quoted value; the value goes on.
+            if not any(x < b and a < y and not ((a, b) in quoted and y < b) for x, y in base) and guess_bits(text[a:b]) >= min_bits:
                 found.append((a, 3, b))
                 base.append((a, b))
     return sorted(found)

@@ -49,6 +49,21 @@ def test_guess_cost_orders_values():
     assert all(secret_scan.guess_bits(v) > 45 for v in ("Xk9#mQ2$vLp7", "b7db7aa4a5fcc78305", "aB3dE6gH9jKq"))
 
 
+def test_short_and_quoted_values():
+    easy = ["required", "Settings", "Summer24", "Welcome1", "12345678", "qwerty12", "P@ssw0rd", "Dolphin9", "changeme", "trustno1", "disabled", "19840512"]
+    hard = ["xKqmQvLz", "k7Qz9vXw", "q8w3zt5k", "Tq4$kZ8m", "ZR5T8QMX", "hV2mXc9e"]
+    least = 40.0  # the default of scan_secrets
+    assert max(map(secret_scan.guess_bits, easy)) < least < min(map(secret_scan.guess_bits, hard))
+
+    def values(text):
+        return [text[a:b] for a, kind, b in secret_scan.find_spans(text) if kind == 3]
+
+    assert values("pwd=xKqmQvLz") == ["xKqmQvLz"] and values("client credentials: k7Qz9vXw") == ["k7Qz9vXw"]
+    assert values('passphrase = "correct horse battery staple" # old') == ["correct horse battery staple"]
+    assert values("password = 'hunterlike horse battery staple'") == ["hunterlike horse battery staple"]
+    assert values('auth: "unclosed xKqmQvLz') == [] and values("pwd = 'Summer24' or so") == []
+
+
 # --- token files -----------------------------------------------------------------------------
 
 def test_token_files_round_trip(spark, tmp_path):

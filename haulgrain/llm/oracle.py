@@ -111,9 +111,67 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM marked GROUP BY doc_id
 """
 
+OP11 = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0) AS score
+  FROM usable AS q JOIN usable AS c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 20
+"""
+
+
+def _crc_table() -> list[int]:
+    """Remainders of the checksum's polynomial for each byte."""
+    found = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        found.append(byte)
+    return found
+
+
+OP13 = f"""
+WITH RECURSIVE run AS (
+  SELECT doc_id, {_LOWER.format("r")} AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS r FROM documents) AS x GROUP BY 1, 2),
+coded AS (SELECT *, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS code FROM run WHERE length(run) >= 6),
+keyed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+      list_transform(range(0, length(code) // 2), lambda i: CAST('0x' || substr(code, 2 * i + 1, 2) AS BIGINT)),
+      lambda c, b: xor(c >> 8, ({_crc_table()})[xor(c & 255, b) + 1]), CAST(4294967295 AS BIGINT))) AS h
+  FROM coded),
+spoilt AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+    ELSE run END AS word, n FROM keyed),
+word AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spoilt WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS INT) AS i FROM word) AS x),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less AS a JOIN less AS b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT less.word, word.word, word.n FROM less JOIN word ON less.rest = word.word
+  UNION SELECT word.word, less.word, less.n FROM less JOIN word ON less.rest = word.word),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM near GROUP BY word),
+form AS (
+  SELECT word.word, word.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form,
+    CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+  FROM word LEFT JOIN best ON word.word = best.word),
+step AS (
+  SELECT word, word AS at, form AS next FROM form
+  UNION ALL SELECT step.word, form.word, form.form FROM step JOIN form ON step.next = form.word)
+SELECT form.word, form.form, step.at AS root, n, n_near, form_n FROM form JOIN step ON form.word = step.word AND step.next IS NULL
+"""
+
 ORACLE: dict[str, str] = {
     "op1_decontamination": OP1,
     "op6_jaccard_join": OP6,
     "op7_source_mix": OP7,
     "op9_line_dedup": OP9,
+    "op11_topk_search": OP11,
+    "op13_spelling_variants": OP13,
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +15,13 @@ from haulgrain.llm import (
     language_id,
     license_scan,
     line_dedup,
+    periodic_runs,
     quality_rules,
     secret_scan,
     source_mix,
+    spelling_variants,
     token_files,
+    topk_search,
 )
 
 
@@ -74,6 +80,41 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def cycle(doc_id, n: int) -> np.ndarray | None:
+    """Which of ``n`` words stands at each place: for a tenth of the ids, words repeat from some place on."""
+    if doc_id is None or not n:
+        return None
+    tenth, last = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if last:
+        return None
+    since = tenth % n
+    period = 1 + (n - since) // (3 + tenth % 8)
+    place = np.arange(n)
+    place[since:] = since + (place[since:] - since) % period
+    return place
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(_table(spark, sf_dir, "documents"), remap=cycle)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("longest.start").alias("start"),
+        (-F.col("longest.less")).alias("length"), F.col("longest.period").alias("period"),
+        F.expr("-1000 * longest.less div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_variants.count_words(_table(spark, sf_dir, "documents"), every=199)
+    return spelling_variants.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_secret_scan": op2_secret_scan,
@@ -85,4 +126,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_topk_search": op11_topk_search,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulgrain.contracts import TEXT_NAME_PARTS, TEXT_NAMES
+from haulgrain.sources.csv_records import read_quoted_csv
 
 
 def snake_case(name: object) -> str:
@@ -53,16 +54,12 @@ def preserve_text(df: DataFrame) -> DataFrame:
 def read_extract(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """CSV columns stay text: types belong to staging, and no pass is spent inferring them.
 
-    Quoted fields may hold commas, doubled quotes and line breaks. A row with too few or too many
-    fields, or a file whose header differs from the others', is an error rather than shifted or lost text.
+    Quoted fields may hold commas, doubled quotes and line breaks, in files of any size. A row with too
+    few or too many fields, or a file whose header differs from the others', is an error rather than
+    shifted or lost text.
     """
     fmt = fmt or path.rstrip("/").rsplit(".", 1)[-1]
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.options(
-            header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST", enforceSchema=False
-        )
-    return reader.load(path)
+    return read_quoted_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
 
 
 def land_extracts(spark: SparkSession, paths: dict[str, str], folder: str) -> DataFrame:

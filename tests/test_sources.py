@@ -104,6 +104,69 @@ def test_publish_switches_only_after_every_table_verified(spark, tmp_path):
     assert publish.read_published(spark, folder, "a").count() == 3
     second = publish.publish({"a": spark.range(5), "b": spark.range(1)}, folder, ["a", "b"])
     assert publish.current_run(spark, folder) == second and publish.read_published(spark, folder, "a").count() == 5
+    assert [(r["table_name"], r["row_count"], r["columns"]) for r in publish.manifest(spark, folder).collect()] == [
+        ("a", 5, ["id"]), ("b", 1, ["id"])]
+
+
+def test_exports_compute_each_table_once(spark, tmp_path):
+    """A table is computed by its write alone: the accumulator sees every row once."""
+    rows = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 50, 1, 3).mapInArrow(seen, "id long")
+    assert publish.export_table(df, str(tmp_path / "t")) == 50 and rows.value == 50
+    assert publish.export_table(df.where("id < 0"), str(tmp_path / "none")) == 0
+    spark.range(1).write.parquet(str(tmp_path / "taken"))
+    with pytest.raises(Exception, match="(?i)exist"):
+        publish.export_table(df, str(tmp_path / "taken"))
+
+
+def test_vacuum_keeps_what_readers_use(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    with pytest.raises(FileNotFoundError):
+        publish.current_run(spark, folder)
+    runs = [os.path.basename(publish.publish({"a": spark.range(n)}, folder, ["a"])) for n in (1, 2, 3)]
+
+    class Failing(dict):
+        def __getitem__(self, name):
+            if name == "b":
+                raise RuntimeError("source failed")
+            return super().__getitem__(name)
+
+    with pytest.raises(RuntimeError):
+        publish.publish(Failing(a=spark.range(9)), folder, ["a", "b"])
+    left = set(os.listdir(f"{folder}/runs"))
+    failed = (left - set(runs)).pop()
+    assert publish.vacuum(spark, folder, keep=2) == [runs[0]]  # the failed run may still be at work
+    assert set(os.listdir(f"{folder}/runs")) == {runs[1], runs[2], failed}
+    assert publish.vacuum(spark, folder, keep=1, unfinished_hours=0.0) == sorted([runs[1], failed])
+    assert publish.read_published(spark, folder, "a").count() == 3
+    assert os.path.basename(publish.publish({"a": spark.range(4)}, folder, ["a"])) not in left
+    assert publish.read_published(spark, folder, "a").count() == 4
+    os.remove(f"{folder}/commits/{4:012d}/_SUCCESS")  # a commit that never finished is not read
+    assert publish.read_published(spark, folder, "a").count() == 3
+    with pytest.raises(ValueError):
+        publish.vacuum(spark, folder, keep=0)
+
+
+def test_report_is_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "report")
+    publish.write_report(spark.createDataFrame([(1, 'a "b", c\nd')], "n int, note string"), path, ["note", "n", "missing"])
+    assert [tuple(r) for r in landing.read_extract(spark, path, "csv").collect()] == [('a "b", c\nd', "1", None)]
+
+    def fails(batches):
+        raise RuntimeError("source failed")
+        yield
+
+    with pytest.raises(Exception, match="source failed"):
+        publish.write_report(spark.range(3).mapInArrow(fails, "n long"), path, ["n"])
+    assert publish.report_header(spark, path) == ["note", "n", "missing"]
+    publish.write_report(spark.range(3).withColumnRenamed("id", "n"), path, ["n"])
+    assert publish.report_header(spark, path) == ["n"] and spark.read.csv(path, header=True).count() == 3
 
 
 def test_empty_report_keeps_its_header(spark, tmp_path):
@@ -132,7 +195,8 @@ def test_release_end_to_end(spark, tmp_path):
     recorded.write.parquet(str(tmp_path / "lineage"))
     recorded = spark.read.parquet(str(tmp_path / "lineage"))
     t = refresh(spark, landed, str(tmp_path / "tables"))
-    run = publish.publish(t, str(tmp_path / "published"))
+    published = str(tmp_path / "published")
+    publish.publish(t, published)
     reports = {
         "duplicate_keys": profiling.duplicate_keys(landed),
         "data_quality_issues": profiling.business_checks(landed),
@@ -142,7 +206,7 @@ def test_release_end_to_end(spark, tmp_path):
     results = profiling.union_all([
         release.source_checks(landed, recorded, spark, files),
         release.model_checks(t, "2024-01-01", "2025-12-31"),
-        release.export_checks(t, spark, run),
+        release.export_checks(t, spark, published),
         release.report_checks(spark, [str(tmp_path / "reports" / n) for n in reports]),
     ])
     assert results.count() == 24 + 13 + 1 + 33 + 13 + 2

@@ -18,6 +18,7 @@ from haulgrain.functions.measures import (
     weighted_csat,
 )
 from haulgrain.operators.kpis import EXECUTIVE, definitions
+from haulgrain.operators.matching import merge_one_to_one
 from haulgrain.operators.segments import label, lane_text, summary_by_label, summary_by_lane
 
 
@@ -114,11 +115,11 @@ def delivery_impact(fact: DataFrame) -> DataFrame:
 
 
 def eligibility_counts(card: DataFrame, fact: DataFrame, key: str) -> DataFrame:
-    """A scorecard with its rate numerators and denominators recounted from the fact."""
+    """A scorecard with its rate numerators and denominators recounted from the fact, merged one to one."""
     kpi = definitions()
     names = "otd_eligible_shipments on_time_shipments otif_eligible_shipments otif_shipments".split()
     counts = fact.groupBy(key).agg(*[kpi[n].alias(n) for n in names])
-    return card.drop(*names).join(counts, key, "left")
+    return merge_one_to_one(card.drop(*names), counts, [key])
 
 
 def as_rows(one_row: DataFrame, name: str = "metric", value: str = "metric_value") -> DataFrame:

@@ -147,22 +147,29 @@ def monthly(fact: DataFrame) -> DataFrame:
     )
 
 
-def scorecard(name: str, tables) -> DataFrame:
-    """Aggregate by the fact's key first, then label the few result rows."""
-    names, key, dim_name, labels = SCORECARDS[name]
-    grouped = tables["fact_shipment"].groupBy(key).agg(*kpi_columns(names))
+def card_labels(name: str, tables) -> DataFrame:
+    """The key and labels that a scorecard shows, a row for each key of its dimension."""
+    _, key, dim_name, labels = SCORECARDS[name]
     dim = tables[dim_name].groupBy(key).agg(F.min(F.struct(*labels)).alias("_labels")).select(
         key, *[F.col("_labels")[c].alias(c) for c in labels]
     )
-    out = grouped.join(dim, key, "left")
-    if name == "vw_lane_scorecard":
-        origin = tables["dim_warehouse"].select(
-            F.col("warehouse_key").alias("origin_warehouse_id"),
-            F.col("warehouse_name").alias("origin_warehouse_name"),
-        )
-        out = out.join(origin, "origin_warehouse_id", "left")
-        labels = [labels[0], "origin_warehouse_name", *labels[1:]]
-    return out.select(key, *labels, *names)
+    if name != "vw_lane_scorecard":
+        return dim
+    origin = tables["dim_warehouse"].select(
+        F.col("warehouse_key").alias("origin_warehouse_id"),
+        F.col("warehouse_name").alias("origin_warehouse_name"),
+    )
+    return dim.join(origin, "origin_warehouse_id", "left").select(
+        key, labels[0], "origin_warehouse_name", *labels[1:]
+    )
+
+
+def scorecard(name: str, tables) -> DataFrame:
+    """Aggregate by the fact's key first, then label the few result rows."""
+    names, key, _, _ = SCORECARDS[name]
+    grouped = tables["fact_shipment"].groupBy(key).agg(*kpi_columns(names))
+    labels = card_labels(name, tables)
+    return grouped.join(labels, key, "left").select(*labels.columns, *names)
 
 
 def view(name: str, tables) -> DataFrame:

@@ -127,6 +127,31 @@ def cascade_match(
     }).drop("_to", "_by", *[f"_with_{p}" for p in payload])
 
 
+def unique_rows(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``df``, failing while it runs if a key (nulls are equal) has more than one row."""
+    rest = [c for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(0).alias("_"), *rest)).alias("_row"))
+    shown = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("null"))) for k in keys])
+    # The check is part of the first key, so no use of the result can leave it out.
+    again = F.raise_error(F.concat(F.lit(f"{name} is not one row a key: "), shown))
+    checked = F.when(F.col("_n") > 1, again.cast(df.schema[keys[0]].dataType)).otherwise(F.col(keys[0]))
+    kept = {c: F.col("_row")[c] for c in rest} | {k: F.col(k) for k in keys} | {keys[0]: checked}
+    return one.select(*[kept[c].alias(c) for c in df.columns])
+
+
+def merge_one_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row of ``left`` with the columns of its row in ``right``; null keys are equal.
+
+    A key with more rows on either side fails the query that reads the result, naming the key.
+    """
+    ours, theirs = unique_rows(left, keys, "left side"), unique_rows(right, keys, "right side")
+    theirs = theirs.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in theirs.columns])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return ours.join(theirs, same, "left").drop(*[f"_r_{k}" for k in keys])
+
+
 def flag_replaced(
     df: DataFrame, key: str, parent_key: str, counts: str, flag: str
 ) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulgrain import contracts as C
-from haulgrain.functions.measures import count_where
+from haulgrain.functions.measures import count_where, month_start
 from haulgrain.operators.fact import margin, otif
 from haulgrain.operators.findings import as_rows
+from haulgrain.operators.kpis import KPI, SCORECARDS, card_labels
 from haulgrain.operators.profiling import listed, union_all
 
 
@@ -172,7 +173,8 @@ COST_CHECKS = {
 }
 
 
-def _fail_if(cond: Column) -> Column:
+def _flag(cond: Column) -> Column:
+    """One if the condition holds, for a check that can fail once."""
     return F.when(cond, 1).otherwise(0).cast("long")
 
 
@@ -188,7 +190,7 @@ def _fact_checks(first_day: str, last_day: str) -> dict[str, Column]:
         "shipment dates stay within the declared 2024-2025 fixture window": count_where(
             (ship < F.lit(first_day).cast("date")) | (ship > F.lit(last_day).cast("date"))
         ),
-        "aggregate gross margin is positive": _fail_if(
+        "aggregate gross margin is positive": _flag(
             F.coalesce(F.sum("gross_margin_usd"), F.lit(0)) <= 0
         ),
         "OTIF flag follows its documented rule": count_where(
@@ -215,125 +217,151 @@ OTHER_CHECKS = (
 )
 
 
-def _structs(pairs: dict[str, str], label: str, value: str) -> str:
-    """inline(...) of constant labels beside columns."""
-    rows = ", ".join(f"struct('{k}' AS {label}, {c} AS {value})" for k, c in pairs.items())
-    return f"inline(array({rows}))"
+# How a test's summed values become its failures.
+COUNTED, GAP, MONEY = "counted", "gap", "money"
 
 
-def _named(one: DataFrame, test: str) -> DataFrame:
-    return one.select(F.lit(test).alias("test_name"), F.col("n").cast("long").alias("failures"))
+def _value_rows(one_row: DataFrame) -> DataFrame:
+    """(test_name, value) of a one-row frame whose columns are named after tests."""
+    pairs = ", ".join(f"struct('{c}' AS test_name, CAST(`{c}` AS decimal(38,6)) AS value)" for c in one_row.columns)
+    return one_row.selectExpr(f"inline(array({pairs}))")
 
 
-def _dimension_checks(t) -> DataFrame:
-    """Unique members and resolving fact keys of the five dimensions.
+def _fact_pass(t, first_day: str, last_day: str) -> DataFrame:
+    """The first pass: all checks of a row of the fact, its dates looked up in the date dimension.
 
-    The fact's keys are counted per value, all five in one pass, before the anti join.
+    The dimension has a row a day, at most 3.7 million for the years 1 to 9999, so it is broadcast.
     """
+    days = F.broadcast(t["dim_date"].where("date_key IS NOT NULL").groupBy("date_key").agg(_rows().alias("n")))
+    checks = _fact_checks(first_day, last_day)
+    joined = t["fact_shipment"]
+    for c in (*DATE_CHECKS.values(), *DATE_KEYS):
+        joined = joined.join(days.select(F.col("date_key").alias(f"_{c}"), F.col("n").alias(f"_n_{c}")),
+                             F.col(c) == F.col(f"_{c}"), "left")
+
+    def lost(c: str) -> Column:
+        return F.col(f"_n_{c}").isNull()
+
+    for name, c in DATE_CHECKS.items():
+        checks[name] = count_where(F.col(c).isNotNull() & lost(c))
+    any_lost = lost(DATE_KEYS[0])
+    for c in DATE_KEYS[1:]:
+        any_lost = any_lost | lost(c)
+    checks["all fact date keys resolve"] = count_where(any_lost)
+    checks["fact row count reconciles through ship date"] = _flag(
+        F.coalesce(F.sum(f"_n_{DATE_KEYS[0]}"), F.lit(0)) != _rows())
+    total = F.expr(KPI["total_shipments"])
+    # What is shown elsewhere is added to these, so that a test's sum is the gap.
+    checks |= {name: -_rows() for name in VIEW_CHECKS}
+    checks |= {name: -F.coalesce(F.sum(c), F.lit(0)) for name, (_, c) in COST_CHECKS.items()}
+    checks["executive shipment total reconciles to fact"] = total - _rows()
+    return _value_rows(joined.agg(*[c.alias(name) for name, c in checks.items()]))
+
+
+def _key_pass(t) -> DataFrame:
+    """The second pass: rows by month and by each dimension key, as grouping sets.
+
+    The counts by key, in the views' own grouping, take the views' labels: what a label join loses or
+    doubles shows in the sum. The same join tells the keys that no dimension has.
+    """
+    fact = t["fact_shipment"].select(month_start(F.col("ship_date")).alias("month"), *[f"{d}_key" for d in DIMENSIONS])
+    names = ["month", *[f"{d}_key" for d in DIMENSIONS]]
+    # A row's grouping set is the only name that it keeps; the bits of the others are set.
+    which = F.grouping_id().alias("bits")
+    counts = fact.groupingSets([[F.col(n)] for n in names], *names).agg(which, F.expr(KPI["total_shipments"]).alias("n"))
+    every = (1 << len(names)) - 1
+    dim = F.expr("CASE bits " + " ".join(
+        f"WHEN {every ^ (1 << len(names) - 1 - i)} THEN '{n.removesuffix('_key')}'" for i, n in enumerate(names)) + " END")
+    keyed = counts.select(dim.alias("dim"), F.coalesce(*[F.col(n) for n in names[1:]]).alias("key"), "n")
+    shown = {f"{d}_key": [] for d in DIMENSIONS}
+    for view, (_, key, _, _) in SCORECARDS.items():
+        shown[key] = card_labels(view, t)
+    members = union_all([
+        (shown[f"{d}_key"] or t[f"dim_{d}"].select(f"{d}_key").distinct()).select(
+            F.lit(d).alias("dim"), F.col(f"{d}_key").alias("key"))
+        for d in DIMENSIONS
+    ]).groupBy("dim", "key").agg(_rows().alias("shown"))
+    found = keyed.join(members, ["dim", "key"], "left").groupBy("dim").agg(
+        F.sum(F.when(F.col("shown").isNull(), F.col("n")).otherwise(0)).alias("lost"),
+        F.sum(F.col("n") * F.coalesce("shown", F.lit(1))).alias("total"),
+    )
+    views = {SCORECARDS[v][1].removesuffix("_key"): name for name, v in VIEW_CHECKS.items() if v in SCORECARDS}
+    views["month"] = "monthly shipment totals reconcile to fact"
+    arms = " ".join(f"WHEN '{d}' THEN '{name}'" for d, name in views.items())
+    return found.selectExpr(
+        "inline(array("
+        "struct(if(dim <> 'month', concat('fact ', dim, ' keys resolve'), NULL) AS test_name, CAST(lost AS decimal(38,6)) AS value),"
+        f"struct(CASE dim {arms} END AS test_name, CAST(total AS decimal(38,6)) AS value)))"
+    ).where("test_name IS NOT NULL")
+
+
+def _shipment_pass(t) -> DataFrame:
+    """The third pass: rows and billed cost by shipment, summed up together, so without a join."""
+    amounts = {a: name for name, (a, _) in COST_CHECKS.items()}
+    none = [F.lit(None).cast("decimal(38,6)").alias(a) for a in amounts]
+    rows = t["fact_shipment"].select("shipment_key", F.lit(1).alias("rows"), *none)
+    billed = t["stg_invoices"].where("shipment_match_flag AND invoice_type = 'CARRIER_BILL'").select(
+        F.col("matched_tms_shipment_id").alias("shipment_key"), F.lit(0).alias("rows"),
+        *[F.col(a).cast("decimal(38,6)").alias(a) for a in amounts])
+    one = rows.unionByName(billed).groupBy("shipment_key").agg(
+        F.sum("rows").alias("rows"), *[F.sum(a).alias(a) for a in amounts])
+    return _value_rows(one.agg(
+        count_where(F.col("rows") > 1).alias("fact_shipment has one row per shipment"),
+        # A bill counts once for each row of its shipment.
+        *[F.coalesce(F.sum(F.col(a) * F.col("rows").cast("decimal(10,0)")), F.lit(0)).alias(name) for a, name in amounts.items()],
+    ))
+
+
+def _member_checks(t) -> DataFrame:
+    """Unique members of the dimensions, and the one unknown date."""
     members = union_all([
         t[f"dim_{d}"].selectExpr(f"'{d}' AS dim", f"{d}_key AS key") for d in DIMENSIONS
     ]).groupBy("dim", "key").count()
     repeated = members.groupBy("dim").agg(
-        count_where((F.col("count") > 1) | F.col("key").isNull()).alias("failures")
-    ).selectExpr("concat('dim_', dim, ' key is unique') AS test_name", "failures")
-    used = t["fact_shipment"].selectExpr(
-        _structs({d: f"{d}_key" for d in DIMENSIONS}, "dim", "key")
-    ).groupBy("dim", "key").count()
-    lost = used.join(members, ["dim", "key"], "left_anti").groupBy("dim").agg(
-        F.sum("count").alias("failures")
-    ).selectExpr("concat('fact ', dim, ' keys resolve') AS test_name", "failures")
-    return repeated.unionByName(lost)
-
-
-def _date_checks(t) -> DataFrame:
-    fact = t["fact_shipment"]
-    days = t["dim_date"].select("date_key").distinct()
-    used = fact.selectExpr(_structs(DATE_CHECKS, "test_name", "date_key")).where(
-        "date_key IS NOT NULL"
-    ).groupBy("test_name", "date_key").count()
-    lost = used.join(days, "date_key", "left_anti").groupBy("test_name").agg(
-        F.sum("count").alias("failures")
-    )
-    combos = fact.groupBy(*DATE_KEYS).count()
-    for k in DATE_KEYS:
-        known = days.selectExpr(f"date_key AS {k}", f"true AS {k}_ok")
-        combos = combos.join(known, k, "left")
-    missing = " OR ".join(f"{k}_ok IS NULL" for k in DATE_KEYS)
-    through = fact.groupBy("ship_date_key").count().join(
-        t["dim_date"].select(F.col("date_key").alias("ship_date_key")), "ship_date_key"
-    )
-    total = fact.agg(_rows())
-    return union_all([
-        lost,
-        _named(combos.where(missing).agg(F.sum("count").alias("n")), OTHER_CHECKS[2]),
-        _named(
-            t["dim_date"].agg(_fail_if(count_where(F.col("unknown_date_flag")) != 1).alias("n")),
-            OTHER_CHECKS[1],
-        ),
-        _named(
-            through.agg(_fail_if(F.coalesce(F.sum("count"), F.lit(0)) != total.scalar()).alias("n")),
-            OTHER_CHECKS[3],
-        ),
-    ])
-
-
-def _view_checks(t) -> DataFrame:
-    total = t["fact_shipment"].agg(_rows())
-    shown = union_all([
-        t[view].agg(F.coalesce(F.sum("total_shipments"), F.lit(0)).alias("shown")).select(
-            F.lit(test).alias("test_name"), "shown"
-        )
-        for test, view in VIEW_CHECKS.items()
-    ])
-    return shown.select("test_name", F.abs(F.col("shown") - total.scalar()).alias("failures"))
-
-
-def _cost_checks(t) -> DataFrame:
-    fact = t["fact_shipment"]
-    amounts = {a: c for a, c in COST_CHECKS.values()}
-    billed = t["stg_invoices"].where("shipment_match_flag AND invoice_type = 'CARRIER_BILL'").selectExpr(
-        "matched_tms_shipment_id AS shipment_key", *amounts
-    ).join(fact.select("shipment_key"), "shipment_key").agg(
-        *[F.coalesce(F.sum(a), F.lit(0)).alias(a) for a in amounts]
-    )
-    posted = fact.agg(
-        F.struct(*[F.coalesce(F.sum(c), F.lit(0)).alias(a) for a, c in amounts.items()]).alias("p")
-    )
-    both = billed.withColumn("posted", posted.scalar())
-    rows = ", ".join(
-        f"struct('{test}' AS test_name, bigint(abs({a} - posted.{a}) > 0.01) AS failures)"
-        for test, (a, _) in COST_CHECKS.items()
-    )
-    return both.selectExpr(f"inline(array({rows}))")
+        count_where((F.col("count") > 1) | F.col("key").isNull()).alias("bad")
+    ).selectExpr("concat('dim_', dim, ' key is unique') AS test_name", "CAST(bad AS decimal(38,6)) AS value")
+    unknown = t["dim_date"].agg(
+        _flag(count_where(F.col("unknown_date_flag")) != 1).alias("date dimension has exactly one unknown member"))
+    return repeated.unionByName(_value_rows(unknown))
 
 
 def validate_model(t, first_day: str = "2024-01-01", last_day: str = "2025-12-31") -> DataFrame:
-    """The thirty-two named gates: test, severity, failure count and PASS or FAIL."""
-    fact = t["fact_shipment"]
-    fact_checks = _fact_checks(first_day, last_day)
-    tests = [
-        *fact_checks, *OTHER_CHECKS, *VIEW_CHECKS, *DATE_CHECKS, *COST_CHECKS,
+    """The thirty-two named gates: test, severity, failure count and PASS or FAIL.
+
+    Three passes over the fact give signed values by test; their sum is what a test judges.
+    """
+    kinds = {name: COUNTED for name in [
+        *_fact_checks(first_day, last_day), *OTHER_CHECKS, *DATE_CHECKS,
         *[f"dim_{d} key is unique" for d in DIMENSIONS], *[f"fact {d} keys resolve" for d in DIMENSIONS],
-    ]
-    repeated = fact.groupBy("shipment_key").count().agg(count_where(F.col("count") > 1).alias("n"))
-    found = union_all([
-        as_rows(fact.agg(*[c.alias(n) for n, c in fact_checks.items()]), "test_name", "failures"),
-        _named(repeated, OTHER_CHECKS[0]),
-        _dimension_checks(t), _date_checks(t), _view_checks(t), _cost_checks(t),
-    ])
-    wanted = listed(fact.sparkSession, [(name,) for name in tests], "test_name string")
-    return wanted.join(found, "test_name", "left").selectExpr(
+    ]} | {name: GAP for name in VIEW_CHECKS} | {name: MONEY for name in COST_CHECKS}
+    values = union_all([
+        _fact_pass(t, first_day, last_day), _key_pass(t), _shipment_pass(t), _member_checks(t)
+    ]).groupBy("test_name").agg(F.sum("value").alias("value"))
+    wanted = listed(t["fact_shipment"].sparkSession, list(kinds.items()), "test_name string, kind string")
+    failures = f"bigint(CASE kind WHEN '{MONEY}' THEN int(abs(value) > 0.01) ELSE abs(value) END)"
+    return wanted.join(values, "test_name", "left").selectExpr(
+        "test_name", f"coalesce({failures}, 0L) AS failure_count"
+    ).selectExpr(
         "test_name",
         "'CRITICAL' AS severity",
-        "coalesce(failures, 0L) AS failure_count",
-        "if(coalesce(failures, 0) = 0, 'PASS', 'FAIL') AS validation_status",
+        "failure_count",
+        "if(failure_count = 0, 'PASS', 'FAIL') AS validation_status",
     )
 
 
+def _severity_order() -> list[Column]:
+    rank = F.when(F.col("severity") == "CRITICAL", 1).when(F.col("severity") == "WARNING", 2).otherwise(3)
+    return [rank, F.col("test_name")]
+
+
 def by_severity(results: DataFrame) -> DataFrame:
     """Critical tests first, then warnings, then the rest; names in order."""
-    rank = F.when(F.col("severity") == "CRITICAL", 1).when(F.col("severity") == "WARNING", 2).otherwise(3)
-    return results.orderBy(rank, "test_name")
+    return results.orderBy(*_severity_order())
+
+
+def numbered_by_severity(results: DataFrame) -> DataFrame:
+    """The order of ``by_severity`` as a column; tests number in the dozens."""
+    return results.select(F.row_number().over(Window.orderBy(*_severity_order())).alias("position"), "*")
 
 
 def check_targets(fact_kpis: DataFrame, expected: dict[str, float], tolerance: float = 0.005) -> DataFrame:

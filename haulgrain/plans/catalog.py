@@ -15,14 +15,15 @@ from haulgrain.operators import (
     measures,
     profiling,
     quality,
+    release,
     segments,
     staging,
 )
 from haulgrain.operators.matching import distinct_keys
 from haulgrain.plans.layers import Layers
-from haulgrain.sources.landing import LandedRaw, land_extracts
+from haulgrain.sources.landing import LandedRaw, land_extracts, read_extract
 from haulgrain.sources.lineage import file_digests, load_lineage, table_counts
-from haulgrain.sources.publish import publish, read_published
+from haulgrain.sources.publish import publish, published_summary, write_report
 
 Query = Callable[[Layers], DataFrame]
 
@@ -296,9 +297,24 @@ QUERIES["quality_customer_impact"] = quality.customer_impact_metrics
 QUERIES["quality_star"] = quality.star_metrics
 
 
+FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
+
+
 @query
 def validate_model(t):
-    return quality.validate_model(t, "1995-01-01", "2001-12-31")
+    return quality.validate_model(t, FIRST_DAY, LAST_DAY)
+
+
+@query
+def validate_model_ordered(t):
+    """The gates in the order of a report: by severity, then name."""
+    return quality.numbered_by_severity(quality.validate_model(t, FIRST_DAY, LAST_DAY))
+
+
+@query
+def benchmark_totals(t):
+    """The executive KPIs against the published totals; other data than the published must miss them."""
+    return quality.check_targets(t["vw_executive_kpis"], contracts.BENCHMARK_TOTALS)
 
 
 # --- findings ---------------------------------------------------------------
@@ -404,24 +420,31 @@ def lineage_counts(t):
     return profiling.union_all([table_counts(t.raw[n], n) for n in contracts.RAW_COLUMNS])
 
 
+SOURCES = "customer nation supplier orders lineitem events".split()
+
+
+def _lineage(t) -> DataFrame:
+    return load_lineage(t.spark, {n: f"{t.raw.sf_dir}/{n}.parquet" for n in SOURCES})
+
+
 @query
 def lineage_files(t):
-    sources = "customer nation supplier orders lineitem events".split()
-    return load_lineage(t.spark, {n: f"{t.raw.sf_dir}/{n}.parquet" for n in sources})
+    return _lineage(t)
 
 
 @query
 def lineage_fingerprints(t):
     """Content fingerprints of the source tables, whatever their files."""
-    sources = "customer nation supplier orders lineitem events".split()
-    found = load_lineage(t.spark, {n: f"{t.raw.sf_dir}/{n}.parquet" for n in sources})
-    return found.select("table_name", "row_count", "column_count", "fingerprint")
+    return _lineage(t).select("table_name", "row_count", "column_count", "fingerprint")
 
 
 @query
 def source_digests(t):
     """SHA-256 of each file of the source tables."""
-    return file_digests(t.spark, f"{t.raw.sf_dir}/orders.parquet").select("length", "sha256")
+    return profiling.union_all([
+        file_digests(t.spark, f"{t.raw.sf_dir}/{n}.parquet").select(F.lit(n).alias("table_name"), "length", "sha256")
+        for n in SOURCES
+    ])
 
 
 @query
@@ -443,11 +466,37 @@ def landing_roundtrip(t):
 
 @query
 def publish_roundtrip(t):
-    """The exported tables, published as one run and counted as readers find them."""
+    """All outputs published as one run: rows, columns and filled cells as readers find them."""
     folder = t.path("published")
-    names = ["fact_shipment", "dim_customer", "dim_carrier", "dim_lane", "vw_carrier_scorecard"]
-    publish(t, folder, names)
-    return profiling.union_all([table_counts(read_published(t.spark, folder, n), n) for n in names]).drop("column_count")
+    publish(t, folder)
+    return published_summary(t.spark, folder)
+
+
+@query
+def report_roundtrip(t):
+    """The duplicate key list as a CSV report, as it is read back: all text, columns in order."""
+    path = t.path("reports/duplicate_keys")
+    duplicates = profiling.duplicate_keys(t.raw)
+    write_report(duplicates, path, duplicates.columns)
+    return read_extract(t.spark, path, "csv")
+
+
+@query
+def release_checks(t):
+    """Every cross-layer check of a release: sources, model, published outputs and reports."""
+    folder, lineage, reports = t.path("release"), t.path("release_lineage"), t.path("release_reports")
+    paths = {n: f"{t.raw.sf_dir}/{n}.parquet" for n in SOURCES}
+    _lineage(t).write.mode("overwrite").parquet(lineage)
+    publish(t, folder)
+    listed = {"duplicate_keys": profiling.duplicate_keys(t.raw), "data_quality_issues": profiling.business_checks(t.raw)}
+    for name, df in listed.items():
+        write_report(df, f"{reports}/{name}", df.columns)
+    return profiling.union_all([
+        release.source_checks({n: t.raw.source(n) for n in SOURCES}, t.spark.read.parquet(lineage), t.spark, paths),
+        release.model_checks(t, FIRST_DAY, LAST_DAY),
+        release.export_checks(t, t.spark, folder),
+        release.report_checks(t.spark, [f"{reports}/{name}" for name in listed]),
+    ])
 
 
 def portable(df: DataFrame) -> DataFrame:

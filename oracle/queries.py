@@ -410,12 +410,6 @@ ORACLE["lineage_fingerprints"] = " UNION ALL ".join(_fingerprint(t, c) for t, c
 ORACLE["landing_roundtrip"] = (
     "SELECT doc_id::VARCHAR AS document_id, source AS source_system, LENGTH(text)::BIGINT AS n_chars, MD5(text) AS text_md5"
     " FROM documents")
-add("publish_roundtrip", " UNION ALL ".join(
-    f"SELECT '{published}' AS table_name, COUNT(*)::BIGINT AS row_count FROM {source}"
-    for published, source in [
-        ("fact_shipment", "fact_shipment"), ("dim_customer", "dim_customer"), ("dim_carrier", "dim_carrier"),
-        ("dim_lane", "dim_lane"), ("vw_carrier_scorecard", "kpi_carrier")]))
-
 add("lineage_counts", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, {ALL} AS row_count, {len(cols)}::BIGINT AS column_count FROM {t}"
     for t, cols in _RAW.items()
@@ -695,6 +689,59 @@ add("validate_model",
     " CASE failure_count WHEN 0 THEN 'PASS' ELSE 'FAIL' END AS validation_status FROM ("
     + " UNION ALL ".join(f"SELECT '{t}' AS test_name, ({s})::BIGINT AS failure_count" for t, s in GATES) + ")")
 
+add("validate_model_ordered",
+    "SELECT ROW_NUMBER() OVER (ORDER BY CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'WARNING' THEN 2 ELSE 3 END, test_name)::INT"
+    f" AS position, * FROM ({ORACLE['validate_model']}) AS gates")
+
+# --- publishing and release --------------------------------------------------
+
+add("benchmark_totals", " UNION ALL ".join(
+    f"SELECT '{metric}' AS metric, {wanted}::DOUBLE AS expected, ROUND({metric}::DOUBLE, 6) AS actual,"
+    f" CASE WHEN ABS({metric}::DOUBLE - {wanted}) <= 0.005 THEN 'PASS' ELSE 'FAIL' END AS status FROM kpi_executive"
+    for metric, wanted in [
+        ("total_shipments", "98595"), ("customer_revenue_usd", "72336827.17"), ("otd_eligible_shipments", "78452"),
+        ("on_time_shipments", "59986"), ("otif_eligible_shipments", "74198"), ("otif_shipments", "46321")]))
+
+# The published outputs and the queries that make them.
+OUTPUTS = {
+    "fact_shipment": "fact_shipment", "dim_date": "dim_date", "dim_customer": "dim_customer", "dim_carrier": "dim_carrier",
+    "dim_warehouse": "dim_warehouse", "dim_service": "dim_service", "dim_lane": "dim_lane",
+    "vw_executive_kpis": "kpi_executive", "vw_monthly_performance": "kpi_monthly", "vw_carrier_scorecard": "kpi_carrier",
+    "vw_warehouse_scorecard": "kpi_warehouse", "vw_customer_scorecard": "kpi_customer", "vw_lane_scorecard": "kpi_lane",
+}
+add("publish_roundtrip", " UNION ALL ".join(
+    f"SELECT '{published}' AS table_name, (SELECT COUNT(*) FROM {source}) AS row_count, LEN([*COLUMNS(*)]) AS column_count,"
+    f" LIST_SUM([*COLUMNS(*)])::BIGINT AS filled_cells FROM (SELECT COUNT(COLUMNS(*)) FROM {source})"
+    for published, source in OUTPUTS.items()))
+
+_RELEASE = [
+    sql for t in _SOURCE_COLUMNS for sql in (
+        f"SELECT 'raw.{t} row count' AS check_name, TRUE AS passed, 'loaded=' || COUNT(*) || ', files=' || COUNT(*) AS detail FROM {t}",
+        f"SELECT 'raw.{t} source lineage', TRUE, 'recorded lineage against the current files'")]
+for _t, _k in [("fact_shipment", "shipment_key"), ("dim_date", "date_key"), *[(f"dim_{d}", f"{d}_key") for d in (
+        "customer", "carrier", "warehouse", "service", "lane")]]:
+    _RELEASE.append(
+        f"SELECT '{_t} primary key', COUNT(*) = 0, 'bad keys=' || COUNT(*) FROM"
+        f" (SELECT 1 FROM {_t} GROUP BY {_k} HAVING {ALL} > 1 OR {_k} IS NULL)")
+for _t, _k, _f in [("dim_date", "date_key", "ship_date"), *[(f"dim_{d}", f"{d}_key", f"{d}_key") for d in (
+        "customer", "carrier", "warehouse", "service", "lane")]]:
+    _RELEASE.append(
+        f"SELECT 'fact_shipment to {_t}', COUNT(*) = 0, 'unmatched rows=' || COUNT(*) FROM {_F}"
+        f" WHERE {_f} NOT IN (SELECT {_k} FROM {_t})")
+_RELEASE += [
+    f"SELECT 'KPI shipment reconciliation', (SELECT SUM(total_shipments) FROM kpi_monthly) = {FACT_N}"
+    f" AND total_shipments = {FACT_N}, 'executive=' || total_shipments FROM kpi_executive",
+    f"SELECT 'model: ' || test_name, validation_status = 'PASS', 'failures=' || failure_count FROM ({ORACLE['validate_model']}) AS gates",
+    f"SELECT 'model validation ran every gate', TRUE, 'gates={len(GATES)}'",
+    *[f"SELECT '{published} contract', TRUE, 'rows=' || COUNT(*) || ', columns match=true' FROM {source}"
+      for published, source in OUTPUTS.items()],
+    f"SELECT 'duplicate_keys header', TRUE, 'columns=' || COUNT(*) FROM (DESCRIBE {ORACLE['duplicate_keys']})",
+    "SELECT 'data_quality_issues header', TRUE, 'columns=6'",
+]
+add("release_checks", " UNION ALL ".join(_RELEASE))
+
+ORACLE["report_roundtrip"] = f"SELECT COLUMNS(*)::VARCHAR FROM ({ORACLE['duplicate_keys']}) AS report"
+
 # --- findings ---------------------------------------------------------------
 
 

@@ -7,8 +7,9 @@ the templates have the greatest rarity.
 
 Three bounds go before the join of units to the sparse template vectors; none loses a match. A unit as close as the
 threshold has one of its template's rarest words, as the others are too short a vector: texts without any go at once, and
-so do runs. A run's length inside the templates' words is at most the sum of its lines', its square outside them at least
-the sum of theirs. The last bound is the exact share of the templates' words in a unit's length.
+so do runs. A run's product with any template is at most the sum of its lines' products with the templates' envelope, the
+greatest weight that any of them gives a word; its squared length is at least the sum of its lines'. Both add up along a text,
+so runs are bounded within its row. The last bound is the exact share of the templates' words in a unit's length.
 
 A match also needs the words of its licence's version (``license_texts``). A file has the licence of its best unit: a whole
 text of a licence before notices, and these before a mere reservation of rights. A file without one takes that of the
@@ -77,20 +78,20 @@ def _runs(lines: DataFrame, longest: int, threshold: float) -> DataFrame:
     back = Window.partitionBy("doc").orderBy(F.col("line").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = lines.withColumn("upto", F.sum("n").over(order)).withColumn(
         "next", F.min(F.when(F.col("rare"), F.col("upto"))).over(back))
-    # A run begins at a line with words of templates from which a rare one is near enough.
-    begins = F.coalesce((F.col("a") > 0) & (F.col("next") - F.col("upto") + F.col("n") <= longest), F.lit(False))
-    rows = rows.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("line", "a", "o", "n", "rare", begins.alias("begins")))).alias("ls"))
+    # A run begins and ends at a line with words of templates, near enough to a rare one: other lines only lengthen it.
+    begins = F.coalesce((F.col("e") > 0) & (F.col("next") - F.col("upto") + F.col("n") <= longest), F.lit(False))
+    rows = rows.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("line", "e", "square", "n", "rare", begins.alias("begins")))).alias("ls"))
     least = threshold ** 2 * (1 - 1e-9)
 
     def runs(ls: Column) -> Column:
         def from_line(s: Column, i: Column) -> Column:
-            start = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("o"), F.lit(0).cast("long").alias("n"), F.lit(False).alias("rare"),
+            start = F.struct(F.lit(0.0).alias("e"), F.lit(0.0).alias("square"), F.lit(0).cast("long").alias("n"), F.lit(False).alias("rare"),
                              F.array().cast("array<int>").alias("stops"))
 
             def step(acc: Column, x: Column) -> Column:
-                a, o, n, rare = acc["a"] + x["a"], acc["o"] + x["o"], acc["n"] + x["n"], acc["rare"] | x["rare"]
-                passes = (n <= longest) & rare & (x["a"] > 0) & (a * a * (1 - least) >= o * least)
-                more = F.struct(a.alias("a"), o.alias("o"), n.alias("n"), rare.alias("rare"), F.when(
+                e, square, n, rare = acc["e"] + x["e"], acc["square"] + x["square"], acc["n"] + x["n"], acc["rare"] | x["rare"]
+                passes = (n <= longest) & rare & (x["e"] > 0) & (e * e >= square * least)
+                more = F.struct(e.alias("e"), square.alias("square"), n.alias("n"), rare.alias("rare"), F.when(
                     passes, F.concat(acc["stops"], F.array(x["line"]))).otherwise(acc["stops"]).alias("stops"))
                 return F.when(acc["n"] > longest, acc).otherwise(more)
 
@@ -128,7 +129,7 @@ def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path",
     rarity = {w: math.log((1 + total) / (1 + found.get(w, 0))) + 1.0 for w in words}
     other = math.log(1 + total) + 1.0
 
-    vectors, rare, rare_in_runs, longest = [], set(), set(), 0
+    vectors, rare, rare_in_runs, longest, envelope = [], set(), set(), 0, {}
     for k, (t, own) in enumerate(zip(templates, counts, strict=True)):
         length = math.sqrt(sum((n * rarity[w]) ** 2 for w, n in own.items())) or 1.0
         n_words, prefix = sum(own.values()), _rarest(own, rarity, threshold)
@@ -137,11 +138,13 @@ def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path",
         if in_runs:
             rare_in_runs |= prefix
             longest = max(longest, n_words * 5 // 4 + 10)
+            for w, n in own.items():
+                envelope[w] = max(envelope.get(w, 0.0), n * rarity[w] / length)
         order = 2 if t.license == "proprietary" else 0 if t.full else 1
         vectors += [(k, t.license, order, t.needs, in_runs, w, n * rarity[w] / length) for w, n in own.items()]
     vectors = spark.createDataFrame(
         vectors, "template int, license string, rank int, needs string, in_runs boolean, word string, weight double")
-    weights = spark.createDataFrame([(w, r, w in rare_in_runs) for w, r in rarity.items()], "word string, rarity double, rare boolean")
+    weights = spark.createDataFrame([(w, r, w in rare_in_runs, envelope.get(w, 0.0)) for w, r in rarity.items()], "word string, rarity double, rare boolean, most double")
 
     # Texts with a rare word of a template, each once, under a number of their own.
     near = docs.select("id", "text_hash", _lines(docs).alias("ls")).filter(F.expr(f"exists(ls, u -> exists(u.w, x -> {_listed(rare)}))"))
@@ -149,9 +152,9 @@ def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path",
     terms = near.select("doc", F.inline("ls")).select("doc", "line", F.explode("w").alias("word")).groupBy("doc", "line", "word").agg(
         F.count("*").alias("n")).join(F.broadcast(weights), "word", "left")
     terms = written(terms.select("doc", "line", "word", "n", F.col("rarity").isNotNull().alias("known"), F.coalesce("rare", F.lit(False)).alias("rare"),
-                                 (F.col("n") * F.coalesce("rarity", F.lit(other))).alias("x")), "terms")
-    inside, outside = F.when(F.col("known"), F.col("x")).otherwise(0.0), F.when(F.col("known"), 0.0).otherwise(F.col("x"))
-    lines = terms.groupBy("doc", "line").agg(F.sqrt(F.sum(inside * inside)).alias("a"), F.sum(outside * outside).alias("o"),
+                                 (F.col("n") * F.coalesce("rarity", F.lit(other))).alias("x"), F.coalesce("most", F.lit(0.0)).alias("most")), "terms")
+    inside = F.when(F.col("known"), F.col("x")).otherwise(0.0)
+    lines = terms.groupBy("doc", "line").agg(F.sum(F.col("x") * F.col("most")).alias("e"), F.sum(F.col("x") * F.col("x")).alias("square"),
                                              F.sum("n").alias("n"), F.max("rare").alias("rare"))
     unit = ["doc", "start", "stop"]
     # The words of the version, in order.

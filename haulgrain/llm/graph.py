@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulgrain.llm.tables import written
+from haulgrain.llm.tables import split_join, written
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -15,7 +15,7 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     """
     both = edges if not larger else edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    linked = both.join(least, "u")
+    linked = split_join(both, least, ["u"])
     if larger:
         moved = linked.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -28,8 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for each node of ``edges`` (a, b); component is the least node reachable.
 
     Rows with a null end or equal ends link nothing. Ends when a round leaves every edge as it was,
-    after a number of rounds that grows with the logarithm of the largest component. Hot nodes are
-    plain join keys, so adaptive execution splits them.
+    after a number of rounds that grows with the logarithm of the largest component. The edges of a
+    hot node are split over tasks when they are joined to its least neighbour.
     """
     edges = edges.filter("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()

@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from haulgrain.llm.graph import components
 from haulgrain.llm.shingle_hash import mix, set_keys, shingle_sets
-from haulgrain.llm.tables import written
+from haulgrain.llm.tables import WORD, fresh_name, split_join, written
 
 #: The threshold as a fraction: 3 / 4.
 SIMILAR = (3, 4)
@@ -453,12 +453,13 @@ def _edges(links):
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
-                       similar: tuple[int, int] = SIMILAR, hot: int = HOT_SHINGLE,
-                       block: int = BLOCK_SHINGLES) -> DataFrame:
-    """(id, n_shingles, component_id) for each row of ``docs``; see the module for the method.
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
+                    similar: tuple[int, int] = SIMILAR, hot: int = HOT_SHINGLE,
+                    block: int = BLOCK_SHINGLES) -> DataFrame:
+    """(id, text_hash, n, class) for each row of ``docs``: rows of one class are linked, directly or not.
 
-    ``similar`` is the threshold as numerator and denominator. Other columns are ignored.
+    ``n`` is the number of shingles; without any the class is null. ``similar`` is the threshold as
+    numerator and denominator. Other columns are ignored. See the module for the method.
     """
     spark = docs.sparkSession
     text = F.col(text_col).cast("string")
@@ -512,8 +513,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     found = components(links)
     sized = rows.join(found.withColumnRenamed("node", "key"), "key", "left")
-    named = written(sized.select("id", "n", F.when(F.col("n") > 0, F.coalesce("component", "key")).alias("class")), "classes")
+    return written(sized.select("id", "text_hash", "n", F.when(F.col("n") > 0, F.coalesce("component", "key")).alias("class")), "classes")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
+                       similar: tuple[int, int] = SIMILAR, hot: int = HOT_SHINGLE,
+                       block: int = BLOCK_SHINGLES) -> DataFrame:
+    """(id, n_shingles, component_id) for each row of ``docs``: classes named by their least id."""
+    named = jaccard_classes(docs, id_col, text_col, size, similar, hot, block)
     names = named.filter("class is not null").groupBy("class").agg(F.min("id").alias("first_id"))
-    return named.join(names, "class", "left").select(
+    return split_join(named, names, ["class"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("first_id")).alias("component_id"))
+
+
+def first_of_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each class: that of least id, null ids last, then of least text hash.
+
+    Rows that repeat this id and text come once. Rows without words are in no class and all stay.
+    """
+    classes = jaccard_classes(docs, id_col, text_col)
+    first = classes.filter("class is not null").groupBy("class").agg(
+        F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("row")).select(
+        F.col("row.id").alias("first_id"), F.col("row.text_hash").alias("first_hash"))
+    mark = fresh_name(docs, "text_hash")
+    rows = docs.withColumn(mark, F.xxhash64(F.col(text_col).cast("string")))
+    worded = F.coalesce(F.regexp_like(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(False))
+    kept = rows.filter(worded).join(first, rows[id_col].eqNullSafe(first["first_id"]) & (rows[mark] == first["first_hash"]), "left_semi")
+    return kept.dropDuplicates([id_col, mark]).unionByName(rows.filter(~worded)).select(*docs.columns)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from haulgrain.llm.tables import lower_ascii, written
+from haulgrain.llm.tables import lower_ascii, split_join, written
 
 _SPACE = " \t\n\x0b\x0c\r"
 
@@ -59,7 +59,7 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .groupBy("h1", "h2").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
               .select("h1", "h2"))
 
-    dropped = lines.join(shared, ["h1", "h2"]).groupBy("id", "text_hash").agg(
+    dropped = split_join(lines, shared, ["h1", "h2"]).groupBy("id", "text_hash").agg(
         F.array_sort(F.collect_set("pos")).alias("at"))
     return dropped.select("id", "text_hash", _runs(F.col("at")).alias("drop_runs"))
 

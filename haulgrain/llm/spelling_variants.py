@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulgrain.llm.tables import written
+from haulgrain.llm.tables import split_join, written
 
 #: Words of a block, and classes of letters.
 BLOCK, PARTS = 1024, 4
@@ -202,7 +202,7 @@ def near_words(words: DataFrame, block: int = BLOCK) -> DataFrame:
     placed = written(words.filter("length(word) > 0").select("word", "n").mapInArrow(
         _place, "word string, n long, shape array<int>"), "placed")
     sizes = placed.groupBy("shape").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("parts"))
-    dealt = placed.join(sizes, "shape").withColumn("part", F.pmod(F.xxhash64("word"), "parts").cast("int"))
+    dealt = split_join(placed, sizes, ["shape"]).withColumn("part", F.pmod(F.xxhash64("word"), "parts").cast("int"))
     blocks = written(dealt.groupBy("shape", "part").agg(
         F.collect_list("word").alias("words"), F.collect_list("n").alias("counts")), "blocks")
     # A block goes to every part of the shapes it meets, and of its own shape to the parts up to its own.

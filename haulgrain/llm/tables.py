@@ -51,6 +51,17 @@ def words(text: Column, pattern: str = WORD) -> Column:
                       F.array().cast("array<string>"))
 
 
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` such that adaptive execution can split a hot key's rows over many tasks.
+
+    It can do so only where both sides are shuffled for the join itself. A side fresh from an aggregate
+    on the same keys would be joined in place; a hash of the keys as one more key has it shuffled again.
+    """
+    mark = fresh_name(left, "_mark")
+    return left.withColumn(mark, F.xxhash64(*keys)).join(
+        right.withColumn(mark, F.xxhash64(*keys)), [mark, *keys], how).drop(mark)
+
+
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = 500_000) -> DataFrame:
     """Broadcast a narrow table of a counted size below ``limit`` rows; else leave the join to shuffle."""
     return F.broadcast(df) if rows <= limit else df

@@ -53,6 +53,23 @@ def test_stages(spark, tmp_path):
     assert set(left["source_mix"]) <= set(left["decontamination"]) and len(left["token_files"]) == mixed
 
 
+def test_near_duplicates_of_odd_ids(spark):
+    r = random.Random(4)
+    say = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    one, two, three, four, long = say(40), say(40), say(40), say(40), say(30_000)
+    rows = [(5, one), (9, one + " end"), (None, one), (None, one), (5, two), (7, two), (None, three), (None, three), (None, three + " end"),
+            (3, four), (3, four), (3, four + " end"), (None, None), (None, None), (4, ""), (6, " \n"), (11, long), (10, "x " + long), (12, "x")]
+    docs = spark.createDataFrame([(k, t, 1, 2) for k, t in rows], "doc_id long, text string, first_id int, text_hash int").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = sorted(((x[0], x[1]) for x in got.collect()), key=str)
+    classes = [r for r in kept if r[1] and r[1].strip()]
+    assert sorted((r for r in kept if r not in classes), key=str) == sorted([(None, None), (None, None), (4, ""), (6, " \n")], key=str)
+    # One row of each class: by least id, rows without an id only where no other is.
+    assert len(classes) == 6 and {(5, one), (5, two), (10, "x " + long), (12, "x")} <= set(classes)
+    assert sum(k is None and t.startswith(three) for k, t in classes) == 1 and sum(k == 3 for k, t in classes) == 1
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data here")
 def test_run_on_empty_documents(spark, tmp_path):
     schema = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").schema

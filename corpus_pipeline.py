@@ -22,15 +22,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the group's least id.
+    """One document of each group of near copies stays: that of least id, null ids last, then of least text hash.
 
-    Rows without an id, or without words, are in no group and stay. Of rows with the same id and
-    text one stays.
+    Rows without words are in no group and stay. Of rows with the same id and text one stays; rows that
+    share an id but not their text are judged apart.
     """
-    groups = jaccard_join.jaccard_components(docs)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return rows.select(*docs.columns).union(docs.filter("doc_id is null"))
+    return jaccard_join.first_of_classes(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulgrain import contracts
-from haulgrain.session import shared_folder
 
 # Rows that cannot match are spread over so many join keys for each shuffle partition.
 SPREAD = 16
@@ -179,42 +178,69 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def rank_in_group(df: DataFrame, key: Column, order: Sequence[Column], rank: str) -> DataFrame:
-    """Number the rows of each group 1, 2, ... by ``order`` (nulls form a group).
+# Rows of a group that one task ranks; larger groups are cut into buckets of about so many.
+BUCKET_ROWS = 1_000_000
+# Sampled rows for each bucket, and at most for a group.
+_SAMPLES, _MOST_SAMPLES = 8, 1 << 16
 
-    One distributed sort for groups of any size. A hash of the whole row ends the order, so the
-    sort can split a group even where all its rows have the same ``order``.
-    """
-    keyed = df.withColumn("_last", row_hash(df)).withColumn("_group", key)
-    return _rank_by_position(keyed, [*order, F.col("_last")], rank)
 
+def rank_in_group(
+    df: DataFrame, key: Column, order: Sequence[str], rank: str, bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """Number the rows of each group 1, 2, ... by ``order`` columns, greatest first and nulls last.
+
+    Nulls form a group. A hash of the whole row ends the order, so only copies of one row tie.
 
-def _rank_by_position(df: DataFrame, order: Sequence[Column], rank: str) -> DataFrame:
-    """Row numbers within ``_group`` from one distributed sort.
+    A group of more than ``bucket_rows`` rows is cut into buckets at bounds taken from a sample of its
+    rows. A row's rank is its number in its bucket plus the rows of the buckets before, a prefix sum
+    over the buckets' counts. The sample is chosen by the rows' hashes, so every pass finds the same
+    bounds and a re-run task repeats its rows. All of it is one lazy plan; where no group is that large,
+    adaptive execution drops the parts for large groups.
 
-    The sort splits a group over many tasks. Each row's position inside its task, less the
-    group's first position there, plus the group's rows in earlier tasks, is its rank. The
-    sorted rows are written once, so that both uses see the same split.
+    The sizes, bounds and prefix sums of large groups are broadcast: one for each ``bucket_rows`` rows.
     """
-    shared_folder(df.sparkSession)
-    placed = (
-        df.orderBy(F.col("_group").asc_nulls_last(), *order)
-        .withColumn("_pos", F.monotonically_increasing_id())
-        .withColumn("_task", F.shiftright(F.col("_pos"), 33))
-        .checkpoint()
-    )
-    earlier = Window.partitionBy("_group").orderBy("_task").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    # One row per group and task.
-    spans = (
-        placed.groupBy("_group", "_task")
-        .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .select(F.col("_group").alias("_sg"), F.col("_task").alias("_st"), "_first", "_before")
-    )
-    same = (F.col("_task") == F.col("_st")) & F.col("_group").eqNullSafe(F.col("_sg"))
-    keep = [c for c in df.columns if c not in ("_group", "_last")]
-    return placed.join(spans, same).select(
-        *keep, (F.col("_pos") - F.col("_first") + F.col("_before") + 1).cast("int").alias(rank)
+    place = F.struct(*order, F.bitwise_not(row_hash(df)).alias("_last"))
+    keyed = df.withColumn("_group", key).withColumn("_place", place)
+    large = keyed.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bucket_rows)
+    every = F.greatest(F.lit(max(1, bucket_rows // _SAMPLES)), F.ceil(F.col("_n") / _MOST_SAMPLES))
+    sampled = _in_group(keyed, large, "inner").where(F.pmod(F.xxhash64("_place"), every) == 0)
+    samples = sampled.groupBy("_group").agg(F.sort_array(F.collect_list("_place"), asc=False).alias("_samples"))
+    bounds = samples.select(
+        "_group", F.filter("_samples", lambda x, i: i % _SAMPLES == _SAMPLES - 1).alias("_bounds"))
+
+    buckets = _in_group(keyed, bounds, "left").withColumn(
+        "_bucket", F.when(F.col("_bounds").isNull(), 0).otherwise(_greater(F.col("_bounds"), F.col("_place"))))
+    before = Window.partitionBy("_group").orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = (
+        _in_group(keyed, bounds, "inner")
+        .groupBy("_group", _greater(F.col("_bounds"), F.col("_place")).alias("_pb"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .select(F.col("_group").alias("_pg"), "_pb", "_before")
     )
+    within = Window.partitionBy("_group", "_bucket").orderBy(F.desc("_place"))
+    numbered = buckets.drop("_bounds").withColumn("_at", F.row_number().over(within))
+    same = F.col("_group").eqNullSafe(F.col("_pg")) & (F.col("_bucket") == F.col("_pb"))
+    return numbered.join(F.broadcast(prefix), same, "left").select(
+        *df.columns, (F.col("_at") + F.coalesce("_before", F.lit(0))).alias(rank))
+
+
+def _in_group(rows: DataFrame, groups: DataFrame, how: str) -> DataFrame:
+    """Rows with what is known of their group; null is a group. ``groups`` are the large ones only."""
+    known = groups.withColumnRenamed("_group", "_large")
+    return rows.join(F.broadcast(known), F.col("_group").eqNullSafe(F.col("_large")), how).drop("_large")
+
+
+def _greater(bounds: Column, value: Column) -> Column:
+    """How many of the falling ``bounds`` are greater than ``value``: a search by halves."""
+    def halve(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        middle = F.floor((low + high) / 2).cast("int")
+        beyond = F.get(bounds, middle) > value
+        going = low < high
+        return F.struct(F.when(going & beyond, middle + 1).otherwise(low).alias("low"),
+                        F.when(going & ~beyond, middle).otherwise(high).alias("high"))
+
+    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(_MOST_SAMPLES.bit_length()))
+    return F.aggregate(steps, start, halve, lambda state: state["low"])

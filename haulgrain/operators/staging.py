@@ -132,10 +132,8 @@ def _scan_group() -> Column:
     ).otherwise(F.col("tracking_event_id"))
 
 
-def _scan_order() -> list[Column]:
-    return [
-        F.col(c).desc_nulls_last() for c in ("ingested_ts", "event_ts_utc", "tracking_event_id")
-    ]
+# The latest ingested comes first, then the latest scan.
+_SCAN_ORDER = ("ingested_ts", "event_ts_utc", "tracking_event_id")
 
 
 def clean_events(raw: DataFrame) -> DataFrame:
@@ -148,13 +146,14 @@ def kept_events(raw: DataFrame) -> DataFrame:
     A hash of the row ends the order, as in the full ranking, so both keep the same scan on ties.
     """
     cleaned = clean_events(raw)
-    return first_in_group(cleaned, _scan_group(), [*_scan_order(), row_hash(cleaned)])
+    order = [F.col(c).desc_nulls_last() for c in _SCAN_ORDER]
+    return first_in_group(cleaned, _scan_group(), [*order, row_hash(cleaned)])
 
 
 def events(raw: DataFrame, ships: DataFrame) -> DataFrame:
     """Every scan with its rank in its duplicate group (the latest ingested is 1)."""
     ranked = rank_in_group(
-        clean_events(raw), _scan_group(), _scan_order(), "duplicate_rank"
+        clean_events(raw), _scan_group(), _SCAN_ORDER, "duplicate_rank"
     ).withColumns({
         "duplicate_rank": F.col("duplicate_rank").cast("long"),
         "keep_event_flag": F.col("duplicate_rank") == 1,

@@ -1,6 +1,8 @@
 """Plans and skew: what has to hold when one key carries a third of the rows."""
 
+import functools
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,8 +67,9 @@ def brute_ranks(rows):
     return {k: sorted(v) for k, v in out.items()}
 
 
-@pytest.mark.parametrize("n, same", [(240, 0), (60, 400)])
-def test_hot_groups_are_ranked_like_any_other(spark, n, same):
+@pytest.mark.parametrize("n, same, bucket", [(240, 0, 1_000_000), (240, 0, 10), (60, 400, 10), (60, 0, 1)])
+def test_hot_groups_are_ranked_like_any_other(spark, monkeypatch, n, same, bucket):
+    monkeypatch.setattr(staging, "rank_in_group", functools.partial(matching.rank_in_group, bucket_rows=bucket))
     rows = random_scans(n, 7) + [event(None, "HOT", "PU", None, event_ts_utc=None)] * same
     t = layers(spark, tms_shipments=[shipment("A")], carrier_tracking_events=rows)
     ranked = staging.events(t.raw["carrier_tracking_events"], t["stg_shipments"]).collect()
@@ -81,12 +84,26 @@ def test_hot_groups_are_ranked_like_any_other(spark, n, same):
 def test_identical_sort_keys_are_split_over_tasks(spark, conf):
     conf("spark.sql.shuffle.partitions", "8")
     conf("spark.sql.adaptive.enabled", "false")
-    df = spark.range(4000).selectExpr("'hot' AS g", "int(NULL) AS ts", "id")
-    ranked = matching.rank_in_group(df, F.col("g"), [F.col("ts").desc_nulls_last()], "rank")
-    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 4001))
-    sorted_ = df.withColumn("h", matching.row_hash(df)).orderBy("g", "ts", "h")
-    sizes = [r["count"] for r in sorted_.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-    assert len(sizes) >= 6 and max(sizes) < 1500
+    df = spark.range(4000).selectExpr("if(id % 8 < 6, 'hot', NULL) AS g", "int(NULL) AS ts", "id")
+    ranked = matching.rank_in_group(df, F.col("g"), ["ts"], "rank", bucket_rows=50)
+    rows = ranked.withColumn("task", F.spark_partition_id()).collect()
+    for group, n in (("hot", 3000), (None, 1000)):
+        assert sorted(r["rank"] for r in rows if r["g"] == group) == list(range(1, n + 1))
+    sizes = Counter(r["task"] for r in rows)
+    assert len(sizes) >= 6 and max(sizes.values()) < 1500
+
+
+def test_ranking_runs_nothing_before_it_is_read(spark):
+    spark.sparkContext.setJobGroup("ranking", "plans only")
+    try:
+        t = layers(spark, tms_shipments=[shipment("A")], carrier_tracking_events=random_scans(20, 2))
+        ships = t["stg_shipments"]
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("ranking"))
+        ranked = staging.events(t.raw["carrier_tracking_events"], ships)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("ranking")) == before
+        assert ranked.count() == 20
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
 
 
 def test_tables_of_scans_agree_on_ties(spark, tmp_path):

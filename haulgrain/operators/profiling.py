@@ -75,54 +75,62 @@ def profile_tables(raw, tables=tuple(C.RAW_COLUMNS), file_bytes: dict[str, int]
 _NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
 
 
+def _column_kind(name: str, dtype) -> str:
+    if dtype.typeName() in _NUMERIC:
+        return "number"
+    return "time" if name.endswith(("_date", "_ts")) else "text"
+
+
+def _column_values(df: DataFrame, table: str) -> DataFrame:
+    """Nulls, range and sample of each column, side by side in one aggregate of a few numbers and texts."""
+    names = df.columns
+    cells, measures, rows = [], [F.count(F.lit(1)).alias("n")], []
+    for i, f in enumerate(df.schema.fields):
+        kind = _column_kind(f.name, f.dataType)
+        cells.append(F.col(f"`{f.name}`").cast("string").alias(f"v{i}"))
+        edges = [F.lit(None).cast("string")] * 2
+        if kind != "text":
+            # Parsed once for both ends of the range.
+            cells.append(cleaned("double" if kind == "number" else "ts", f.name).alias(f"e{i}"))
+            measures += [F.min(f"e{i}").alias(f"low{i}"), F.max(f"e{i}").alias(f"high{i}")]
+            edges = [F.col(f"{edge}{i}") for edge in ("low", "high")]
+            edges = [F.date_format(e, "yyyy-MM-dd HH:mm:ss") if kind == "time" else e.cast("string") for e in edges]
+        measures += [F.count(f"v{i}").alias(f"filled{i}"), F.min(F.substring(f"v{i}", 1, 100)).alias(f"sample{i}")]
+        rows.append(F.struct(
+            F.lit(i).alias("place"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.col("n").alias("row_count"), (F.col("n") - F.col(f"filled{i}")).alias("null_count"),
+            edges[0].alias("low"), edges[1].alias("high"), F.col(f"sample{i}").alias("sample")))
+    if not names:
+        raise ValueError(f"{table} has no columns")
+    return df.select(*cells).agg(*measures).select(F.lit(table).alias("table_name"), F.inline(F.array(*rows)))
+
+
+def _distinct_counts(frames: dict[str, DataFrame]) -> DataFrame:
+    """Distinct values of every column of every table: 128 bits of each value, distinct before the shuffle."""
+    hashes = []
+    for t, df in frames.items():
+        text = [F.col(f"`{c}`").cast("string") for c in df.columns]
+        each = F.array(*[F.when(v.isNotNull(), F.struct(
+            F.lit(i).alias("place"), F.xxhash64(v).alias("h1"), F.xxhash64(F.lit(1), v).alias("h2"))) for i, v in enumerate(text)])
+        hashes.append(df.select(F.lit(t).alias("table_name"), F.inline(F.filter(each, lambda x: x.isNotNull()))))
+    return union_all(hashes).distinct().groupBy("table_name", "place").agg(F.count(F.lit(1)).alias("distinct_count"))
+
+
 def profile_columns(raw, tables=tuple(C.RAW_COLUMNS)) -> DataFrame:
     """Type, nulls, distinct values, range and a sample per column of every table.
 
-    Counts, ranges and samples are summed up in the map tasks; for the distinct counts only a
-    128-bit hash of each value is shuffled. Ranges are given for numbers, and for text whose name
-    ends in _date or _ts.
+    One aggregate a table holds the columns side by side; for the distinct counts only hashes of the
+    values are shuffled. Ranges are given for numbers, and for text whose name ends in _date or _ts.
     """
-    cells, columns = [], []
-    for t in tables:
-        df = raw[t]
-        pairs = ", ".join(f"struct('{c}' AS column_name, string(`{c}`) AS value)" for c in df.columns)
-        cells.append(df.selectExpr(f"inline(array({pairs}))").selectExpr(f"'{t}' AS table_name", "*"))
-        for i, f in enumerate(df.schema.fields):
-            numeric = f.dataType.typeName() in _NUMERIC
-            kind = "number" if numeric else "time" if f.name.endswith(("_date", "_ts")) else "text"
-            columns.append((t, f.name, f.dataType.simpleString(), kind))
-    every = union_all(cells)
-    wanted = listed(
-        every.sparkSession, columns,
-        "table_name string, column_name string, data_type string, kind string",
-    )
-    value = F.col("value")
-    number = F.when(F.col("kind") == "number", cleaned("double", "value"))
-    moment = F.when(F.col("kind") == "time", cleaned("ts", "value"))
-
-    def edge(pick) -> Column:
-        return F.coalesce(pick(number).cast("string"), F.date_format(pick(moment), "yyyy-MM-dd HH:mm:ss"))
-
-    hashes = every.where(value.isNotNull()).select("table_name", "column_name", F.unhex(F.md5("value")).alias("h"))
-    distinct = hashes.distinct().groupBy("table_name", "column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
-    found = every.join(F.broadcast(wanted), ["table_name", "column_name"]).groupBy("table_name", "column_name").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count(F.when(value.isNull(), 1)).alias("null_count"),
-        edge(F.min).alias("minimum_value"),
-        edge(F.max).alias("maximum_value"),
-        F.min(F.substring(value, 1, 100)).alias("sample_value"),
-    )
-    # An empty table still lists its columns.
-    both = wanted.join(found, ["table_name", "column_name"], "left").join(distinct, ["table_name", "column_name"], "left")
-    return both.selectExpr(
-        "table_name", "column_name", "data_type",
-        "coalesce(row_count, 0L) AS row_count",
-        "coalesce(null_count, 0L) AS null_count",
-        "coalesce(round(coalesce(null_count, 0L) / row_count * 100, 2), 0D) AS null_percentage",
+    frames = {t: raw[t] for t in tables}
+    found = union_all([_column_values(df, t) for t, df in frames.items()])
+    return found.join(_distinct_counts(frames), ["table_name", "place"], "left").selectExpr(
+        "table_name", "column_name", "data_type", "row_count", "null_count",
+        "coalesce(round(try_divide(null_count, row_count) * 100, 2), 0D) AS null_percentage",
         "coalesce(distinct_count, 0L) AS distinct_count",
-        "coalesce(minimum_value, '') AS minimum_value",
-        "coalesce(maximum_value, '') AS maximum_value",
-        "coalesce(sample_value, '') AS sample_value",
+        "coalesce(low, '') AS minimum_value",
+        "coalesce(high, '') AS maximum_value",
+        "coalesce(sample, '') AS sample_value",
     )
 
 

@@ -17,6 +17,10 @@ from haulgrain.operators.matching import distinct_keys
 from haulgrain.session import run_folder, tune
 
 SHARED = ("stg_shipments", "fact_shipment")
+# Tables that are searched by an id. Each file is sorted by it and has a Bloom filter of it, so a search
+# opens footers and reads the pages of the few row groups that may hold the id. The rows stay in the
+# partitions that the last join left them in: a range layout would cost one more shuffle and prune no more.
+SEARCHED = {"fact_shipment": "tms_shipment_id"}
 
 STAGING = [*contracts.STAGED_COLUMNS, "stg_tracking_events_dedup"]
 MART = (
@@ -52,11 +56,18 @@ class Layers:
         if name not in self._built:
             df = self._build(name)
             if name in self.shared:
-                df.write.mode("overwrite").parquet(self.path(name))
+                self._write(name, df)
                 df = self.spark.read.schema(df.schema).parquet(self.path(name))
             self._built[name] = df
         return self._built[name]
 
+    def _write(self, name: str, df: DataFrame) -> None:
+        options = {}
+        if key := SEARCHED.get(name):
+            df = df.sortWithinPartitions(key)
+            options = {f"parquet.bloom.filter.enabled#{key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+        df.write.mode("overwrite").options(**options).parquet(self.path(name))
+
     def _build(self, name: str) -> DataFrame:
         if name.startswith("vw_"):
             return kpis.view(name, self)

@@ -236,3 +236,39 @@ def test_core_plans_have_no_single_task_window_or_cross_product(spark):
         text = plan(t[name], "simple")
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
         assert "windowspecdefinition(specifiedwindowframe" not in text, name
+
+
+def scanned_rows(df):
+    """Rows that each file scan handed on, after row groups and pages were left out."""
+    df.collect()
+    top = df._jdf.queryExecution().executedPlan()
+    leaves = (top.executedPlan() if top.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else top).collectLeaves()
+    return [leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())]
+
+
+def test_a_search_by_id_reads_few_rows(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    ids = [f"TMS{i * 7919 % 6000}" for i in range(6000)]
+    t = Layers(spark, None, str(tmp_path / "t"))
+    fact = spark.createDataFrame([(i, "x" * 50) for i in ids], "tms_shipment_id string, note string").repartition(8, "tms_shipment_id")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "16384")
+    try:
+        t._write("fact_shipment", fact)
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    found = spark.read.parquet(t.path("fact_shipment"))
+    assert found.count() == 6000
+    for key in ("TMS4", "TMS5999"):
+        one = found.where(F.col("tms_shipment_id") == key)
+        assert [r["tms_shipment_id"] for r in one.collect()] == [key]
+        assert sum(scanned_rows(one)) < 600
+    # Between the ids of every file: only the Bloom filters can tell that it is in none.
+    assert sum(scanned_rows(found.where(F.col("tms_shipment_id") == "TMS30005"))) < 600
+    assert sum(scanned_rows(found.where("note > 'w'"))) == 6000
+
+
+def test_the_written_fact_is_searched_by_its_filters(spark):
+    t = layers(spark, shared=["fact_shipment"], tms_shipments=[shipment(f"S{i}") for i in range(50)])
+    fact = t["fact_shipment"]
+    assert [r["tms_shipment_id"] for r in fact.where("tms_shipment_id = 'S7'").collect()] == ["S7"]
+    assert sum(scanned_rows(fact.where("tms_shipment_id = 'S7x'"))) == 0

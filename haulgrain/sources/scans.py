@@ -11,3 +11,13 @@ def scan(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFra
     """Parquet scan; with columns named, only those are read from the files."""
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than cores, dealt over all cores; any larger scan as it is.
+
+    A file of one row group is one split, however many rows it has. Filters and column pruning pass
+    through, so only the narrow source columns that a query needs are dealt.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

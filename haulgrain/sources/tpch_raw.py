@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulgrain.contracts import RAW_COLUMNS
+from haulgrain.sources.scans import spread
 
 _STAMP = "yyyy-MM-dd HH:mm:ss"
 
@@ -31,7 +32,7 @@ class TpchRaw:
 
     def source(self, name: str) -> DataFrame:
         if name not in self._sources:
-            self._sources[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._sources[name] = spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
         return self._sources[name]
 
     def __getitem__(self, table: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 A page is cut into blocks of text at block elements. Each block gets two costs from a classifier with
 fixed weights: that of calling it content and that of calling it boilerplate, from its elements (navigation,
-header, footer and the like), class and id names of what it is in, share of links, length and punctuation. These
+header, footer and the like), class and id names of what it is in, share of links outside an article, length and punctuation.
+Names count as whole words of a class, alone or with the name of a place or a holder, as in site-footer or share-box. These
 are the capacities of its edges to the two ends of a flow network. Neighbours in the page and blocks
 that are near in the tree are joined by smoothness edges. The minimum cut separates content from
 boilerplate at the least total cost; it is found as a maximum flow.
@@ -41,23 +42,34 @@ IN_HEAD = frozenset("base basefont bgsound link meta noscript script style templ
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 BOILER = frozenset("nav header footer aside menu dialog search".split())
 CONTENT = frozenset("article main".split())
-# Parts of class, id and role names.
-BAD_NAMES = re.compile(
-    r"(?<![a-z])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|popup|modal|overlay|nav\w*|menu\w*|"
-    r"breadcrumb\w*|sidebar\w*|side-bar|widget\w*|footer|header|masthead|comment\w*|disqus\w*|respons\w*|reply|replies|related|recommend\w*|share\w*|"
-    r"social\w*|subscribe\w*|newsletter|login|signup|search\w*|pagination|pager|toolbar|copyright|legal|complementary|contentinfo|"
-    r"navigation|outbrain|taboola)(?![a-z])", re.IGNORECASE)
+# Whole class, id and role names of what is no article.
+BAD_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsors sponsored promo promos promotion promotions "
+    "banner banners cookie cookies consent gdpr notice notices popup modal overlay nav navs navbar navigation menu menus menubar "
+    "breadcrumb breadcrumbs sidebar sidebars side-bar widget widgets footer footers header headers masthead share sharing social "
+    "subscribe subscription newsletter login signin signup search searchbox pagination pager toolbar copyright legal complementary "
+    "contentinfo".split())
 #: What an article inside still belongs to: it does not start afresh there.
-BAD_FOR_ARTICLES = re.compile(r"(?<![a-z])(?:comment\w*|disqus\w*|respons\w*|reply|replies|related|recommend\w*|outbrain|taboola)(?![a-z])", re.IGNORECASE)
-#: Names that say whether something else is there, as in no-sidebar or comments-open; they say nothing of what is inside.
-STATES = re.compile(r"(?:no|not|has|have|with|without|is|hide|show)[-_].*|.*[-_](?:open|opened|closed|enabled|disabled|on|off|active|visible|count|loaded)",
-                    re.IGNORECASE)
+BAD_FOR_ARTICLES = frozenset(
+    "comment comments commentlist disqus disqus_thread respond responses reply replies related recommended recommendation "
+    "recommendations outbrain taboola".split())
+# With these before or after, joined by a hyphen or underscore, a bad name is still one.
+PLACES = frozenset("site page main top bottom left right primary secondary global mobile sub user reader js wp".split())
+HOLDERS = frozenset(
+    "bar bars box list links link block blocks wrap wrapper container area section panel panels inner outer row item items button "
+    "buttons icons form widget banner menu nav header footer thread body slot unit left right top bottom main primary secondary "
+    "1 2 3".split())
 #: Names that hide an element; others such as overflow-hidden do not.
 HIDING = frozenset("hidden visually-hidden d-none".split())
-GOOD_NAMES = re.compile(r"(?<![a-z])(?:article\w*|post-?(?:body|content|text)|entry-?\w*|main-?\w*|content|story\w*|body-?text|prose)(?![a-z])",
-                        re.IGNORECASE)
-
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+# Whole names of what holds an article.
+GOOD_NAMES = frozenset(
+    "article article-body article-content article-text post-body post-content post-text postbody entry entry-content entry-body "
+    "entry-text main main-content maincontent content page-content story story-body story-content story-text body-text bodytext "
+    "prose".split())
+
+# After a tag's name: attributes with values in quotes, in which a tag does not end.
+_REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*'|(?!["'])))*+>""")
+_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*+)")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)(?![\w-])", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
@@ -72,45 +84,101 @@ W_FORM, FORM_CHARS = -3.0, 300
 S_NEXT, S_NEAR = 0.4, 0.8
 
 
+def _is_named(name: str, names: frozenset[str]) -> bool:
+    """Whether a class name is one of ``names``, alone or with the name of a place or a holder."""
+    if name in names:
+        return True
+    parts = re.split("[-_]+", name)
+    return len(parts) == 2 and (parts[1] in names and (parts[0] in PLACES or parts[0] in names)
+                                or parts[0] in names and parts[1] in HOLDERS)
+
+
 @lru_cache(maxsize=65536)
 def _name_costs(names: str) -> tuple[float, float, float]:
     """Lasting cost, cost up to the next article, and gain of the value of a class, id or role."""
     lasting = passing = gain = 0.0
-    for name in names.split():
-        if name.lower() in HIDING:
+    for name in names.lower().split():
+        if name in HIDING:
             lasting = min(lasting, W_BOILER)
-        elif STATES.fullmatch(name):
-            continue
-        elif BAD_NAMES.search(name):
-            if BAD_FOR_ARTICLES.search(name):
-                lasting = min(lasting, W_BAD_NAME)
-            else:
-                passing = W_BAD_NAME
-        elif GOOD_NAMES.search(name):
+        elif _is_named(name, BAD_FOR_ARTICLES):
+            lasting = min(lasting, W_BAD_NAME)
+        elif name in GOOD_NAMES:
             gain = W_GOOD_NAME
+        elif _is_named(name, BAD_NAMES):
+            passing = W_BAD_NAME
     return lasting, passing, gain
 
 
 class _Block:
-    __slots__ = ("parts", "linked", "path", "boiler", "good", "heading", "text", "form")
+    __slots__ = ("parts", "linked", "depth", "shared", "parent", "boiler", "good", "heading", "text", "form")
 
-    def __init__(self, path: tuple[int, ...], boiler: float, good: float, heading: bool, form: int):
-        self.parts, self.linked, self.path = [], 0, path
+    def __init__(self, depth: int, shared: int, parent: int, boiler: float, good: float, heading: bool, form: int):
+        #: Block elements around it, those it shares with the block before, and the number of the one around its own.
+        self.parts, self.linked, self.depth, self.shared, self.parent = [], 0, depth, shared, parent
         self.boiler, self.good, self.heading, self.text = boiler, good, heading, ""
         self.form: float = form  # the number of the form, then its cost
 
 
+def _tags(page: str):
+    """(text, closing, name, attributes) of the page's tags, each with the text before it; the name is null at the end.
+
+    The page is read once. A quote that is never closed makes quotes mean nothing from there on, and
+    tags that are never closed are text. What scripts and the like hold is skipped.
+    """
+    at, since, end, quotes = 0, 0, len(page), True
+    unclosed: set[str] = set()
+    while True:
+        at = page.find("<", at)
+        if at < 0:
+            break
+        if page.startswith("<!--", at):
+            yield page[since:at], False, None, ""
+            close = page.find("-->", at + 4)
+            at = since = end if close < 0 else close + 3
+        elif page.startswith("<![CDATA[", at):
+            close = page.find("]]>", at)
+            close = end if close < 0 else close
+            yield page[since:at] + page[at + 9:close].replace("&", "&amp;"), False, None, ""
+            at = since = min(end, close + 3)
+        elif page.startswith(("<!", "<?"), at):
+            yield page[since:at], False, None, ""
+            close = page.find(">", at)
+            at = since = end if close < 0 else close + 1
+        elif (name := _NAME.match(page, at + 1)) is None:
+            at += 1
+        else:
+            rest = _REST.match(page, name.end()) if quotes else None
+            if rest is None:
+                quotes = False
+            close = page.find(">", name.end()) if rest is None else rest.end() - 1
+            if close < 0:
+                break
+            kind, closing = name[1].lower(), page[at + 1] == "/"
+            yield page[since:at], closing, kind, page[name.end():close]
+            at = since = close + 1
+            if kind in RAW and not closing:
+                done = None if kind in unclosed else re.compile(rf"</{kind}(?=[\s/>])", re.IGNORECASE).search(page, at)
+                if done is not None:
+                    at = since = done.start()
+                elif kind not in ("title", "textarea"):
+                    at = since = end
+                else:
+                    unclosed.add(kind)
+    yield page[since:], False, None, ""
+
+
 def page_blocks(page: str) -> list[_Block]:
     """Blocks with text, in page order."""
     blocks: list[_Block] = []
     # open elements: name, number, lasting cost of boilerplate, gain of content names, cost of names up to the next article
     stack: list[tuple[str, int, float, float, float]] = []
-    number, silent, link, block, at = 0, 0, 0, None, 0
-    end = len(page)
+    around: list[int] = []  # places of block elements on the stack
+    forms: list[int] = []
+    number, silent, link, block, shared = 0, 0, 0, None, 0
     open_names: dict[str, int] = {}
 
     def text(raw: str) -> None:
-        nonlocal block
+        nonlocal block, shared
         if silent and raw and stack[-1][0] == "head" and not raw.isspace():
             close(len(stack) - 1)
         if silent or not raw:
@@ -120,37 +188,34 @@ def page_blocks(page: str) -> list[_Block]:
                 return
             heading = any(e[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for e in stack[-3:])
             top = stack[-1] if stack else ("", 0, 0.0, 0.0, 0.0)
-            block = _Block(tuple(e[1] for e in stack if e[0] in BLOCK), min(top[2], top[4]), top[3], heading, next((e[1] for e in reversed(stack) if e[0] == "form"), 0) if open_names.get("form") else 0)
+            parent = stack[around[-2]][1] if len(around) > 1 else 0
+            block = _Block(len(around), shared, parent, min(top[2], top[4]), top[3], heading, forms[-1] if forms else 0)
             blocks.append(block)
+            shared = len(around)
         raw = unescape(raw)
         block.parts.append(raw)
         if link:
             block.linked += len(raw)
 
     def close(upto: int) -> None:
-        nonlocal silent, link, block
+        nonlocal silent, link, block, shared
         while len(stack) > upto:
             name = stack.pop()[0]
             open_names[name] -= 1
             silent -= name in SILENT
             link -= name == "a"
+            if name == "form":
+                forms.pop()
             if name in BLOCK:
                 block = None
+                around.pop()
+                shared = min(shared, len(around))
 
-    while at < end:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            text(page[at:])
-            break
-        text(page[at:m.start()])
-        at = m.end()
-        if m[1] is not None:
-            text(m[1])
-            continue
-        if m[3] is None:
+    for before, closing, name, attributes in _tags(page):
+        text(before)
+        if name is None:
             continue
-        name = m[3].lower()
-        if m[2]:
+        if closing:
             if open_names.get(name):
                 k = len(stack) - 1
                 while stack[k][0] != name:
@@ -169,13 +234,11 @@ def page_blocks(page: str) -> list[_Block]:
         if name in BLOCK:
             block = None
             # A paragraph, item or cell ends where the next one, or a block, begins.
-            if open_names.get("p"):
-                k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in BLOCK), -1)
-                if k >= 0 and stack[k][0] == "p":
-                    close(k)
+            if around and stack[around[-1]][0] == "p":
+                close(around[-1])
             elif name in ("li", "option", "tr", "td", "th", "dt", "dd") and stack and stack[-1][0] == name:
                 close(len(stack) - 1)
-        if name in VOID or m[4].endswith("/") and name in ("path", "use", "circle", "rect"):
+        if name in VOID or attributes.endswith("/") and name in ("path", "use", "circle", "rect"):
             continue
         number += 1
         _, _, boiler, good, passing = stack[-1] if stack else ("", 0, 0.0, 0.0, 0.0)
@@ -186,9 +249,9 @@ def page_blocks(page: str) -> list[_Block]:
             # An article inside another may be a comment or a teaser.
             if name == "main" or not open_names.get("article"):
                 passing = 0.0
-        if m[4]:
+        if attributes:
             gain, bad = 0.0, False
-            for key, *values in _ATTRIBUTE.findall(m[4]):
+            for key, *values in _ATTRIBUTE.findall(attributes):
                 key, value = key.lower(), values[0] or values[1] or values[2]
                 if key in ("class", "id", "role") and name not in ("body", "html"):
                     costs = _name_costs(value)
@@ -198,32 +261,35 @@ def page_blocks(page: str) -> list[_Block]:
                     boiler = min(boiler, W_BOILER)
             if not bad:
                 good = max(good, gain)
+        if name in BLOCK:
+            around.append(len(stack))
+        if name == "form":
+            forms.append(number)
         stack.append((name, number, boiler, good, passing))
         open_names[name] = open_names.get(name, 0) + 1
         link += name == "a"
         silent += name in SILENT
-        if name in RAW:
-            done = re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE).search(page, at)
-            if done is None:
-                if name in ("title", "textarea"):
-                    continue
-                at = end
-            else:
-                at = done.start()
     in_form: dict[int, int] = {}
     for b in blocks:
         b.text = _SPACE.sub(" ", "".join(b.parts)).strip()
         in_form[b.form] = in_form.get(b.form, 0) + max(0, len(b.text) - b.linked)
     for b in blocks:
         b.form = W_FORM / (1 + (in_form[b.form] / FORM_CHARS) ** 2) if b.form else 0.0
-    return [b for b in blocks if b.text]
+    kept, passed = [], len(stack) + number
+    for b in blocks:
+        passed = min(passed, b.shared)
+        if b.text:
+            b.shared, passed = passed, b.depth
+            kept.append(b)
+    return kept
 
 
 def log_odds(block: _Block) -> float:
     """The classifier: log odds that a block is content."""
     n = len(block.text)
-    share = min(1.0, block.linked / n)
     good = 0.0 if block.boiler else block.good
+    # In an article, a line that is mostly a link is a line of it.
+    share = 0.0 if good else min(1.0, block.linked / n)
     return (BIAS + block.boiler + block.form + good + W_LINKS * share + W_LENGTH * math.log1p(n / 20)
             + W_STOP * min(3, len(_STOPS.findall(block.text))) + W_HEADING * block.heading)
 
@@ -306,25 +372,16 @@ def extract_text(page: str | None) -> str:
     last_in: dict[int, int] = {}  # the block before in each parent
     for i, b in enumerate(blocks):
         if i:
-            before = blocks[i - 1].path
-            shared = sum(1 for _ in _common(before, b.path))
-            edges.append((i - 1, i, S_NEXT + S_NEAR / (1 + len(before) + len(b.path) - 2 * shared)))
-        parent = b.path[-2] if len(b.path) > 1 else 0
-        sibling = last_in.get(parent)
+            steps = blocks[i - 1].depth + b.depth - 2 * b.shared
+            edges.append((i - 1, i, S_NEXT + S_NEAR / (1 + steps)))
+        sibling = last_in.get(b.parent)
         if sibling is not None and sibling != i - 1:
             edges.append((sibling, i, S_NEAR / 3))
-        last_in[parent] = i
+        last_in[b.parent] = i
     labels = minimum_cut([max(0.0, -o) for o in odds], [max(0.0, o) for o in odds], edges)
     return "\n".join(b.text for b, content in zip(blocks, labels, strict=True) if content)
 
 
-def _common(a: tuple[int, ...], b: tuple[int, ...]):
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            return
-        yield x
-
-
 def _extract(id_type: pa.DataType, url_type: pa.DataType):
     def run(batches):
         for batch in batches:

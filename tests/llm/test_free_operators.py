@@ -164,6 +164,38 @@ def test_wrappers_that_hide_nothing():
         assert html_extraction.extract_text(f"<div {attributes}><p>Something else, in a place apart.</p></div><article>{STORY}</article>") == whole, attributes
 
 
+def test_names_count_as_whole_words():
+    whole = re.sub(r"</p>", "\n", STORY.replace("<p>", "")).strip()
+    for name in ("shared-content", "social-science", "menu-page", "legal-article", "search-results", "ad-free", "news-header-wrap",
+                 "entry-content post-share", "navy-blue", "headers2", "recommended-reading-room"):
+        for tag in ("div", "section", "article"):
+            assert html_extraction.extract_text(f'<body><{tag} class="{name}">{STORY}</{tag}></body>') == whole, name
+    for name in ("site-footer", "share-box", "nav_menu", "main-nav", "Sidebar-Right", "cookie-banner", "related-links", "comment-list"):
+        page = f'<body><article>{STORY}</article><div class="{name}"><p>Something else, in a place apart.</p></div></body>'
+        assert html_extraction.extract_text(page) == whole, name
+
+
+def test_links_of_an_article_stay():
+    links = "<ul><li><a href=/a>Read the paper in full here</a><li><a href=/b>The first report of the year</a></ul><p><a href=/c>All data</a></p>"
+    text = html_extraction.extract_text(f"<nav><ul><li><a href=/>Home</a></ul></nav><article>{STORY}{links}{STORY}</article><ul><li><a href=/d>Imprint</a></ul>")
+    assert "Read the paper in full here\nThe first report of the year\nAll data\n" in text and "Home" not in text and "Imprint" not in text
+
+
+def test_broken_pages_in_linear_time():
+    import time
+
+    pages = {"nested": "".join(f"<div>t{i} " for i in range(60_000)), "unclosed tags": "<a " * 300_000, "open quotes": '<a href="x ' * 90_000 + ">",
+             "odd quotes": "<p title='a>text " * 60_000, "titles": "<title>x" * 120_000, "rules": "<p>x" + "<b>y" * 100_000 + "<hr>z" * 100_000,
+             "items": "<li><b>word" * 90_000, "brackets": "<" * 1_000_000, "comments": "<!--" * 250_000, "scripts": "<script>" * 120_000,
+             "whole": "".join(f"<div><p>word {i} of the text, and more.</p>" for i in range(22_000))}
+    for name, page in pages.items():
+        start = time.process_time()
+        html_extraction.extract_text(page)
+        assert time.process_time() - start < 6, name
+    assert html_extraction.extract_text("<script></script><title></title><style></style>" + STORY) == html_extraction.extract_text(STORY)
+    assert html_extraction.extract_text('<p class="x>' + "One sentence, of words. " * 9 + "</p>" + STORY).endswith(html_extraction.extract_text(STORY))
+
+
 def test_pages_edge_cases(spark):
     deep = "<div>" * 3_000 + "Words, in a deep place. " * 40
     pages = [(1, "u", None), (2, None, ""), (None, "u", PAGE), (3, "u", "<p>"), (3, "u", "<p"), (4, "u", deep), (5, "u", "a < b > c &bogus; &#x41;" * 30)]

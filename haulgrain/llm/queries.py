@@ -37,9 +37,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_guess",
-                        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+    import public_tokenizers
+
+    words = secret_scan.tokenizer_words(public_tokenizers.path("word_bpe_49k.json"))
+    found = secret_scan.scan_secrets(_table(spark, sf_dir, "documents"), dictionary=words)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_guess", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
+                        "spans", F.size("bits").cast("long").alias("n_scored"), F.round(F.array_max("bits"), 3).alias("most_bits"))
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,27 +37,45 @@ def _is_letter() -> np.ndarray:
     return _letters[0]
 
 
+def _ngrams(points: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all n-grams and the offsets of rows; each row begins with ``ORDERS`` characters of context."""
+    letter = _is_letter()[points]
+    chars = np.where(letter, points, 0).astype(np.uint32)
+    rows = np.concatenate(([0], np.cumsum(lengths)))
+    ends = np.flatnonzero(letter)
+    ends = ends[ends >= ORDERS]
+    found = np.empty((len(ends), ORDERS), np.int64)
+    h = np.zeros(len(ends), np.uint32)
+    for k in range(ORDERS):
+        h = (h ^ (chars[ends - k] + np.uint32(k + 1))) * np.uint32(_KEYS[k])
+        found[:, k] = (h ^ (h >> np.uint32(15))) % np.uint32(BUCKETS)
+    return found.reshape(-1), np.searchsorted(ends, rows) * ORDERS
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
 def ngram_chunks(texts: list[str | None]):
-    """(first row, end row, buckets, offsets of rows) for stretches of texts; null is empty."""
-    table, first = _is_letter(), 0
+    """(first row, end row, buckets, offsets of rows) for stretches of texts; null is empty.
+
+    A text longer than ``CHUNK`` comes in several stretches of its own, each with the characters before it.
+    """
+    first = 0
     while first < len(texts):
+        if len(texts[first] or "") > CHUNK:
+            whole = _GAP + texts[first].lower()
+            for at in range(ORDERS, len(whole), CHUNK):
+                piece = whole[at - ORDERS:at + CHUNK]
+                yield first, first + 1, *_ngrams(_points(piece), [len(piece)])
+            first += 1
+            continue
         end, held = first, 0
-        while end < len(texts) and (end == first or held + len(texts[end] or "") <= CHUNK):
+        while end < len(texts) and held + len(texts[end] or "") <= CHUNK:
             held += len(texts[end] or "")
             end += 1
         parts = [(t or "").lower() for t in texts[first:end]]
-        points = np.frombuffer((_GAP + _GAP.join(parts)).encode("utf-32-le", "surrogatepass"), "<u4")
-        lengths = np.array([len(p) + ORDERS for p in parts])
-        letter = table[points]
-        chars = np.where(letter, points, 0).astype(np.uint32)
-        ends = np.flatnonzero(letter)
-        found = np.empty((len(ends), ORDERS), np.int64)
-        h = np.zeros(len(ends), np.uint32)
-        for k in range(ORDERS):
-            h = (h ^ (chars[ends - k] + np.uint32(k + 1))) * np.uint32(_KEYS[k])
-            found[:, k] = (h ^ (h >> np.uint32(15))) % np.uint32(BUCKETS)
-        offsets = np.searchsorted(ends, np.concatenate(([0], np.cumsum(lengths)))) * ORDERS
-        yield first, end, found.reshape(-1), offsets
+        yield first, end, *_ngrams(_points(_GAP + _GAP.join(parts)), [len(p) + ORDERS for p in parts])
         first = end
 
 
@@ -95,11 +113,17 @@ def _add(batches):
         yield _batch(counts, rows)
 
 
-def learn(train: DataFrame, text_col: str = "text", lang_col: str = "lang", smoothing: float = 0.5):
-    """(languages, log probabilities, log priors) from all rows with a text and a label."""
+def learn(train: DataFrame, text_col: str = "text", lang_col: str = "lang", smoothing: float = 0.5, most: int = 1000):
+    """(languages, log probabilities, log priors) from all rows with a text and a label.
+
+    The driver and each task hold a row of ``BUCKETS`` numbers for each label; more than ``most``
+    different labels are an error, as of a column that holds something else.
+    """
     rows = train.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).cast("string"), F.col(lang_col).cast("string"))
     schema = "lang string, n long, counts binary"
+    if rows.select(lang_col).distinct().limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} different values of {lang_col}")
     counts = rows.mapInArrow(_count, schema)
     counts = counts.repartition("lang", F.pmod(F.hash("counts"), F.lit(16))).mapInArrow(_add, schema)
     counts = counts.repartition("lang").mapInArrow(_add, schema)
@@ -117,15 +141,18 @@ def _predict(model, id_type: pa.DataType):
         for batch in batches:
             texts = batch.column(1).to_pylist()
             best, score = ["und"] * len(texts), np.zeros(len(texts))
-            for first, end, buckets, at in ngram_chunks(texts) if langs else ():
+            total, seen = np.zeros((len(langs), len(texts))), np.zeros(len(texts), bool)
+            for first, _, buckets, at in ngram_chunks(texts) if langs else ():
                 some = np.flatnonzero(np.diff(at))
-                if not len(some):
-                    continue
-                total = np.stack([np.add.reduceat(row[buckets], at[some]) + p for row, p in zip(logs, priors, strict=True)])
-                pick = total.argmax(axis=0)
-                chance = 1.0 / np.exp(total - total.max(axis=0)).sum(axis=0)
-                score[first + some] = chance
-                for i, k in zip((first + some).tolist(), pick.tolist(), strict=True):
+                if len(some):
+                    seen[first + some] = True
+                    for k, row in enumerate(logs):
+                        total[k, first + some] += np.add.reduceat(row[buckets], at[some])
+            rows = np.flatnonzero(seen)
+            if len(rows):
+                own = total[:, rows] + priors[:, None]
+                score[rows] = 1.0 / np.exp(own - own.max(axis=0)).sum(axis=0)
+                for i, k in zip(rows.tolist(), own.argmax(axis=0).tolist(), strict=True):
                     best[i] = langs[k]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(id_type), batch.column(2), pa.array(best, pa.string()), pa.array(score)],

@@ -130,13 +130,30 @@ def _gain(p: int, n: int, p0: int, n0: int) -> float:
     return p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))) if p else 0.0
 
 
+def _least_hashes(rows: DataFrame, most: int) -> DataFrame:
+    """The ``most`` rows of least id hash.
+
+    Counts by the leading bits of the hash tell from where on no row is wanted, so that few more rows
+    than wanted reach the task that ends the sort, whatever the number of partitions.
+    """
+    lead = F.shiftright(F.xxhash64("id"), 48)
+    upto, cut = 0, None
+    for lead_bits, n in sorted(map(tuple, rows.groupBy(lead.alias("lead")).count().collect())):  # 65,536 rows at most
+        upto += n
+        if upto >= most:
+            cut = lead_bits
+            break
+    rows = rows if cut is None else rows.filter(lead <= cut)
+    return rows.orderBy(F.xxhash64("id"), "id", "word_chars", "n_words").limit(most)
+
+
 def learn_rules(labelled: DataFrame, stats_col: str = "stats", label_col: str = "quality", id_col: str = "doc_id",
                 max_labelled: int = 200_000, bins: int = 24, max_rules: int = 8, max_conditions: int = 3,
                 min_precision: float = 0.95) -> list[Rule]:
     """An ordered list of rules that reject, from rows with statistics and a 0/1 label (0 is rejected)."""
     rows = labelled.filter(F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("id"), (F.col(label_col) == 0).alias("bad"), f"{stats_col}.*")
-    rows = rows.orderBy(F.xxhash64("id"), "id", "word_chars", "n_words").limit(max_labelled)
+    rows = _least_hashes(rows, max_labelled)
     rows = written(rows.select("bad", (F.pmod(F.xxhash64(F.lit(3), "id", "word_chars"), F.lit(3)) < 2).alias("grow"), *FEATURES), "labelled")
 
     steps = [k / bins for k in range(1, bins)]

@@ -34,11 +34,14 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
+    """Powers of ``base``; those of a chunk's length are kept, longer ones, for a longer word, are not."""
     known = _powers.get(name)
     if known is None or len(known) < n:
         steps = np.full(max(n, CHUNK_BYTES + 1), base, dtype=U64)
         steps[0] = U64(1)
-        known = _powers[name] = np.multiply.accumulate(steps)
+        known = np.multiply.accumulate(steps)
+        if n <= CHUNK_BYTES + 1:
+            _powers[name] = known
     return known
 
 
@@ -58,8 +61,30 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         first = end
 
 
+def _pieces(data: np.ndarray) -> Iterator[np.ndarray]:
+    """Stretches of a text of about a chunk each, cut behind white space only."""
+    at, n = 0, len(data)
+    while at < n:
+        end = min(n, at + CHUNK_BYTES)
+        spaces = np.flatnonzero(_SPACE[data[at:end]]) if end < n else ()
+        if len(spaces):
+            end = at + int(spaces[-1]) + 1
+        while end < n and not _SPACE[data[end - 1]]:  # a word longer than a chunk
+            ahead = np.flatnonzero(_SPACE[data[end:end + CHUNK_BYTES]])
+            end = end + int(ahead[0]) + 1 if len(ahead) else min(n, end + CHUNK_BYTES)
+        yield data[at:end]
+        at = end
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, A-Z in lower case, and the word offsets of each row."""
+    if len(data) > CHUNK_BYTES and len(offsets) == 2:
+        hashes = np.concatenate([_word_hashes(x, np.array([0, len(x)]))[0] for x in _pieces(data)])
+        return hashes, np.array([0, len(hashes)])
+    return _word_hashes(data, offsets)
+
+
+def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(data)
     if n == 0:
         return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
@@ -81,6 +106,13 @@ def shingle_sets(column: pa.Array, size: int = 5) -> Iterator[tuple[int, np.ndar
     """
     for first, _, data, offsets in text_chunks(column):
         hashes, at = word_hashes(data, offsets)
+        if len(data) > CHUNK_BYTES and len(hashes) >= size:  # a long text alone: no row numbers, one sort
+            whole = hashes[:len(hashes) - size + 1] * _PLACE[0]
+            for j in range(1, size):
+                whole += hashes[j:len(hashes) - size + 1 + j] * _PLACE[j]
+            values = np.unique(mix(whole))
+            yield first, values, np.array([0, len(values)])
+            continue
         counts = np.diff(at)
         rows = np.repeat(np.arange(len(counts)), counts)
         short = (counts > 0) & (counts < size)

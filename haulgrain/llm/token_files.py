@@ -99,6 +99,9 @@ class ShardReader:
         return np.frombuffer(content, "<u4")
 
 
+#: Documents of a shard at most; a writer holds a line of the manifest for each.
+SHARD_ROWS = 250_000
+
 #: Between a letter or digit and punctuation the tokenizer always cuts, but for apostrophes. Letters
 #: that its normalizer turns into several characters are left out.
 _BEFORE_MARKS = re.compile("([!-&(-/:-@\\[-`{-~])(?<=[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f].)", re.DOTALL).sub
@@ -112,17 +115,25 @@ def _spread(text: str) -> str:
     return text.lower() if text.isascii() else text
 
 
+# Case, marks, white space and apostrophes: what a tokenizer must treat as ``_spread`` does.
+_PROBE = "Ab ab AB-ab ab,\n (Ab)\tdon't DON'T x1 1x Éa éa <|x Ab.ab  é, a_b ab_ \x0b a.\r\nb ＃ ı İx ß"
+
+
 class WordEncoder:
     """Ids of whole texts, word by word.
 
-    The tokenizer drops white space and never looks across it, so the ids of a text are those of its
-    words between ASCII white space in order. Words seen are kept, up to a bound.
+    A tokenizer that drops white space, never looks across it and ignores ASCII case gives a text the
+    ids of its words between ASCII white space in order. Words seen are kept, up to a bound in bytes. A
+    tokenizer that a probe shows to be another is given whole texts.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 256 << 20, longest: int = 1000):
         from tokenizers import Tokenizer
 
-        self._tokenizer, self._ids, self._most = Tokenizer.from_file(path), {}, most
+        #: ``most`` bytes of words and ids are kept; words of more than ``longest`` characters are not.
+        self._tokenizer, self._ids, self._held, self._most, self._longest = Tokenizer.from_file(path), {}, 0, most, longest
+        whole = [self._tokenizer.encode(t, add_special_tokens=False).ids for t in (_PROBE, _PROBE[::-1])]
+        self._by_word = [x.tolist() for x in self._words([_PROBE, _PROBE[::-1]])] == whole
 
     @classmethod
     def of_worker(cls, path: str) -> WordEncoder:
@@ -133,19 +144,34 @@ class WordEncoder:
         return kept[path]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if self._by_word:
+            return self._words(texts)
+        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in encoded]
+
+    def _words(self, texts: list[str]) -> list[np.ndarray]:
         texts = map(_spread, texts)
         split = [_SPLIT(text) if _OTHER_SPACE(text) else text.split() for text in texts]
         known = self._ids
         new = list(set().union(*split).difference(known))
+        once: dict[str, bytes] = {}
         if new:
-            if len(known) + len(new) > self._most:
+            if self._held > self._most:
                 known.clear()
+                self._held = 0
                 new = list(set().union(*split))
             for a in range(0, len(new), 20_000):
                 part = new[a:a + 20_000]
                 encoded = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-                known.update((w, struct.pack(f"<{len(i := e.ids)}I", *i)) for w, e in zip(part, encoded, strict=True))
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
+                for w, e in zip(part, encoded, strict=True):
+                    ids = struct.pack(f"<{len(i := e.ids)}I", *i)
+                    if len(w) > self._longest:
+                        once[w] = ids
+                    else:
+                        known[w] = ids
+                        self._held += 200 + 4 * len(w) + len(ids)  # with what Python adds to two objects and an entry
+        find = (lambda w: known.get(w) or once[w]) if once else known.__getitem__
+        return [np.frombuffer(b"".join(map(find, words)), "<u4") for words in split]
 
 
 def _writer(folder: str, tokenizer: str, end_id: int, frame_tokens: int, shard_bytes: int, id_type: pa.DataType):
@@ -200,7 +226,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, frame_tokens: int, shard_b
                     held += len(tokens) + 1
                     if held >= frame_tokens:
                         close_frame()
-                    if size >= shard_bytes:
+                    if size >= shard_bytes or len(rows) >= SHARD_ROWS:
                         yield close_shard()
                         shards += 1
         if shard is not None:

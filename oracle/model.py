@@ -61,6 +61,12 @@ def first_label(column: str, buckets, otherwise: str) -> str:
     return f"CASE {arms} ELSE {otherwise} END"
 
 
+# Fixed values, written apart from the library's: label and the words that give it, first match wins.
+CLAIM_WORDS = [("CONCEALED DAMAGE", ["CONCEALED"]), ("DAMAGE", ["DAMAGE"]), ("SHORTAGE", ["SHORT"]), ("LOSS", ["LOSS", "LOST"])]
+TICKET_WORDS = [
+    ("DAMAGE", ["DAMAGE"]), ("LATE DELIVERY", ["LATE", "DELAY"]), ("SHORTAGE / PARTIAL DELIVERY", ["PARTIAL", "SHORT", "MISSING"]),
+    ("LOST SHIPMENT", ["LOST", "LOSS"]), ("DRIVER BEHAVIOR", ["DRIVER"]), ("BILLING", ["BILL", "INVOICE"])]
+
 FREIGHT = "IFNULL(line_amount_usd, 0) + IFNULL(accessorial_amount_usd, 0) + IFNULL(fuel_surcharge_usd, 0)"
 DLV_DAY = "CAST(actual_delivery_ts AS DATE)"
 SERVICE_KEY = (
@@ -175,7 +181,7 @@ LEFT JOIN ship_by_id i ON i.tms_shipment_id = q.source_tms_shipment_id
 LEFT JOIN by_pro pro ON pro.pro_number = q.pro_number"""
 CTES["stg_claims"] = f"""
 SELECT {names('stg_claims', 'q', stop='pro_number')}, matched_tms_shipment_id, shipment_match_method,
-  {first_label('claim_type', C.CLAIM_TYPE_WORDS, "IFNULL(claim_type, 'OTHER')")} AS claim_type,
+  {first_label('claim_type', CLAIM_WORDS, "IFNULL(claim_type, 'OTHER')")} AS claim_type,
   {names('stg_claims', 'q', start='claim_type')},
   IFNULL(claim_amount_paid_usd > claim_amount_requested_usd, FALSE) AS paid_exceeds_requested_flag,
   (filed_date - {DLV_DAY})::BIGINT AS days_delivery_to_claim,
@@ -199,7 +205,7 @@ CTES["stg_crm_tickets"] = f"""
 SELECT ticket_id, opened_ts, source_erp_customer_id, tms_customer_code_raw, tms_customer_code_normalized,
   matched_erp_customer_id, customer_match_method, source_tms_shipment_id, tracking_number,
   matched_tms_shipment_id, shipment_match_method, channel, category_raw,
-  {first_label('UPPER(category_raw)', C.TICKET_CATEGORY_WORDS, "'OTHER'")} AS category_normalized,
+  {first_label('UPPER(category_raw)', TICKET_WORDS, "'OTHER'")} AS category_normalized,
   {names('stg_crm_tickets', 't', start='category_raw')},
   IFNULL(resolution_hours >= 0, FALSE) AS valid_resolution_time_flag,
   shipment_match_method <> 'UNMATCHED' AS shipment_match_flag,

@@ -246,9 +246,13 @@ WHERE a.m BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'""", {"mode_month": (
     " FROM fact_shipment WHERE ship_date IS NOT NULL AND mode IN ('LTL', 'FTL') GROUP BY 1, 2"
 )})
 
+# Name, target, warning tolerance, better direction.
 _targets = ", ".join(
-    f"('{name}', {target}::DOUBLE, {slack}::DOUBLE, '{way}')" for name, target, slack, way in C.KPI_TARGETS
-)
+    f"('{name}', {target}::DOUBLE, {slack}::DOUBLE, '{way}')" for name, target, slack, way in [
+        ("On-Time Delivery %", "0.95", "0.02", "Higher"), ("OTIF %", "0.93", "0.02", "Higher"),
+        ("Average Fill Rate", "0.98", "0.01", "Higher"), ("Gross Margin %", "0.20", "0.03", "Higher"),
+        ("Claim Rate", "0.02", "0.01", "Lower"), ("Complaint Rate", "0.04", "0.01", "Lower"),
+        ("Average CSAT", "4.30", "0.30", "Higher"), ("Net Promoter Score", "50.00", "10.00", "Higher")])
 _actuals = " UNION ALL ".join(
     f"SELECT '{name}' AS kpi_name, ({KPI[column]})::DOUBLE AS actual FROM fact_shipment"
     for name, column in [
@@ -377,7 +381,12 @@ FROM fact_shipment""")
 # --- profiling --------------------------------------------------------------
 
 _RAW = C.RAW_COLUMNS
-_KEYS = C.PRIMARY_KEYS
+# Key columns of the raw tables.
+_KEYS = {t: keys.split() for t, keys in {
+    "erp_customers": "erp_customer_id", "customer_id_crosswalk": "tms_customer_code effective_from", "ref_warehouses": "warehouse_id",
+    "ref_carriers": "carrier_id", "tms_shipments": "tms_shipment_id", "tms_shipment_lines": "tms_shipment_id line_number",
+    "carrier_tracking_events": "column1", "wms_outbound": "wms_outbound_id", "erp_invoices": "invoice_id", "claims": "claim_id",
+    "crm_tickets": "ticket_id", "csat_survey_responses": "response_id"}.items()}
 
 
 def q(c: str) -> str:

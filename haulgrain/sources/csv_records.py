@@ -195,7 +195,10 @@ def _header(blocks: DataFrame, lines: DataFrame, path: str) -> list[str]:
     columns, owner = None, None
     # Spellings of the header, such as with and without quotes.
     for row in first.where("header IS NOT NULL").groupBy("header").agg(F.min("file").alias("file")).toLocalIterator():
-        parsed = next(csv.reader([row["header"].removeprefix("\ufeff").rstrip("\r")], strict=True))
+        try:
+            parsed = next(csv.reader([row["header"].removeprefix("\ufeff").rstrip("\r")], strict=True))
+        except csv.Error as e:  # such as lines that end in carriage returns only
+            raise ValueError(f"{named(row['file'])}: unreadable header: {e}") from e
         if columns is not None and parsed != columns:
             raise ValueError(f"headers differ: {named(owner)} and {named(row['file'])}")
         columns, owner = parsed, row["file"]

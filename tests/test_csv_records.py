@@ -78,7 +78,7 @@ def test_unblocked_reading_also_by_join(spark, tmp_path, block, monkeypatch):
 
 @pytest.mark.parametrize("text,message", [
     ('id,n\n1,"open\n2,b\n', "never closed"), ("", "no header"), ('a,A\n1,2\n', "columns of one name"),
-    ('"a\nb,c\n', "longer than a block|never closed")])
+    ('"a\nb,c\n', "longer than a block|never closed"), ("id,n\r1,2\r", "unreadable header")])
 def test_broken_files_are_errors(spark, tmp_path, text, message):
     (tmp_path / "a.csv").write_text(text)
     with pytest.raises(ValueError, match=message):

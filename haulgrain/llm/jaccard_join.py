@@ -15,7 +15,9 @@ Jaccard similarity reaches the threshold. The steps:
 5. Verified links are joined to components.
 
 No link is dropped: a cell holds every pair that shares a prefix shingle of that cell. A task sends on
-a spanning forest of the links it finds, which keeps components as they are.
+a spanning forest of the links it finds, which keeps components as they are, and the number of links of
+each set. A pair that meets in several groups is counted in the first of them by number, which each
+member knows from the numbers of its other groups; a set counts as often as it has rows.
 
 Null and empty texts, and texts without words, have an empty set and link with nothing. Rows with
 equal texts, or that repeat an id, are all kept and get the same component; the least non-null id of
@@ -379,10 +381,14 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
 
 
-def _cell_links(side: np.ndarray, keys: np.ndarray, flat: list[np.ndarray], similar: tuple[int, int]):
-    """A spanning forest of the links between the two blocks of a cell, or in its one block."""
+def _cell_links(side: np.ndarray, keys: np.ndarray, flat: list[np.ndarray], copies: np.ndarray, earlier: list[frozenset],
+                similar: tuple[int, int]):
+    """A spanning forest of the links between the two blocks of a cell, or in its one block; links by set.
+
+    Pairs that meet in an ``earlier`` group as well are not counted here.
+    """
     _, once = np.unique(keys, return_index=True)
-    keys, side, flat = keys[once], side[once], [flat[i] for i in once]
+    keys, side, flat, copies, earlier = keys[once], side[once], [flat[i] for i in once], copies[once], [earlier[i] for i in once]
     lengths = np.array([len(x) for x in flat])
     values, index, counts = np.unique(np.concatenate(flat), return_inverse=True, return_counts=True)
     rank = np.empty(len(values), np.int64)  # common n-grams first, so that paths are shared
@@ -394,6 +400,8 @@ def _cell_links(side: np.ndarray, keys: np.ndarray, flat: list[np.ndarray], simi
     tree = PrefixTree([sets[i] for i in stored])
     mark = np.zeros(len(values), dtype=bool)
     root = list(range(len(keys)))
+    degree = np.zeros(len(keys), np.int64)
+    both_ways = walking is not stored
 
     def find(i):
         while root[i] != i:
@@ -404,61 +412,77 @@ def _cell_links(side: np.ndarray, keys: np.ndarray, flat: list[np.ndarray], simi
     links = []
     for i in walking.tolist():
         mark[sets[i]] = True
-        for j in stored[tree.linked(sets[i], mark, similar)].tolist():
+        others = stored[tree.linked(sets[i], mark, similar)]
+        others = others[others != i]
+        new = others
+        if earlier[i]:
+            new = others[[earlier[i].isdisjoint(earlier[j]) for j in others.tolist()]] if len(others) else others
+        degree[i] += copies[new].sum()
+        if both_ways:
+            degree[new] += copies[i]
+        for j in others.tolist():
             x, y = find(i), find(j)
             if x != y:
                 root[x] = y
                 links.append((int(keys[i]), int(keys[j])))
         mark[sets[i]] = False
-    return links
+    counted = np.flatnonzero(degree)
+    return links, zip(keys[counted].tolist(), degree[counted].tolist(), strict=True)
 
 
 def _verify(size: int, similar: tuple[int, int]):
-    """(a, b) of linked set keys, from rows (cell, side, packed text) in order of cells."""
+    """(a, b, null) of linked set keys and (a, null, n) of their links, from rows in order of cells."""
 
     def run(batches):
         import zstandard
 
         unpack = zstandard.ZstdDecompressor()
-        cell, held, links = None, [], []
+        cell, held, out = None, [], []
+
+        def done():
+            if len(held) > 1:
+                links, counts = _cell_links(*_columns(held), similar)
+                out.extend((a, b, None) for a, b in links)
+                out.extend((a, None, n) for a, n in counts)
+
         for batch in batches:
-            cells, sides = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            texts = pa.array([unpack.decompress(t.as_buffer()) for t in batch.column(2)], pa.large_binary())
+            cells, sides, copies = (batch.column(k).to_numpy() for k in (0, 1, 2))
+            earlier = batch.column(3).to_pylist()
+            texts = pa.array([unpack.decompress(t.as_buffer()) for t in batch.column(4)], pa.large_binary())
             for first, values, at in shingle_sets(texts.cast(pa.large_string()), size):
                 keys = set_keys(values, at).view(np.int64).tolist()
                 for i, key in enumerate(keys):
-                    if cells[first + i] != cell:
-                        if len(held) > 1:
-                            links += _cell_links(*_columns(held), similar)
-                        cell, held = cells[first + i], []
-                    held.append((sides[first + i], key, values[at[i]:at[i + 1]]))
-                if len(links) > 50_000:
-                    yield _edges(links)
-                    links = []
-        if len(held) > 1:
-            links += _cell_links(*_columns(held), similar)
-        if links:
-            yield _edges(links)
+                    row = first + i
+                    if cells[row] != cell:
+                        done()
+                        cell, held = cells[row], []
+                    held.append((sides[row], key, values[at[i]:at[i + 1]], copies[row], frozenset(earlier[row] or ())))
+                if len(out) > 50_000:
+                    yield _found(out)
+                    out.clear()
+        done()
+        if out:
+            yield _found(out)
 
     return run
 
 
 def _columns(held):
-    side, keys, sets = zip(*held, strict=True)
-    return np.array(side), np.array(keys), list(sets)
+    side, keys, sets, copies, earlier = zip(*held, strict=True)
+    return np.array(side), np.array(keys), list(sets), np.array(copies, np.int64), list(earlier)
 
 
-def _edges(links):
-    a, b = zip(*links, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _found(rows):
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["a", "b", "n"])
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                     similar: tuple[int, int] = SIMILAR, hot: int = HOT_SHINGLE,
                     block: int = BLOCK_SHINGLES) -> DataFrame:
-    """(id, text_hash, n, class) for each row of ``docs``: rows of one class are linked, directly or not.
+    """(id, text_hash, n, class, links) for each row of ``docs``: rows of one class are linked, directly or not.
 
-    ``n`` is the number of shingles; without any the class is null. ``similar`` is the threshold as
+    ``n`` is the number of shingles; without any the class is null. ``links`` counts the other rows that the
+    row is linked with itself. ``similar`` is the threshold as
     numerator and denominator. Other columns are ignored. See the module for the method.
     """
     spark = docs.sparkSession
@@ -493,38 +517,51 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = pairs.filter("leader <> key")
 
     sets = rows.filter("n > 0").groupBy("key").agg(
-        F.min(F.struct("id", "text_hash")).alias("row"), F.min("n").alias("n")).select("key", "row.*", "n")
+        F.min(F.struct("id", "text_hash")).alias("row"), F.min("n").alias("n"), F.count("*").alias("copies")).select("key", "row.*", "n", "copies")
+    sets = written(sets, "sets")
     members = written(pairs.union(pairs.select("leader", "class", F.col("leader").alias("key")).distinct())
                       .join(sets, "key"), "members")
     weight = members.groupBy("leader", "class").agg(F.ceil(F.sum("n") / F.lit(block)).cast("long").alias("blocks"))
-    dealt = members.join(weight, ["leader", "class"]).select(
-        "leader", "class", "id", "text_hash", F.pmod(F.xxhash64("key"), "blocks").alias("own"),
+    # The groups of a set, as many as its prefix at most; most have one.
+    group = F.xxhash64("leader", "class")
+    groups = members.groupBy("key").agg(F.collect_set(group).alias("groups")).filter(F.size("groups") > 1)
+    known = split_join(members, weight, ["leader", "class"]).join(groups, "key", "left")
+    earlier = F.filter("groups", lambda g: g < group)
+    dealt = known.select(
+        "leader", "class", "id", "text_hash", "copies", earlier.alias("earlier"), F.pmod(F.xxhash64("key"), "blocks").alias("own"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     cells = dealt.select(
         F.xxhash64("leader", "class", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
         F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), F.col("id").alias("own_id"),
-        F.col("text_hash").alias("own_hash"))
+        F.col("text_hash").alias("own_hash"), "copies", "earlier")
     packed = docs.select("id", "text_hash", "text").mapInArrow(_pack(arrow_id), T.StructType(
         [id_type, T.StructField("text_hash", long), T.StructField("packed", T.BinaryType())]))
     # The same plan at every size: the texts are what grows, and both sides are dealt by document.
     shipped = cells.hint("merge").join(packed, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")))
-    links = shipped.select("cell", "side", "packed").repartition("cell").sortWithinPartitions("cell").mapInArrow(
-        _verify(size, similar), "a long, b long")
+    met = shipped.select("cell", "side", "copies", "earlier", "packed").repartition("cell").sortWithinPartitions("cell")
+    verified = written(met.mapInArrow(_verify(size, similar), "a long, b long, n long"), "verified")
 
-    found = components(links)
-    sized = rows.join(found.withColumnRenamed("node", "key"), "key", "left")
-    return written(sized.select("id", "text_hash", "n", F.when(F.col("n") > 0, F.coalesce("component", "key")).alias("class")), "classes")
+    joined = components(verified.filter("b is not null").select("a", "b"))
+    none = F.lit(None).cast("long")
+    facts = joined.select(F.col("node").alias("key"), "component", F.lit(0).cast("long").alias("links")).unionByName(
+        verified.filter("b is null").select(F.col("a").alias("key"), none.alias("component"), F.col("n").alias("links"))).unionByName(
+        sets.select("key", none.alias("component"), (F.col("copies") - 1).alias("links")))
+    facts = facts.groupBy("key").agg(F.max("component").alias("component"), F.sum("links").alias("links"))
+    sized = split_join(rows, facts, ["key"], "left")
+    return written(sized.select("id", "text_hash", "n", F.when(F.col("n") > 0, F.coalesce("component", "key")).alias("class"),
+                                F.when(F.col("n") > 0, F.col("links")).otherwise(0).alias("links")), "classes")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                        similar: tuple[int, int] = SIMILAR, hot: int = HOT_SHINGLE,
                        block: int = BLOCK_SHINGLES) -> DataFrame:
-    """(id, n_shingles, component_id) for each row of ``docs``: classes named by their least id."""
+    """(id, n_shingles, component_id, n_links) for each row of ``docs``: classes named by their least id."""
     named = jaccard_classes(docs, id_col, text_col, size, similar, hot, block)
     names = named.filter("class is not null").groupBy("class").agg(F.min("id").alias("first_id"))
     return split_join(named, names, ["class"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("first_id")).alias("component_id"))
+        F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("first_id")).alias("component_id"),
+        F.col("links").alias("n_links"))
 
 
 def first_of_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -46,7 +46,8 @@ link AS (
   WHERE 100 * shared.n >= 75 * (sa.n + sb.n - shared.n)),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
 component AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
-SELECT doc.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, component_id
+SELECT doc.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, component_id,
+  (SELECT count(*) FROM link WHERE link.a = doc.doc_id) AS n_links
 FROM doc LEFT JOIN size ON doc.doc_id = size.doc_id JOIN component ON doc.doc_id = component.a
 """
 

@@ -20,7 +20,7 @@ def shingles(text):
 
 def brute(rows):
     sets = [shingles(t) for _, t, *_ in rows]
-    root = list(range(len(rows)))
+    root, links = list(range(len(rows))), [0] * len(rows)
 
     def find(i):
         while root[i] != i:
@@ -32,11 +32,13 @@ def brute(rows):
             both = len(a & sets[j])
             if a and sets[j] and 100 * both >= 75 * (len(a) + len(sets[j]) - both):
                 root[find(i)] = find(j)
+                links[i] += 1
+                links[j] += 1
     least = {}
     for i, (key, *_) in enumerate(rows):
         if key is not None:
             least[find(i)] = min(least.get(find(i), key), key)
-    return sorted(((k, len(s), least.get(find(i)) if s else k) for i, ((k, *_), s) in enumerate(zip(rows, sets))), key=str)
+    return sorted(((k, len(s), least.get(find(i)) if s else k, links[i]) for i, ((k, *_), s) in enumerate(zip(rows, sets))), key=str)
 
 
 def corpus(seed, n=120):
@@ -78,7 +80,7 @@ def test_edge_cases(spark):
 
 def test_empty_table(spark):
     got = op.jaccard_components(spark.createDataFrame([], SCHEMA))
-    assert got.columns == ["doc_id", "n_shingles", "component_id"] and got.count() == 0
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "n_links"] and got.count() == 0
 
 
 def test_prefix_tree_finds_all_links():

@@ -15,7 +15,7 @@ the run. So runs lie in stretches covered by such windows, and a word beside a s
 Words are numbered by text, so equal numbers mean equal words. A null or empty text has no words and no
 runs. Repeated rows, null ids and ties give a row each; runs are ordered by start, then period. An empty
 table gives an empty table. Other columns are ignored. Texts are taken whole; a task holds about
-100 bytes for each word of a document and 400 for each word of its longest stretch.
+100 bytes for each word of a document and 500 for each word of its longest stretch.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rows import event, layers, shipment
 
-from haulgrain.operators import matching, measures, staging
+from haulgrain.operators import matching, measures, quality, staging
 from haulgrain.plans.layers import Layers, refresh
 
 
@@ -267,6 +267,29 @@ def test_a_search_by_id_reads_few_rows(spark, tmp_path, conf):
     assert sum(scanned_rows(found.where("note > 'w'"))) == 6000
 
 
+def test_one_to_one_merges_check_themselves(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
+    right = spark.createDataFrame([("a", 1.5), (None, 2.5), ("z", 3.5)], "k string, x double")
+    got = matching.merge_one_to_one(left, right, ["k"])
+    assert sorted(map(tuple, got.collect()), key=str) == [("a", 1, 1.5), ("b", 2, None), (None, 3, 2.5)]
+    for a, b, side in ((left.union(left.limit(1)), right, "left"), (left, right.union(right), "right"),
+                       (left.union(spark.createDataFrame([(None, 9)], left.schema)), right, "left")):
+        with pytest.raises(Exception, match=f"{side} side is not one row a key: k="):
+            matching.merge_one_to_one(a, b, ["k"]).collect()
+    # The check also runs where no column of the doubled side is read.
+    with pytest.raises(Exception, match="right side"):
+        matching.merge_one_to_one(left, right.union(right), ["k"]).select("n").collect()
+    two = matching.merge_one_to_one(left.withColumn("j", F.lit(1)), right.withColumn("j", F.lit(1)), ["k", "j"])
+    assert two.columns == ["k", "n", "j", "x"] and two.where("x IS NOT NULL").count() == 2
+
+
+def test_gates_read_the_fact_three_times(spark, conf):
+    conf("spark.sql.maxMetadataStringLength", "2000")
+    t = layers(spark, shared=["stg_shipments", "fact_shipment"], tms_shipments=[shipment(f"S{i}") for i in range(5)])
+    text = plan(quality.validate_model(t))
+    assert text.count("fact_shipment]") == 3
+
+
 def test_the_written_fact_is_searched_by_its_filters(spark):
     t = layers(spark, shared=["fact_shipment"], tms_shipments=[shipment(f"S{i}") for i in range(50)])
     fact = t["fact_shipment"]

@@ -38,6 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from haulgrain.llm.graph import components
 from haulgrain.llm.shingle_hash import mix, set_keys, shingle_sets
 from haulgrain.llm.tables import WORD, fresh_name, split_join, written
+from haulgrain.session import SMALL_BATCHES, tune
 
 #: The threshold as a fraction: 3 / 4.
 SIMILAR = (3, 4)
@@ -45,6 +46,8 @@ SIMILAR = (3, 4)
 SKETCH_BITS, SLICES = 21, 16
 #: Prefix shingles in one packed group; shingles of a block of a cell.
 GROUP_SHINGLES, BLOCK_SHINGLES = 400_000, 1_000_000
+#: Prefix shingles that a task holds before it packs them.
+FLUSH_SHINGLES = 250_000
 #: Counts above the sketch's median from which a shingle's group is split.
 HOT_SHINGLE = 1_000_000
 
@@ -154,7 +157,7 @@ def _prefixes(size: int, similar: tuple[int, int], sketch, middle: int, groups:
                 # The place in 256ths of the set, rounded down.
                 held.append((values[take], keys[owner], n[owner], (place * 256 // n[owner]).astype(np.uint8)))
                 weight += len(owner)
-                if weight > 1_000_000:
+                if weight > FLUSH_SHINGLES:
                     yield flush(held)
                     held, weight = [], 0
         if weight:
@@ -462,6 +465,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     numerator and denominator. Other columns are ignored. See the module for the method.
     """
     spark = docs.sparkSession
+    tune(spark, SMALL_BATCHES)
     text = F.col(text_col).cast("string")
     docs = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     id_type = docs.schema["id"]

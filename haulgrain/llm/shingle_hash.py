@@ -20,7 +20,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 #: Texts are taken together up to so many bytes; a longer text is taken alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def mix(h: np.ndarray) -> np.ndarray:

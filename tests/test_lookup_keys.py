@@ -8,7 +8,7 @@ from haulgrain.operators.matching import left_lookup
 def test_lookup_key_is_a_column_of_its_own(spark):
     rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n long")
     lookup = spark.createDataFrame([("a", "x"), ("c", "y")], "key string, v string").groupBy("key").agg(F.max("v").alias("v"))
-    found = left_lookup(rows, "concat('', k)", lookup.hint("merge"), "key", strategy="merge", v="v")
+    found = left_lookup(rows, "concat('', k)", lookup.hint("merge"), "key", v="v")
     assert sorted((r["n"], r["v"]) for r in found.collect()) == [(1, "x"), (2, None), (3, None)]
     assert found.columns == ["k", "n", "v"]
     plan = found._jdf.queryExecution().executedPlan().toString()

@@ -21,10 +21,6 @@ def listed(spark, rows, schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def _texts(columns) -> str:
-    return "array(" + ", ".join(f"string(`{c}`)" for c in columns) + ")"
-
-
 def row_hash(df: DataFrame) -> Column:
     """128 bits of a row: the md5 of ``length:value;`` for each column as text, ``-;`` for null."""
     parts = []
@@ -34,13 +30,28 @@ def row_hash(df: DataFrame) -> Column:
     return F.unhex(F.md5(F.concat(*parts)))
 
 
+def _named(tables: list[str]) -> Column:
+    """Name of a table by its place: an aggregate over all tables holds a number, not a name, in each of its keys."""
+    return F.get(F.array(*[F.lit(t) for t in tables]), "place").alias("table_name")
+
+
 def key_counts(raw, tables) -> DataFrame:
-    """Rows per table and key value, for all tables in one aggregation."""
-    keys = [
-        raw[t].selectExpr(f"'{t}' AS table_name", f"{_texts(C.PRIMARY_KEYS[t])} AS key") for t in tables
-    ]
-    complete = F.expr("NOT exists(key, k -> k IS NULL)")
-    return union_all(keys).groupBy("table_name", "key").count().withColumn("complete", complete)
+    """Rows per table and key value, for all tables in one aggregation.
+
+    The parts of a key are columns of their own, null beyond a table's last: a list takes half as much memory again.
+    """
+    tables = list(tables)
+    width = max(len(C.PRIMARY_KEYS[t]) for t in tables)
+    parts = [f"k{i}" for i in range(width)]
+    keys = []
+    for i, t in enumerate(tables):
+        own = [f"string(`{c}`)" for c in C.PRIMARY_KEYS[t]]
+        own += ["string(NULL)"] * (width - len(own))
+        keys.append(raw[t].selectExpr(f"{i} AS place", *[f"{x} AS {k}" for x, k in zip(own, parts)]))
+    length = F.get(F.array(*[F.lit(len(C.PRIMARY_KEYS[t])) for t in tables]), "place")
+    return union_all(keys).groupBy("place", *parts).count().select(
+        _named(tables), F.slice(F.array(*parts), F.lit(1), length).alias("key"), "count",
+    ).withColumn("complete", F.expr("NOT exists(key, k -> k IS NULL)"))
 
 
 def profile_tables(raw, tables=tuple(C.RAW_COLUMNS), file_bytes: dict[str, int] | None = None):

@@ -237,6 +237,20 @@ def test_profiles_of_a_small_table(spark):
     assert sized.columns == C.TABLE_PROFILE_COLUMNS and sized.first()["file_bytes"] == 99
 
 
+def test_key_counts_group_by_short_columns(spark):
+    lines = [line("A", 1, 1, 1), line("A", 1, 2, 2), line(None, 1, 1, 1), line("B", None, 1, 1)]
+    raw = raw_tables(spark, claims=[dict(claim_id="A"), dict(claim_id="A"), dict(claim_id=None)], tms_shipment_lines=lines)
+    counts = profiling.key_counts(raw, ["claims", "tms_shipment_lines"])
+    found = {(r["table_name"], tuple(r["key"])): (r["count"], r["complete"]) for r in counts.collect()}
+    assert found == {
+        ("claims", ("A",)): (2, True), ("claims", (None,)): (1, False), ("tms_shipment_lines", ("A", "1")): (2, True),
+        ("tms_shipment_lines", (None, "1")): (1, False), ("tms_shipment_lines", ("B", None)): (1, False)}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    # A number and the parts of the key: no name of a table, no list.
+    grouped = next(x for x in plan.splitlines() if "Aggregate" in x)
+    assert "Aggregate [place#" in grouped and ", k0#" in grouped and "table_name" not in grouped.split("]")[0]
+
+
 def test_business_checks_shape(spark):
     raw = raw_tables(spark, tms_shipments=[shipment("A"), shipment("B", carrier_id="GHOST")],
                      tms_shipment_lines=[line("a", 1, 1, 2), line("ZZ", 1, -1, 1)])

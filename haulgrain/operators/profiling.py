@@ -21,13 +21,16 @@ def listed(spark, rows, schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def row_hash(df: DataFrame) -> Column:
-    """128 bits of a row: the md5 of ``length:value;`` for each column as text, ``-;`` for null."""
+def row_hash(df: DataFrame) -> list[Column]:
+    """128 bits of a row's columns as text, as h1 and h2.
+
+    A hash goes over nulls as if they were not there, so each value is followed by whether it is null.
+    """
     parts = []
     for c in df.columns:
         text = F.col(f"`{c}`").cast("string")
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text, F.lit(";")), F.lit("-;")))
-    return F.unhex(F.md5(F.concat(*parts)))
+        parts += [text, text.isNull()]
+    return [F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(1), *parts).alias("h2")]
 
 
 def _named(tables: list[str]) -> Column:
@@ -62,11 +65,11 @@ def profile_tables(raw, tables=tuple(C.RAW_COLUMNS), file_bytes: dict[str, int]
     tables = list(tables)
     frames = {t: raw[t] for t in tables}
     copies = union_all([
-        df.select(F.lit(t).alias("table_name"), row_hash(df).alias("row")) for t, df in frames.items()
-    ]).groupBy("table_name", "row").count().groupBy("table_name").agg(
+        df.select(F.lit(i).alias("place"), *row_hash(df)) for i, df in enumerate(frames.values())
+    ]).groupBy("place", "h1", "h2").count().groupBy("place").agg(
         F.sum("count").alias("row_count"),
         F.sum(F.when(F.col("count") > 1, F.col("count"))).alias("fully_duplicated_rows"),
-    )
+    ).withColumn("table_name", _named(tables)).drop("place")
     groups = key_counts(raw, tables).groupBy("table_name").agg(
         count_where(F.col("complete") & (F.col("count") > 1)).alias("duplicate_key_groups")
     )

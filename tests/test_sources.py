@@ -237,6 +237,17 @@ def test_profiles_of_a_small_table(spark):
     assert sized.columns == C.TABLE_PROFILE_COLUMNS and sized.first()["file_bytes"] == 99
 
 
+def test_rows_that_differ_in_where_a_value_or_null_stands_are_no_copies(spark):
+    claims = [dict(claim_id="a"), dict(pro_number="a"), dict(claim_id="a", pro_number=""), dict(claim_id="a")]
+    raw = raw_tables(spark, claims=claims, tms_shipment_lines=[line("A", 1, 1, 1)] * 3)
+    rows = {r["table_name"]: r for r in profiling.profile_tables(raw, ["claims", "tms_shipment_lines"]).collect()}
+    assert [rows["claims"][c] for c in ("row_count", "fully_duplicated_rows", "duplicate_key_groups")] == [4, 2, 1]
+    assert [rows["tms_shipment_lines"][c] for c in ("row_count", "fully_duplicated_rows", "duplicate_key_groups")] == [3, 3, 1]
+    hashed = raw["claims"].select(*profiling.row_hash(raw["claims"]))
+    assert [f.dataType.typeName() for f in hashed.schema] == ["long", "long"]
+    assert hashed.distinct().count() == hashed.select("h1").distinct().count() == hashed.select("h2").distinct().count() == 3
+
+
 def test_key_counts_group_by_short_columns(spark):
     lines = [line("A", 1, 1, 1), line("A", 1, 2, 2), line(None, 1, 1, 1), line("B", None, 1, 1)]
     raw = raw_tables(spark, claims=[dict(claim_id="A"), dict(claim_id="A"), dict(claim_id=None)], tms_shipment_lines=lines)

@@ -120,14 +120,23 @@ def _column_values(df: DataFrame, table: str) -> DataFrame:
 
 
 def _distinct_counts(frames: dict[str, DataFrame]) -> DataFrame:
-    """Distinct values of every column of every table: 128 bits of each value, distinct before the shuffle."""
-    hashes = []
+    """Distinct values of every column of every table: 128 bits of each value, distinct before the shuffle.
+
+    The hashes are columns of their own, put below each other by ``stack``: a list of structs is built and filtered
+    outside of generated code. The place counts on from table to table, so no key holds a name.
+    """
+    hashes, names, first = [], [], 0
     for t, df in frames.items():
-        text = [F.col(f"`{c}`").cast("string") for c in df.columns]
-        each = F.array(*[F.when(v.isNotNull(), F.struct(
-            F.lit(i).alias("place"), F.xxhash64(v).alias("h1"), F.xxhash64(F.lit(1), v).alias("h2"))) for i, v in enumerate(text)])
-        hashes.append(df.select(F.lit(t).alias("table_name"), F.inline(F.filter(each, lambda x: x.isNotNull()))))
-    return union_all(hashes).distinct().groupBy("table_name", "place").agg(F.count(F.lit(1)).alias("distinct_count"))
+        cells = []
+        for i, c in enumerate(df.columns):
+            text = F.col(f"`{c}`").cast("string")
+            cells += [F.xxhash64(text).alias(f"h{i}"), F.when(text.isNotNull(), F.xxhash64(F.lit(1), text)).alias(f"g{i}")]
+        below = ", ".join(f"{first + i}, h{i}, g{i}" for i in range(len(df.columns)))
+        hashes.append(df.select(*cells).selectExpr(f"stack({len(df.columns)}, {below}) AS (at, h1, h2)").where("h2 IS NOT NULL"))
+        names += [F.struct(F.lit(t).alias("table_name"), F.lit(i).alias("place")) for i in range(len(df.columns))]
+        first += len(df.columns)
+    counted = union_all(hashes).distinct().groupBy("at").agg(F.count(F.lit(1)).alias("distinct_count"))
+    return counted.select(F.get(F.array(*names), "at").alias("column"), "distinct_count").select("column.*", "distinct_count")
 
 
 def profile_columns(raw, tables=tuple(C.RAW_COLUMNS)) -> DataFrame:

@@ -262,6 +262,18 @@ def test_key_counts_group_by_short_columns(spark):
     assert "Aggregate [place#" in grouped and ", k0#" in grouped and "table_name" not in grouped.split("]")[0]
 
 
+def test_distinct_counts_are_made_in_generated_code(spark):
+    raw = raw_tables(spark, claims=[dict(claim_id="A", pro_number="A"), dict(claim_id="B", pro_number="A"), dict(claim_id=None)],
+                     tms_shipment_lines=[line("A", 1, 1, 1), line("A", 2, 1, 1)])
+    counts = profiling._distinct_counts({t: raw[t] for t in ("claims", "tms_shipment_lines")})
+    found = {(r["table_name"], C.RAW_COLUMNS[r["table_name"]][r["place"]]): r["distinct_count"] for r in counts.collect()}
+    assert found[("claims", "claim_id")] == 2 and found[("claims", "pro_number")] == 1
+    assert found[("tms_shipment_lines", "tms_shipment_id")] == 1 and found[("tms_shipment_lines", "line_number")] == 2
+    # A lambda over a list of structs is not compiled.
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and "stack(" in plan
+
+
 def test_business_checks_shape(spark):
     raw = raw_tables(spark, tms_shipments=[shipment("A"), shipment("B", carrier_id="GHOST")],
                      tms_shipment_lines=[line("a", 1, 1, 2), line("ZZ", 1, -1, 1)])
